@@ -14,8 +14,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def r_paste(*cols, sep: str = " ") -> Column:
     """``paste(a, b, ..., sep=sep)``: NULL parts become ``NA``."""
+    if all(isinstance(c, str) for c in cols):
+        parts = ", ".join(f"coalesce(CAST({_q(c)} AS STRING), 'NA')" for c in cols)
+        return F.expr(f"concat_ws({_lit(sep)}, {parts})")
     return F.concat_ws(sep, *[F.coalesce(_col(c).cast("string"), F.lit("NA")) for c in cols])
 
 

@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def first_per_key(df: DataFrame, keys: str | Sequence[str], order_by: str,
                   keep_order_col: bool = True) -> DataFrame:
     """One row per ``keys``: the row with the smallest ``order_by``.
@@ -23,11 +27,10 @@ def first_per_key(df: DataFrame, keys: str | Sequence[str], order_by: str,
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in ks]
-    packed = F.struct(*[F.col(c) for c in rest])
-    agg = df.groupBy(*ks).agg(F.min_by(packed, F.col(order_by)).alias("__row"))
-    cols = [F.col(k) for k in ks] + [F.col(f"__row.{c}").alias(c) for c in rest
-                                     if keep_order_col or c != order_by]
-    return agg.select(*cols)
+    packed = "struct(" + ", ".join(_q(c) for c in rest) + ")"
+    agg = df.groupBy(*ks).agg(F.expr(f"min_by({packed}, {_q(order_by)})").alias("__row"))
+    return agg.selectExpr(*[_q(k) for k in ks],
+                          *[f"__row.{_q(c)} AS {_q(c)}" for c in rest if keep_order_col or c != order_by])
 
 
 def distinct_values(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:

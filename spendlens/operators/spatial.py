@@ -25,20 +25,34 @@ from spendlens.operators.joins import broadcast_if_small
 
 
 def polygon_cells(edges: DataFrame, id_col: str = "place_id", cell: float = 0.05) -> DataFrame:
-    """Grid cells covering each polygon's bounding box (id, cx, cy, box)."""
+    """Grid cells covering each polygon's bounding box (id, xmin..ymax, cx, cy)."""
     box = edges.groupBy(id_col).agg(
-        F.min(F.least("x1", "x2")).alias("xmin"), F.max(F.greatest("x1", "x2")).alias("xmax"),
-        F.min(F.least("y1", "y2")).alias("ymin"), F.max(F.greatest("y1", "y2")).alias("ymax"))
-    fc = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("bigint")
-    return (box.withColumn("cx", F.explode(F.sequence(fc("xmin"), fc("xmax"))))
-            .withColumn("cy", F.explode(F.sequence(fc("ymin"), fc("ymax")))))
+        F.expr("min(least(x1, x2))").alias("xmin"), F.expr("max(greatest(x1, x2))").alias("xmax"),
+        F.expr("min(least(y1, y2))").alias("ymin"), F.expr("max(greatest(y1, y2))").alias("ymax"))
+    c = f"CAST({cell!r} AS DOUBLE)"
+    return box.selectExpr(
+        "*", f"explode(sequence(CAST(floor(xmin / {c}) AS BIGINT), CAST(floor(xmax / {c}) AS BIGINT))) AS cx"
+    ).selectExpr("*", f"explode(sequence(CAST(floor(ymin / {c}) AS BIGINT), CAST(floor(ymax / {c}) AS BIGINT))) AS cy")
 
 
 def edge_bands(edges: DataFrame, id_col: str = "place_id", band: float = 0.0125) -> DataFrame:
     """Every edge once per horizontal band its y range touches."""
-    lo = F.floor(F.least("y1", "y2") / F.lit(band)).cast("bigint")
-    hi = F.floor(F.greatest("y1", "y2") / F.lit(band)).cast("bigint")
-    return edges.select(id_col, "x1", "y1", "x2", "y2", F.explode(F.sequence(lo, hi)).alias("b"))
+    b = f"CAST({band!r} AS DOUBLE)"
+    return edges.selectExpr(
+        f"`{id_col}`", "x1", "y1", "x2", "y2",
+        f"explode(sequence(CAST(floor(least(y1, y2) / {b}) AS BIGINT), "
+        f"CAST(floor(greatest(y1, y2) / {b}) AS BIGINT))) AS b")
+
+
+# Ray casting to +x: an edge is crossed when it straddles the point's y and
+# the crossing lies right of the point (the division only runs for edges
+# that straddle, so horizontal edges never divide by zero).
+CROSSES = ("CASE WHEN (y1 > __y) <> (y2 > __y) "
+           "THEN __x < (x2 - x1) * (__y - y1) / (y2 - y1) + x1 ELSE false END")
+# The point lies on the edge: zero cross product and inside the edge's box.
+ON_EDGE = ("(x2 - x1) * (__y - y1) - (y2 - y1) * (__x - x1) = 0 "
+           "AND __x BETWEEN least(x1, x2) AND greatest(x1, x2) "
+           "AND __y BETWEEN least(y1, y2) AND greatest(y1, y2)")
 
 
 def containing_places(points: DataFrame, edges: DataFrame, id_col: str = "point_id",
@@ -58,29 +72,20 @@ def containing_places(points: DataFrame, edges: DataFrame, id_col: str = "point_
         lim = (lim or DEFAULT_BROADCAST_LIMIT) // 16
     cells = broadcast_if_small(polygon_cells(edges, place_col, cell), lim, bound_by)
     bands = broadcast_if_small(edge_bands(edges, place_col, band), lim, bound_by)
-    p = points.select(F.col(id_col).alias("__id"), F.col(x).cast("double").alias("__x"),
-                      F.col(y).cast("double").alias("__y")).filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
-    p = (p.withColumn("cx", F.floor(F.col("__x") / F.lit(cell)).cast("bigint"))
-         .withColumn("cy", F.floor(F.col("__y") / F.lit(cell)).cast("bigint"))
-         .withColumn("b", F.floor(F.col("__y") / F.lit(band)).cast("bigint")))
+    c, b = f"CAST({cell!r} AS DOUBLE)", f"CAST({band!r} AS DOUBLE)"
+    p = points.selectExpr(f"`{id_col}` AS __id", f"CAST(`{x}` AS DOUBLE) AS __x", f"CAST(`{y}` AS DOUBLE) AS __y")
+    p = p.filter("__x IS NOT NULL AND __y IS NOT NULL").selectExpr(
+        "*", f"CAST(floor(__x / {c}) AS BIGINT) AS cx", f"CAST(floor(__y / {c}) AS BIGINT) AS cy",
+        f"CAST(floor(__y / {b}) AS BIGINT) AS b")
     cand = (p.join(cells, ["cx", "cy"])
-            .filter((F.col("__x") >= F.col("xmin")) & (F.col("__x") <= F.col("xmax"))
-                    & (F.col("__y") >= F.col("ymin")) & (F.col("__y") <= F.col("ymax")))
+            .filter("__x BETWEEN xmin AND xmax AND __y BETWEEN ymin AND ymax")
             .select("__id", "__x", "__y", "b", place_col))
     j = cand.join(bands, [place_col, "b"])
-    px, py = F.col("__x"), F.col("__y")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    crosses = ((y1 > py) != (y2 > py)) & (px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
-    on_edge = (((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) == 0) \
-        & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) \
-        & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2))
     agg = j.groupBy("__id", place_col).agg(
-        F.sum(F.when(crosses, 1).otherwise(0)).alias("__n"),
-        F.max(on_edge).alias("__on"))
-    inside = (F.col("__n") % 2 == 1)
-    if boundary_in:
-        inside = inside | F.col("__on")
-    return agg.filter(inside).select(F.col("__id").alias(id_col), place_col)
+        F.expr(f"sum(CASE WHEN {CROSSES} THEN 1 ELSE 0 END)").alias("__n"),
+        F.expr(f"max({ON_EDGE})").alias("__on"))
+    inside = "__n % 2 = 1" + (" OR __on" if boundary_in else "")
+    return agg.filter(inside).selectExpr(f"__id AS `{id_col}`", f"`{place_col}`")
 
 
 def point_in_polygon(points: DataFrame, edges: DataFrame, id_col: str = "point_id",

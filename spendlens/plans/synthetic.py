@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.functions.fiscal import fiscal_year
-from spendlens.functions.text import r_paste
 from spendlens.plans.params import Params
 from spendlens.sources.places import prepare_places
 
@@ -71,26 +70,19 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _lpad(c, n: int):
-    return F.lpad(c.cast("string"), n, "0")
-
-
 def places_raw(spark: SparkSession, d: str) -> DataFrame:
     n = _t(spark, d, "nation")
-    r = _t(spark, d, "region")
-    k = F.col("n_nationkey")
-    geoid = _lpad(k, 7)
-    return (n.join(r, n.n_regionkey == r.r_regionkey)
-            .select(F.concat(F.lit("p"), k.cast("string")).alias("place_id"),
-                    F.when(k % 5 == 0, F.concat(geoid, F.lit(", "), _lpad(k + 100, 7))).otherwise(geoid)
-                    .alias("geoid_list"),
-                    F.col("n_name").alias("city"),
-                    F.substring("r_name", 1, 2).alias("state_code"),
-                    F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.substring("r_name", 2, 1000)))
-                    .alias("state"),
-                    F.col("r_name").alias("region"),
-                    ((k + 1) * 100000 + k * 1234).cast("bigint").alias("pop_21"),
-                    k.cast("bigint").alias("ordinal")))
+    r = _t(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    return n.join(r, "n_regionkey").selectExpr(
+        "concat('p', n_nationkey) AS place_id",
+        "CASE WHEN n_nationkey % 5 = 0 THEN concat(lpad(n_nationkey, 7, '0'), ', ', lpad(n_nationkey + 100, 7, '0')) "
+        "ELSE lpad(n_nationkey, 7, '0') END AS geoid_list",
+        "n_name AS city",
+        "substring(r_name, 1, 2) AS state_code",
+        "concat(upper(substring(r_name, 1, 1)), lower(substring(r_name, 2))) AS state",
+        "r_name AS region",
+        "CAST((n_nationkey + 1) * 100000 + n_nationkey * 1234 AS BIGINT) AS pop_21",
+        "CAST(n_nationkey AS BIGINT) AS ordinal")
 
 
 def places(spark: SparkSession, d: str) -> DataFrame:
@@ -99,118 +91,87 @@ def places(spark: SparkSession, d: str) -> DataFrame:
 
 def crosswalk(spark: SparkSession, d: str) -> DataFrame:
     """One nation scan; the rows of a nation come from one exploded array."""
-    n = _t(spark, d, "nation")
-    k = F.col("n_nationkey")
-    city = F.concat(F.col("n_name"), F.lit(" city"))
-    other = F.concat(F.col("n_name"), F.lit(" CDP"))
-
-    def row(geoid, name, zcta):
-        return F.struct(geoid.alias("geoid_place"), name.alias("name_place"), zcta.alias("geoid_zcta"))
-
-    rows = [row(_lpad(k, 7), city, _lpad(k * 2 + i, 5)) for i in range(3)]
-    rows.append(F.when(k % 5 == 0, row(_lpad(k + 100, 7), city, _lpad(k + 1000, 5))))
-    rows.append(row(_lpad(k + 200, 7), other, _lpad(k * 2 + 1, 5)))
-    rows.append(row(_lpad(k + 200, 7), other, _lpad(k + 90000, 5)))
-    rows.append(F.when(k == 0, row(_lpad(k, 7), city, F.lit(None).cast("string"))))
-    return (n.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r"))
-            .select("r.geoid_place", "r.name_place", "r.geoid_zcta"))
+    row = "named_struct('geoid_place', {}, 'name_place', {}, 'geoid_zcta', {})"
+    city, other = "concat(n_name, ' city')", "concat(n_name, ' CDP')"
+    rows = [row.format("lpad(n_nationkey, 7, '0')", city, f"lpad(n_nationkey * 2 + {i}, 5, '0')") for i in range(3)]
+    rows.append("CASE WHEN n_nationkey % 5 = 0 THEN "
+                + row.format("lpad(n_nationkey + 100, 7, '0')", city, "lpad(n_nationkey + 1000, 5, '0')") + " END")
+    rows.append(row.format("lpad(n_nationkey + 200, 7, '0')", other, "lpad(n_nationkey * 2 + 1, 5, '0')"))
+    rows.append(row.format("lpad(n_nationkey + 200, 7, '0')", other, "lpad(n_nationkey + 90000, 5, '0')"))
+    rows.append("CASE WHEN n_nationkey = 0 THEN "
+                + row.format("lpad(n_nationkey, 7, '0')", city, "CAST(NULL AS STRING)") + " END")
+    return (_t(spark, d, "nation")
+            .selectExpr(f"explode(filter(array({', '.join(rows)}), r -> r IS NOT NULL)) AS r")
+            .selectExpr("r.geoid_place", "r.name_place", "r.geoid_zcta"))
+
+
+_SEGMENT_SQL = ("CASE c_mktsegment " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_CODES.items())
+                + " END")
+
+# Address columns of a customer's registry row (dup = 1: the later duplicate row).
+_CUSTOMER_ADDRESS = {
+    "phys_address_01": "CASE WHEN dup = 1 THEN concat('PO BOX ', c_custkey) ELSE concat(c_custkey % 500, ' MAIN ST') END",
+    "phys_address_02": "CASE WHEN c_custkey % 3 = 0 THEN CAST(NULL AS STRING) ELSE 'STE 1' END",
+    "phys_address_city": "concat('CITY ', c_nationkey)",
+    "phys_address_st": "concat('S', c_nationkey)",
+    "phys_address_zip": "CASE WHEN c_custkey % 7 = 3 THEN lpad(c_custkey % 1000 + 50000, 5, '0') "
+                        "ELSE lpad(c_nationkey * 2 + c_custkey % 2, 5, '0') END",
+}
 
 
-def _segment_codes(seg):
-    e = None
-    for s, codes in SEGMENT_CODES.items():
-        e = F.when(seg == s, F.lit(codes)) if e is None else e.when(seg == s, F.lit(codes))
-    return e
+def _full_addy_sql(parts: dict) -> str:
+    """R ``paste(..., sep=' ')`` of the five address parts, NULL printed as NA."""
+    return "concat_ws(' ', " + ", ".join(f"coalesce({parts[k]}, 'NA')" for k in (
+        "phys_address_01", "phys_address_02", "phys_address_city", "phys_address_st", "phys_address_zip")) + ")"
 
 
 def registry(spark: SparkSession, d: str) -> DataFrame:
-    c = _t(spark, d, "customer")
-    ck, nk = F.col("c_custkey"), F.col("c_nationkey")
-    common = [
-        F.when(ck % 97 == 11, F.lit("2J")).when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("2L"))
-        .otherwise(F.lit("2A")).alias("entity_structure"),
-        F.when(ck % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("STE 1")).alias("phys_address_02"),
-        F.concat(F.lit("CITY "), nk.cast("string")).alias("phys_address_city"),
-        F.concat(F.lit("S"), nk.cast("string")).alias("phys_address_st"),
-        F.when(ck % 7 == 3, _lpad(ck % 1000 + 50000, 5)).otherwise(_lpad(nk * 2 + ck % 2, 5))
-        .alias("phys_address_zip"),
-        F.when(ck % 50 == 7, F.lit("CAN")).otherwise(F.lit("USA")).alias("phys_address_country"),
-    ]
-    base = F.struct(F.lit(0).cast("bigint").alias("shift"), F.col("c_name").alias("recipient_name"),
-                    F.concat((ck % 500).cast("string"), F.lit(" MAIN ST")).alias("phys_address_01"),
-                    _segment_codes(F.col("c_mktsegment")).alias("bus_type_string"))
-    dup = F.struct(F.lit(1000000).cast("bigint").alias("shift"), F.concat(F.col("c_name"), F.lit(" OLD")).alias("recipient_name"),
-                   F.concat(F.lit("PO BOX "), ck.cast("string")).alias("phys_address_01"),
-                   F.lit("2X~A8").alias("bus_type_string"))
-    rows = F.when(ck % 20 == 0, F.array(base, dup)).otherwise(F.array(base))
-    cust = (c.select(ck, *common, F.explode(rows).alias("r"))
-            .select(_lpad(ck, 12).alias("recipient_uei"), (ck + F.col("r.shift")).alias("ordinal"),
-                    "r.recipient_name", "r.phys_address_01", "entity_structure", "phys_address_02",
-                    "phys_address_city", "phys_address_st", "phys_address_zip", "phys_address_country",
-                    "r.bus_type_string"))
-    s = _t(spark, d, "supplier")
-    sk, snk = F.col("s_suppkey"), F.col("s_nationkey")
-    sup = s.select(
-        F.concat(F.lit("S"), _lpad(sk, 11)).alias("recipient_uei"), (sk + 2000000).cast("bigint").alias("ordinal"),
-        F.col("s_name").alias("recipient_name"),
-        F.concat((sk % 500).cast("string"), F.lit(" OAK AVE")).alias("phys_address_01"),
-        F.lit("2A").alias("entity_structure"), F.lit(None).cast("string").alias("phys_address_02"),
-        F.concat(F.lit("CITY "), snk.cast("string")).alias("phys_address_city"),
-        F.concat(F.lit("S"), snk.cast("string")).alias("phys_address_st"),
-        _lpad(snk * 2 + sk % 2, 5).alias("phys_address_zip"), F.lit("USA").alias("phys_address_country"),
-        F.lit("12~C6").alias("bus_type_string"))
+    cust = (_t(spark, d, "customer")
+            .selectExpr("*", "explode(CASE WHEN c_custkey % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS dup")
+            .selectExpr(
+                "lpad(c_custkey, 12, '0') AS recipient_uei",
+                "CAST(c_custkey + dup * 1000000 AS BIGINT) AS ordinal",
+                "CASE WHEN dup = 1 THEN concat(c_name, ' OLD') ELSE c_name END AS recipient_name",
+                *[f"{v} AS {k}" for k, v in _CUSTOMER_ADDRESS.items()],
+                "CASE WHEN c_custkey % 97 = 11 THEN '2J' WHEN c_mktsegment = 'AUTOMOBILE' THEN '2L' ELSE '2A' END "
+                "AS entity_structure",
+                "CASE WHEN c_custkey % 50 = 7 THEN 'CAN' ELSE 'USA' END AS phys_address_country",
+                f"CASE WHEN dup = 1 THEN '2X~A8' ELSE {_SEGMENT_SQL} END AS bus_type_string"))
+    sup = _t(spark, d, "supplier").selectExpr(
+        "concat('S', lpad(s_suppkey, 11, '0')) AS recipient_uei",
+        "CAST(s_suppkey + 2000000 AS BIGINT) AS ordinal",
+        "s_name AS recipient_name",
+        "concat(s_suppkey % 500, ' OAK AVE') AS phys_address_01",
+        "CAST(NULL AS STRING) AS phys_address_02",
+        "concat('CITY ', s_nationkey) AS phys_address_city",
+        "concat('S', s_nationkey) AS phys_address_st",
+        "lpad(s_nationkey * 2 + s_suppkey % 2, 5, '0') AS phys_address_zip",
+        "'2A' AS entity_structure",
+        "'USA' AS phys_address_country",
+        "'12~C6' AS bus_type_string")
     return cust.unionByName(sup)
 
 
 def transactions(spark: SparkSession, d: str) -> DataFrame:
     """One row per line item, with ``shard_year`` = documented fiscal year."""
     li = _t(spark, d, "lineitem")
-    o = _t(spark, d, "orders")
-    c = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
+    o = _t(spark, d, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    c = _t(spark, d, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS n_nationkey")
     n = _t(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    r = _t(spark, d, "region")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-         .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey))
-    day = F.to_date("l_shipdate")
-    amt = (F.when(F.col("l_quantity") == 50, F.lit(0.0))
-           .when(F.col("l_returnflag") == "R", -F.col("l_extendedprice"))
-           .otherwise(F.col("l_extendedprice")))
-    ln = F.col("l_linenumber") % 4
-    pop = (F.when(ln == 1, F.upper("r_name")).when(ln == 2, F.substring("r_name", 1, 2))
-           .when(ln == 3, F.lit("ELSEWHERE")))
-    return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id"),
-        _lpad(F.col("o_custkey"), 12).alias("recipient_uei"),
-        F.concat(F.lit("AW"), F.col("l_orderkey").cast("string")).alias("award_key"),
-        day.alias("action_date"),
-        F.concat(F.year(day).cast("string"), F.lit("-"), F.month(day).cast("string")).alias("ym"),
-        amt.cast("decimal(18,2)").alias("amount"),
-        pop.alias("pop_state"),
-        F.concat(F.lit("AGENCY "), (F.col("l_suppkey") % 7).cast("string")).alias("awarding_agency_name"),
-        fiscal_year(day).alias("shard_year"))
-
-
-def _grid(k):
-    return (k % 5), F.floor(k / 5).cast("int")
-
-
-def _address_xy(ck, nk, provider: int):
-    """Address point of a customer (a function of the address fields only)."""
-    col, row = _grid(nk)
-    a = ck % 500
-    kx = (a * 37) % 100
-    ky = (a * 61 + F.when(ck % 3 == 0, 0).otherwise(17)) % 100
-    x = (col * 10000 + kx * 100 + 30 + (provider - 1)) / 10000.0
-    y = (row * 10000 + ky * 100 + 30 + (provider - 1)) / 10000.0
-    return x, y
-
-
-def _customer_address(ck, nk):
-    """The registry address key of a customer's first row (same rule as ``registry``)."""
-    return r_paste(F.concat((ck % 500).cast("string"), F.lit(" MAIN ST")),
-                   F.when(ck % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("STE 1")),
-                   F.concat(F.lit("CITY "), nk.cast("string")), F.concat(F.lit("S"), nk.cast("string")),
-                   F.when(ck % 7 == 3, _lpad(ck % 1000 + 50000, 5)).otherwise(_lpad(nk * 2 + ck % 2, 5)))
+    r = _t(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    j = li.join(o, "l_orderkey").join(c, "o_custkey").join(n, "n_nationkey").join(r, "n_regionkey")
+    return j.selectExpr(
+        "CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id",
+        "lpad(o_custkey, 12, '0') AS recipient_uei",
+        "concat('AW', l_orderkey) AS award_key",
+        "to_date(l_shipdate) AS action_date",
+        "concat(year(l_shipdate), '-', month(l_shipdate)) AS ym",
+        "CAST(CASE WHEN l_quantity = 50 THEN 0D WHEN l_returnflag = 'R' THEN -l_extendedprice "
+        "ELSE l_extendedprice END AS DECIMAL(18,2)) AS amount",
+        "CASE l_linenumber % 4 WHEN 1 THEN upper(r_name) WHEN 2 THEN substring(r_name, 1, 2) "
+        "WHEN 3 THEN 'ELSEWHERE' END AS pop_state",
+        "concat('AGENCY ', l_suppkey % 7) AS awarding_agency_name",
+    ).withColumn("shard_year", fiscal_year("action_date"))
 
 
 def provider_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -218,55 +179,51 @@ def provider_hits(spark: SparkSession, d: str) -> DataFrame:
 
     Provider 1 is asked for every customer address, provider 2 for the
     misses of 1 (c % 4 = 0), provider 3 for the misses of 2 (c % 20 = 0).
+    Coordinates depend on the address only, so equal addresses get equal
+    points; each provider is off by 1e-4 from the previous one.
     """
-    c = _t(spark, d, "customer")
-    ck, nk = F.col("c_custkey"), F.col("c_nationkey")
-    answers = []
-    for p, asked, found in ((1, F.lit(True), ck % 4 != 0),
-                            (2, ck % 4 == 0, ck % 20 != 0),
-                            (3, ck % 20 == 0, ck % 100 != 0)):
-        x, y = _address_xy(ck, nk, p)
-        answers.append(F.when(asked, F.struct(F.lit(p).alias("provider"), F.when(found, y).alias("lat"),
-                                              F.when(found, x).alias("long"))))
-    rows = F.filter(F.array(*answers), lambda a: a.isNotNull())
-    return (c.select(_customer_address(ck, nk).alias("full_addy"), F.explode(rows).alias("a"))
-            .select("full_addy", "a.provider", "a.lat", "a.long"))
+    asked = ("array(named_struct('provider', 1, 'found', c_custkey % 4 <> 0), "
+             "CASE WHEN c_custkey % 4 = 0 THEN named_struct('provider', 2, 'found', c_custkey % 20 <> 0) END, "
+             "CASE WHEN c_custkey % 20 = 0 THEN named_struct('provider', 3, 'found', c_custkey % 100 <> 0) END)")
+    return (_t(spark, d, "customer")
+            .selectExpr("*", "0 AS dup")
+            .selectExpr(f"{_full_addy_sql(_CUSTOMER_ADDRESS)} AS full_addy",
+                        "c_nationkey % 5 AS gx", "c_nationkey div 5 AS gy",
+                        "((c_custkey % 500) * 37) % 100 AS kx",
+                        "((c_custkey % 500) * 61 + CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 17 END) % 100 AS ky",
+                        f"explode(filter({asked}, a -> a IS NOT NULL)) AS a")
+            .selectExpr("full_addy", "a.provider AS provider",
+                        "CASE WHEN a.found THEN CAST(gy * 10000 + ky * 100 + 29 + a.provider AS DOUBLE) / 10000D END AS lat",
+                        "CASE WHEN a.found THEN CAST(gx * 10000 + kx * 100 + 29 + a.provider AS DOUBLE) / 10000D END AS long"))
 
 
 def geocode_cache(spark: SparkSession, d: str) -> DataFrame:
     """A cache from an earlier run: provider-1 hits of customers with c % 3 = 1."""
-    c = _t(spark, d, "customer").filter(F.col("c_custkey") % 3 == 1)
-    keys = c.select(_customer_address(F.col("c_custkey"), F.col("c_nationkey")).alias("full_addy"))
-    return (provider_hits(spark, d).filter((F.col("provider") == 1) & F.col("lat").isNotNull())
+    keys = (_t(spark, d, "customer").filter("c_custkey % 3 = 1").selectExpr("*", "0 AS dup")
+            .selectExpr(f"{_full_addy_sql(_CUSTOMER_ADDRESS)} AS full_addy"))
+    return (provider_hits(spark, d).filter("provider = 1 AND lat IS NOT NULL")
             .join(keys, "full_addy", "left_semi").select("full_addy", "lat", "long").distinct())
 
 
 def blacklist(spark: SparkSession, d: str) -> DataFrame:
     """Recipients that are never city governments: customers with c % 9 = 4."""
-    c = _t(spark, d, "customer")
-    return c.filter(F.col("c_custkey") % 9 == 4).select(_lpad(F.col("c_custkey"), 12).alias("recipient_uei"))
-
+    return _t(spark, d, "customer").filter("c_custkey % 9 = 4").selectExpr("lpad(c_custkey, 12, '0') AS recipient_uei")
 
-def _shape(k):
-    return (F.when(k % 7 == 3, F.lit("triangle")).when(k % 6 == 2, F.lit("multi"))
-            .when(k % 4 == 1, F.lit("holed")).otherwise(F.lit("square")))
 
-
-def _ring_json(gx, gy, x0, x1, y0, y1, kind: str):
-    """Closed ring text in 1/16 steps of the grid cell (gx, gy).
+def _ring_sql(x0: int, x1: int, y0: int, y1: int, kind: str) -> str:
+    """Closed ring text; corners at 1/16 steps of the grid cell (gx, gy).
 
     Outer rings run counter-clockwise, holes clockwise; the triangle is the
     lower-left half of the square.
     """
-    xlo, xhi = (gx * 16 + x0) / 16.0, (gx * 16 + x1) / 16.0
-    ylo, yhi = (gy * 16 + y0) / 16.0, (gy * 16 + y1) / 16.0
+    xlo, xhi = f"(gx * 16 + {x0}) / 16D", f"(gx * 16 + {x1}) / 16D"
+    ylo, yhi = f"(gy * 16 + {y0}) / 16D", f"(gy * 16 + {y1}) / 16D"
     pts = {"outer": [(xlo, ylo), (xhi, ylo), (xhi, yhi), (xlo, yhi), (xlo, ylo)],
            "hole": [(xlo, ylo), (xlo, yhi), (xhi, yhi), (xhi, ylo), (xlo, ylo)],
            "triangle": [(xlo, ylo), (xhi, ylo), (xlo, yhi), (xlo, ylo)]}[kind]
-    parts = []
-    for x, y in pts:
-        parts += [F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"), F.lit(",")]
-    return F.concat(F.lit("["), *parts[:-1], F.lit("]"))
+    fmt = "[" + ",".join("[%s,%s]" for _ in pts) + "]"
+    args = ", ".join(f"{x}, {y}" for x, y in pts)
+    return f"format_string('{fmt}', {args})"
 
 
 def boundaries_geojson(spark: SparkSession, d: str) -> DataFrame:
@@ -275,31 +232,29 @@ def boundaries_geojson(spark: SparkSession, d: str) -> DataFrame:
     Places sit on a 5 x 5 grid; shapes: triangle (n % 7 = 3), two-part
     MultiPolygon (n % 6 = 2), square with a hole (n % 4 = 1), square.
     """
-    n = _t(spark, d, "nation")
-    k = F.col("n_nationkey")
-    gx, gy = _grid(k)
-    shape = _shape(k)
-    outer = _ring_json(gx, gy, 2, 14, 2, 14, "outer")
-    coords = (F.when(shape == "triangle", F.concat(F.lit("["), _ring_json(gx, gy, 2, 14, 2, 14, "triangle"), F.lit("]")))
-              .when(shape == "multi", F.concat(F.lit("[["), _ring_json(gx, gy, 2, 7, 2, 14, "outer"), F.lit("],["),
-                                               _ring_json(gx, gy, 9, 14, 2, 14, "outer"), F.lit("]]")))
-              .when(shape == "holed", F.concat(F.lit("["), outer, F.lit(","), _ring_json(gx, gy, 6, 10, 6, 10, "hole"),
-                                               F.lit("]")))
-              .otherwise(F.concat(F.lit("["), outer, F.lit("]"))))
-    gtype = F.when(shape == "multi", F.lit("MultiPolygon")).otherwise(F.lit("Polygon"))
-    pid = F.concat(F.lit("p"), k.cast("string"))
-    doc = F.concat(F.lit('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": '
-                         '{"place_id": "'), pid, F.lit('", "census_year": "2022"}, "geometry": {"type": "'),
-                   gtype, F.lit('", "coordinates": '), coords, F.lit("}}]}"))
-    return n.select(pid.alias("place_id"), doc.alias("geojson"))
+    outer = _ring_sql(2, 14, 2, 14, "outer")
+    coords = ("CASE shape "
+              f"WHEN 'triangle' THEN concat('[', {_ring_sql(2, 14, 2, 14, 'triangle')}, ']') "
+              f"WHEN 'multi' THEN concat('[[', {_ring_sql(2, 7, 2, 14, 'outer')}, '],[', "
+              f"{_ring_sql(9, 14, 2, 14, 'outer')}, ']]') "
+              f"WHEN 'holed' THEN concat('[', {outer}, ',', {_ring_sql(6, 10, 6, 10, 'hole')}, ']') "
+              f"ELSE concat('[', {outer}, ']') END")
+    doc = ("concat('{\"type\": \"FeatureCollection\", \"features\": [{\"type\": \"Feature\", "
+           "\"properties\": {\"place_id\": \"', place_id, '\", \"census_year\": \"2022\"}, "
+           "\"geometry\": {\"type\": \"', CASE WHEN shape = 'multi' THEN 'MultiPolygon' ELSE 'Polygon' END, "
+           f"'\", \"coordinates\": ', {coords}, '}}}}]}}')")
+    return (_t(spark, d, "nation")
+            .selectExpr("concat('p', n_nationkey) AS place_id", "n_nationkey % 5 AS gx", "n_nationkey div 5 AS gy",
+                        "CASE WHEN n_nationkey % 7 = 3 THEN 'triangle' WHEN n_nationkey % 6 = 2 THEN 'multi' "
+                        "WHEN n_nationkey % 4 = 1 THEN 'holed' ELSE 'square' END AS shape")
+            .selectExpr("place_id", f"{doc} AS geojson"))
 
 
 def embedding_points(spark: SparkSession, d: str) -> DataFrame:
     """Points from the first two embedding dimensions, scaled onto the grid."""
-    e = _t(spark, d, "embeddings")
-    x = (F.element_at("embedding", 1).cast("double") + 0.5) * 5.0
-    y = (F.element_at("embedding", 2).cast("double") + 0.5) * 5.0
-    return e.select(F.col("vec_id"), x.alias("px"), y.alias("py"))
+    return _t(spark, d, "embeddings").selectExpr(
+        "vec_id", "(CAST(element_at(embedding, 1) AS DOUBLE) + 0.5D) * 5D AS px",
+        "(CAST(element_at(embedding, 2) AS DOUBLE) + 0.5D) * 5D AS py")
 
 
 def inputs(spark: SparkSession, d: str):
