@@ -25,7 +25,8 @@ def estimated_size(df: DataFrame) -> int | None:
     if hit is not None and hit[0] is df:
         return hit[1]
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(v) if isinstance(v, int) else int(v.toString())
     except Exception:  # Spark Connect or an estimate that is not a number
         size = None
     _SIZE_CACHE[id(df)] = (df, size)

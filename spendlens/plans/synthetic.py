@@ -66,8 +66,15 @@ def test_params(**kw) -> Params:
     return Params(**base)
 
 
+_READS: dict = {}
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """One reader per table and session (schema read once, plans share the scan)."""
+    key = (id(spark), d, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{d}/{name}.parquet")
+    return _READS[key]
 
 
 def places_raw(spark: SparkSession, d: str) -> DataFrame:
