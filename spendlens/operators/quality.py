@@ -64,6 +64,17 @@ def null_counts(df: DataFrame, cols: list[str], total: str = "na_sum") -> DataFr
     return out.withColumn(total, s)
 
 
+def subset_violations(df: DataFrame, allowed: DataFrame, key: str, allowed_key: str | None = None) -> DataFrame:
+    """Distinct keys of ``df`` that are missing from ``allowed`` (one row: count).
+
+    The reference checks by eye that every transaction UEI belongs to the
+    recipient set; here it is a left-anti join and a count that must be 0.
+    """
+    from spendlens.operators.joins import anti_join
+    missing = anti_join(df.select(key).distinct(), allowed, key, allowed_key or key)
+    return missing.agg(F.count(F.lit(1)).alias(f"{key}_missing"))
+
+
 def assert_clean(counts: DataFrame, ignore: tuple = ("rows",)) -> None:
     """V4: raise when any count in the one-row result is above zero."""
     row = counts.first().asDict()

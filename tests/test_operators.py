@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from spendlens.operators.dedup import first_per_key
 from spendlens.operators.geocode import cache_misses, cascade_stats, geocode_cascade, update_cache
 from spendlens.operators.joins import anti_join, broadcast_if_small, null_safe_join, semi_join
-from spendlens.operators.quality import assert_clean, check_quality, null_counts, registry_rules
+from spendlens.operators.quality import assert_clean, check_quality, null_counts, registry_rules, \
+    subset_violations
 from spendlens.operators.sampling import sample_n
 
 
@@ -76,3 +77,10 @@ def test_sample_is_reproducible_and_bounded(spark):
     a = [r.recipient_uei for r in sample_n(df, 100).collect()]
     b = [r.recipient_uei for r in sample_n(df.repartition(7), 100).collect()]
     assert len(a) == 100 and a == b
+
+
+def test_subset_violations(spark):
+    t = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "recipient_uei string")
+    allowed = spark.createDataFrame([("a",), ("b",)], "recipient_uei string")
+    assert subset_violations(t, allowed, "recipient_uei").first()[0] == 1
+    assert subset_violations(t.filter("recipient_uei <> 'c'"), allowed, "recipient_uei").first()[0] == 0
