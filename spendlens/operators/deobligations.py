@@ -25,39 +25,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.money import SHARE, money_out, share
-
 KINDS = ("no_deobs", "deob_with_ob", "deob_without_ob")
+SHARE = "DECIMAL(38,6)"
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def share_sql(total: str, n: str) -> str:
+    """``total / n`` rounded half-up to 6 decimals; NULL when n is 0 or NULL."""
+    return (f"CAST(round(CASE WHEN {n} <> 0 THEN CAST({total} AS DECIMAL(28,2)) / CAST({n} AS INT) END, 6) "
+            f"AS {SHARE})")
+
+
+def money_out_sql(c: str) -> str:
+    """Exact decimal -> rounded half away from zero to cents -> DOUBLE."""
+    return f"CAST(round(CAST({c} AS {SHARE}), 2) AS DOUBLE)"
 
 
 def award_year_totals(txn: DataFrame, award: str = "award_key", place: str = "city_label",
                       fy: str = "fy", amount: str = "amount") -> DataFrame:
     """One row per (award, place, fy) with the positive and negative sums."""
-    a = F.col(amount)
+    a = _q(amount)
     return txn.groupBy(award, place, fy).agg(
-        F.sum(F.when(a > 0, a)).alias("pos"),
-        F.sum(F.when(a < 0, a)).alias("neg"))
+        F.expr(f"sum(CASE WHEN {a} > 0 THEN {a} END)").alias("pos"),
+        F.expr(f"sum(CASE WHEN {a} < 0 THEN {a} END)").alias("neg"))
 
 
 def award_profile(txn: DataFrame, award: str = "award_key", place: str = "city_label",
                   fy: str = "fy", amount: str = "amount") -> DataFrame:
     """One row per (award, place): class, negative total, positive years.
 
-    Columns: award, place, award_class, neg_total, n_pos_years, last_fy,
-    pos_years (array of struct(fy, pos), one entry per positive year).
+    Columns: award, place, neg_total, n_pos_years, last_fy, pos_years (array
+    of struct(fy, pos), at most one entry per fiscal year), award_class.
     """
     ayt = award_year_totals(txn, award, place, fy, amount)
     prof = ayt.groupBy(award, place).agg(
-        F.sum("neg").alias("neg_total"),
-        F.count("pos").alias("n_pos_years"),
-        F.max(fy).alias("last_fy"),
-        F.collect_list(F.when(F.col("pos").isNotNull(),
-                              F.struct(F.col(fy).alias("fy"), F.col("pos").alias("pos"))))
+        F.expr("sum(neg)").alias("neg_total"),
+        F.expr("count(pos)").alias("n_pos_years"),
+        F.expr(f"max({_q(fy)})").alias("last_fy"),
+        F.expr(f"collect_list(CASE WHEN pos IS NOT NULL THEN named_struct('fy', {_q(fy)}, 'pos', pos) END)")
         .alias("pos_years"))
-    cls = (F.when(F.col("neg_total").isNull(), F.lit("none"))
-           .when(F.col("n_pos_years") > 0, F.lit("both"))
-           .otherwise(F.lit("only_neg")))
-    return prof.withColumn("award_class", cls)
+    return prof.selectExpr("*", "CASE WHEN neg_total IS NULL THEN 'none' WHEN n_pos_years > 0 THEN 'both' "
+                                "ELSE 'only_neg' END AS award_class")
 
 
 def award_class(txn: DataFrame, **cols) -> DataFrame:
@@ -75,41 +86,32 @@ def spread_contributions(txn: DataFrame, first_fy: int = 2017, mode: str = "docu
     Columns: award, place, fy, kind, value (DECIMAL(38,6)). ``kind`` is one
     of ``KINDS``. ``mode='as_coded'`` also divides the positive yearly totals
     of a ``both`` award by its number of positive years, like the delivered
-    code; the documented rule keeps them whole.
+    code; the documented rule keeps them whole. An only-negative award whose
+    last year is before ``first_fy`` is charged to that year alone, so no
+    money is dropped.
     """
     if mode not in ("documented", "as_coded"):
         raise ValueError("mode must be 'documented' or 'as_coded'")
-    prof = award_profile(txn, award, place, fy, amount)
-    n = F.col("n_pos_years")
-    neg_share = share(F.col("neg_total"), n)
-    if mode == "documented":
-        both_value = lambda e: e["pos"].cast(SHARE) + neg_share
-    else:
-        both_value = lambda e: share(e["pos"], n) + neg_share
-    # Years of an only-negative award: first_fy .. last_fy (a last year before
-    # first_fy keeps just that year, so no money is dropped).
-    last = F.col("last_fy")
-    span_lo = F.least(F.lit(first_fy), last)
-    years_neg = F.sequence(span_lo, last)
-    n_neg = last - span_lo + 1
+    first = int(first_fy)
+    neg_share = share_sql("neg_total", "n_pos_years")
+    pos = f"CAST(e.pos AS {SHARE})" if mode == "documented" else share_sql("e.pos", "n_pos_years")
+    lo = f"least({first}, last_fy)"
     entries = (
-        F.when(F.col("award_class") == "none",
-               F.transform("pos_years", lambda e: F.struct(e["fy"].alias("fy"), F.lit("no_deobs").alias("kind"),
-                                                            e["pos"].cast(SHARE).alias("value"))))
-        .when(F.col("award_class") == "both",
-              F.transform("pos_years", lambda e: F.struct(e["fy"].alias("fy"), F.lit("deob_with_ob").alias("kind"),
-                                                           both_value(e).cast(SHARE).alias("value"))))
-        .otherwise(
-            F.transform(years_neg, lambda y: F.struct(y.alias("fy"), F.lit("deob_without_ob").alias("kind"),
-                                                      share(F.col("neg_total"), n_neg).alias("value")))))
-    return (prof.select(award, place, F.explode(entries).alias("e"))
-            .select(award, place, F.col("e.fy").alias(fy), F.col("e.kind").alias("kind"),
-                    F.col("e.value").alias("value")))
+        "CASE award_class "
+        f"WHEN 'none' THEN transform(pos_years, e -> named_struct('fy', e.fy, 'kind', 'no_deobs', "
+        f"'value', CAST(e.pos AS {SHARE}))) "
+        f"WHEN 'both' THEN transform(pos_years, e -> named_struct('fy', e.fy, 'kind', 'deob_with_ob', "
+        f"'value', CAST({pos} + {neg_share} AS {SHARE}))) "
+        f"ELSE transform(sequence({lo}, last_fy), y -> named_struct('fy', y, 'kind', 'deob_without_ob', "
+        f"'value', {share_sql('neg_total', f'(last_fy - {lo} + 1)')})) END")
+    prof = award_profile(txn, award, place, fy, amount)
+    return (prof.selectExpr(_q(award), _q(place), f"explode({entries}) AS e")
+            .selectExpr(_q(award), _q(place), f"e.fy AS {_q(fy)}", "e.kind AS kind", "e.value AS value"))
 
 
 def place_year_parts(contrib: DataFrame, place: str = "city_label", fy: str = "fy") -> DataFrame:
     """Sum contributions by (place, fy) into one column per kind (missing = 0)."""
-    aggs = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("value"))), F.lit(0).cast(SHARE)).alias(k)
+    aggs = [F.expr(f"coalesce(sum(CASE WHEN kind = '{k}' THEN value END), CAST(0 AS {SHARE}))").alias(k)
             for k in KINDS]
     return contrib.groupBy(place, fy).agg(*aggs)
 
@@ -120,17 +122,19 @@ def annual_net_totals(txn: DataFrame, first_fy: int = 2017, mode: str = "documen
     """Per (place, fy) the three parts and their total after spreading."""
     parts = place_year_parts(
         spread_contributions(txn, first_fy, mode, award, place, fy, amount), place, fy)
-    total = F.col("no_deobs") + F.col("deob_with_ob") + F.col("deob_without_ob")
-    out = parts.withColumn("total", total.cast(SHARE))
-    if as_double:
-        out = out.select(place, fy, *[money_out(k).alias(k) for k in (*KINDS, "total")])
-    return out
+    total = f"CAST(no_deobs + deob_with_ob + deob_without_ob AS {SHARE})"
+    if not as_double:
+        return parts.selectExpr("*", f"{total} AS total")
+    return parts.selectExpr(_q(place), _q(fy), *[f"{money_out_sql(k)} AS {k}" for k in KINDS],
+                            f"{money_out_sql(total)} AS total")
 
 
 def spread_kind(txn: DataFrame, kind: str, first_fy: int = 2017, mode: str = "documented",
                 award: str = "award_key", place: str = "city_label", fy: str = "fy",
                 amount: str = "amount") -> DataFrame:
     """Per (place, fy) sum of one contribution kind (spread case 1 or 2)."""
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}")
     c = spread_contributions(txn, first_fy, mode, award, place, fy, amount)
-    return (c.filter(F.col("kind") == kind).groupBy(place, fy)
-            .agg(money_out(F.sum("value")).alias(kind)))
+    return (c.filter(f"kind = '{kind}'").groupBy(place, fy)
+            .agg(F.expr(money_out_sql("sum(value)")).alias(kind)))

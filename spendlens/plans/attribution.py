@@ -178,7 +178,10 @@ class Chain:
         performed in the recipient's state or unknown."""
         t = self.inp.transactions.filter(F.col("amount") != 0)
         j = t.join(broadcast_if_small(self.city_gov_ueis(), bound_by=self.inp.registry), "recipient_uei")
-        return match_place_of_performance(j.withColumn("fy", self.fy()))
+        out = match_place_of_performance(j.withColumn("fy", self.fy()))
+        # Every output reads these rows: keep them once computed (the pipeline
+        # instead checkpoints them to the shared checkpoint folder).
+        return out.persist(StorageLevel.MEMORY_AND_DISK) if self.p.reuse_filtered else out
 
     # -- outputs ----------------------------------------------------------
     @_step

@@ -64,7 +64,8 @@ def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
 def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None = None,
         materialize: bool = True) -> dict[str, DataFrame]:
     """Build all outputs; write them under ``out_dir`` when given."""
-    chain = Chain(inp, params)
+    from dataclasses import replace
+    chain = Chain(inp, replace(params, reuse_filtered=not materialize))
     filtered = chain.filtered()
     if materialize:
         filtered = cut_lineage(filtered, spark)

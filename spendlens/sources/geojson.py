@@ -31,15 +31,13 @@ COLLECTION = T.StructType([
 
 
 def _features_to_geoms(features: DataFrame, id_prop: str) -> DataFrame:
-    g = F.col("f.geometry")
-    coords = (F.when(g["type"] == "MultiPolygon", F.from_json(g["coordinates"], MULTI))
-              .when(g["type"] == "Polygon", F.array(F.from_json(g["coordinates"], POLY))))
-    keep = [c for c in features.columns if c != "f"]
-    return features.select(
-        F.col("f.properties").getItem(id_prop).alias(id_prop), *keep,
-        F.col("f.properties").alias("properties"),
-        g["type"].alias("geom_type"),
-        coords.alias("coordinates"))
+    keep = [f"`{c}`" for c in features.columns if c != "f"]
+    multi, poly = MULTI.simpleString(), POLY.simpleString()
+    return features.selectExpr(
+        f"f.properties['{id_prop}'] AS `{id_prop}`", *keep, "f.properties AS properties",
+        "f.geometry.type AS geom_type",
+        f"CASE f.geometry.type WHEN 'MultiPolygon' THEN from_json(f.geometry.coordinates, '{multi}') "
+        f"WHEN 'Polygon' THEN array(from_json(f.geometry.coordinates, '{poly}')) END AS coordinates")
 
 
 def read_geojson_dir(spark: SparkSession, pattern: str, id_prop: str = "place_id") -> DataFrame:
@@ -63,13 +61,12 @@ def parse_geojson_text(df: DataFrame, text_col: str = "geojson", id_prop: str =
 
 def to_edges(geoms: DataFrame, id_col: str = "place_id", coords_col: str = "coordinates") -> DataFrame:
     """Edge table: id, part, ring, seq, x1, y1, x2, y2 (rings closed if open)."""
-    parts = geoms.select(id_col, F.posexplode(coords_col).alias("part", "rings"))
-    rings = parts.select(id_col, "part", F.posexplode("rings").alias("ring", "pts"))
-    first, last = F.element_at("pts", 1), F.element_at("pts", -1)
-    closed = F.when(first == last, F.col("pts")).otherwise(F.concat("pts", F.array(first)))
-    rings = rings.withColumn("pts", closed)
-    n = F.size("pts")
-    pairs = F.zip_with(F.slice("pts", 1, n - 1), F.slice("pts", 2, n - 1),
-                       lambda a, b: F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")))
-    return (rings.select(id_col, "part", "ring", F.posexplode(pairs).alias("seq", "e"))
-            .select(id_col, "part", "ring", "seq", "e.x1", "e.y1", "e.x2", "e.y2"))
+    rings = (geoms.selectExpr(f"`{id_col}`", f"posexplode(`{coords_col}`) AS (part, rings)")
+             .selectExpr(f"`{id_col}`", "part", "posexplode(rings) AS (ring, pts)")
+             .selectExpr(f"`{id_col}`", "part", "ring",
+                         "CASE WHEN element_at(pts, 1) = element_at(pts, -1) THEN pts "
+                         "ELSE concat(pts, array(element_at(pts, 1))) END AS pts"))
+    pairs = ("zip_with(slice(pts, 1, size(pts) - 1), slice(pts, 2, size(pts) - 1), "
+             "(a, b) -> named_struct('x1', a[0], 'y1', a[1], 'x2', b[0], 'y2', b[1]))")
+    return (rings.selectExpr(f"`{id_col}`", "part", "ring", f"posexplode({pairs}) AS (seq, e)")
+            .selectExpr(f"`{id_col}`", "part", "ring", "seq", "e.x1", "e.y1", "e.x2", "e.y2"))
