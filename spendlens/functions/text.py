@@ -39,3 +39,13 @@ def city_label(city="city", state_code="state_code") -> Column:
     """``"<city>, <state code>"``, the label the reference joins on."""
     return F.concat(F.coalesce(_col(city), F.lit("NA")), F.lit(", "),
                     F.coalesce(_col(state_code), F.lit("NA")))
+
+
+def geocoder_query(line1="phys_address_01", city="phys_address_city", state="phys_address_st",
+                   zip_code="phys_address_zip") -> Column:
+    """``"<street>, <city>, <state>, <zip>"`` for a geocoder (line 2 left out).
+
+    Built like R's ``paste0`` with literal ", " between parts: a NULL part
+    prints ``NA``.
+    """
+    return r_paste(line1, city, state, zip_code, sep=", ")

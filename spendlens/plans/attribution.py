@@ -77,6 +77,14 @@ class Chain:
     def __init__(self, inp: Inputs, params: Params):
         self.inp, self.p = inp, params
         self._memo: dict = {}
+        # What bounds the size of the city-government UEI table: the registry
+        # while it is a lazy plan, the table itself once it has been written.
+        self._gov_bound: DataFrame | None = inp.registry
+
+    def use_materialized_gov(self, table: DataFrame) -> None:
+        """Replace the UEI side by an already written copy (its real size decides)."""
+        self._memo[("city_gov_ueis", (), ())] = table
+        self._gov_bound = None
 
     # -- places and boundaries -------------------------------------------
     @_step
@@ -177,7 +185,7 @@ class Chain:
         """``city_trans_filtered``: city-government transactions, FY, amount <> 0,
         performed in the recipient's state or unknown."""
         t = self.inp.transactions.filter(F.col("amount") != 0)
-        j = t.join(broadcast_if_small(self.city_gov_ueis(), bound_by=self.inp.registry), "recipient_uei")
+        j = t.join(broadcast_if_small(self.city_gov_ueis(), bound_by=self._gov_bound), "recipient_uei")
         out = match_place_of_performance(j.withColumn("fy", self.fy()))
         # Every output reads these rows: keep them once computed (the pipeline
         # instead checkpoints them to the shared checkpoint folder).

@@ -24,7 +24,7 @@ from spendlens.operators.geocode import cascade_stats
 from spendlens.operators.quality import check_quality, registry_rules
 from spendlens.plans.attribution import Chain, Inputs
 from spendlens.plans.params import Params
-from spendlens.session import cut_lineage
+from spendlens.session import checkpoint_dir, cut_lineage
 from spendlens.sources import sinks
 from spendlens.sources.business_types import code_map, read_business_types
 from spendlens.sources.crosswalk import read_crosswalk
@@ -61,11 +61,32 @@ def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
     return inp, codes
 
 
+def write_small(spark: SparkSession, df: DataFrame, name: str) -> DataFrame | None:
+    """Write ``df`` under the cluster's checkpoint folder and read it back.
+
+    Returns None (keep the lazy plan) when no checkpoint folder is set.
+    """
+    import uuid
+    base = checkpoint_dir(spark)
+    if not base:
+        return None
+    path = f"{base.rstrip('/')}/spendlens-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None = None,
         materialize: bool = True) -> dict[str, DataFrame]:
     """Build all outputs; write them under ``out_dir`` when given."""
     from dataclasses import replace
     chain = Chain(inp, replace(params, reuse_filtered=not materialize))
+    if materialize:
+        # Coarse-to-fine, like the reference: settle the small recipient side
+        # first. Written to the shared checkpoint folder, its real size then
+        # decides whether the one join with the transactions is a broadcast.
+        gov = write_small(spark, chain.city_gov_ueis(), "city_gov_ueis")
+        if gov is not None:
+            chain.use_materialized_gov(gov)
     filtered = chain.filtered()
     if materialize:
         filtered = cut_lineage(filtered, spark)

@@ -114,6 +114,13 @@ def test_address_key_null_line2(spark):
     assert df.select(text.r_paste(F.col("a"), F.col("b"))).first()[0] == "1 MAIN ST NA"
 
 
+def test_geocoder_query_leaves_out_line2(spark):
+    df = spark.createDataFrame([("1 MAIN ST", "BALTIMORE", "MD", None)],
+                               "phys_address_01 string, phys_address_city string, phys_address_st string, "
+                               "phys_address_zip string")
+    assert df.select(text.geocoder_query()).first()[0] == "1 MAIN ST, BALTIMORE, MD, NA"
+
+
 def test_place_of_performance(spark):
     rows = [(1, None), (2, "MARYLAND"), (3, "MD"), (4, "TEXAS")]
     df = spark.createDataFrame(rows, "id int, pop_state string").withColumn("state", F.lit("Maryland")) \
