@@ -24,6 +24,16 @@ EXCLUDE_CODES = ("C7", "2F", "OH")
 NEVER_CODES = ("OH",)
 RECOVER_WORDS = ("City", "County")
 
+# UEIs of recipients the method never counts as city governments
+# (authorities, districts, state offices and firms whose codes look like a
+# consolidated city-county), in the order the method lists them.
+NEVER_CITY_UEIS = (
+    "EG8WAM315LZ5", "T81MLLAMG4K9", "KRN3EHZL2VC3", "EP6MLJ21L3G3", "DTNMMPBN5715",
+    "WVPXXNGJHNN5", "MLB7RPN9DK25", "W8S7DA41BTV3", "C8F3CY5MLJE8", "Y6DVFRLRR2D7",
+    "CDEZZSTCZTR5", "L666V7ZW6CG3", "Z3LULQHD94B9", "GGZZKEZLFZT1", "ND9STDVJND49",
+    "MUP2NS4H1MV7", "GVC3E8KNC8N3", "C234L4APDQ89", "GJ14HLKXRNR5",
+)
+
 
 def flag_city_gov(df: DataFrame, biz: str = "bus_type_string", uei: str = "recipient_uei",
                   code_map: Mapping[str, str] | None = None,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from spendlens.operators import deobligations as deob
 from spendlens.operators.charts import chart_timeline, city_order
 from spendlens.operators.delivery import delivery, place_fy_totals
+from spendlens.operators.filters import NEVER_CITY_UEIS
 from spendlens.operators.geocode import cascade_stats
 from spendlens.operators.quality import check_quality, registry_rules
 from spendlens.plans.attribution import Chain, Inputs
@@ -42,7 +43,7 @@ class Paths:
     geocodes: str                   # parquet: full_addy, provider, lat, long
     transactions: str               # parquet base folder partitioned by shard_year
     business_types: str | None = None
-    blacklist: list[str] = field(default_factory=list)
+    blacklist: list[str] = field(default_factory=lambda: list(NEVER_CITY_UEIS))
 
 
 def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
