@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.functions.codes import has_any_code, has_code, replace_codes, words_all_present
-from spendlens.functions.fiscal import fiscal_year, fiscal_year_as_coded, fy_axis_date
+from spendlens.functions.fiscal import fiscal_year, fiscal_year_as_coded
 from spendlens.functions.money import money_out
 from spendlens.operators import deobligations as deob
 from spendlens.operators.charts import chart_timeline, city_order
@@ -21,7 +21,7 @@ from spendlens.operators.dedup import first_per_key
 from spendlens.operators.delivery import delivery, place_fy_totals
 from spendlens.operators.filters import EXCLUDE_CODES, INCLUDE_CODE, RECOVER_WORDS, flag_city_gov, \
     match_place_of_performance
-from spendlens.operators.geocode import cache_misses, cascade_stats, geocode_cascade
+from spendlens.operators.geocode import cache_misses, cascade_stats
 from spendlens.operators.extras import per_100k, top_agencies
 from spendlens.operators.joins import anti_join, null_safe_join, semi_join
 from spendlens.operators.quality import check_quality, null_counts, registry_rules
@@ -32,7 +32,6 @@ from spendlens.plans import oracle as O
 from spendlens.plans import synthetic as syn
 from spendlens.plans.attribution import Chain
 from spendlens.session import tune_session
-from spendlens.sources.geojson import parse_geojson_text
 from spendlens.sources.shards import split_by_year, union_shards
 from spendlens.sources.snapshots import latest_snapshot
 
@@ -41,7 +40,7 @@ _CHAINS: dict = {}
 
 def chain(spark: SparkSession, d: str, **params) -> Chain:
     """One chain per (session, folder, params): its steps are shared by queries."""
-    key = (id(spark), d, tuple(sorted(params.items())))
+    key = (spark.sparkContext.applicationId, id(spark), d, tuple(sorted(params.items())))
     if key not in _CHAINS:
         tune_session(spark)
         _CHAINS[key] = Chain(syn.inputs(spark, d), syn.test_params(**params))

@@ -27,7 +27,6 @@ Rules (n = nation key, c = customer key):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spendlens.functions.fiscal import fiscal_year
 from spendlens.plans.params import Params
@@ -71,7 +70,7 @@ _READS: dict = {}
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     """One reader per table and session (schema read once, plans share the scan)."""
-    key = (id(spark), d, name)
+    key = (spark.sparkContext.applicationId, id(spark), d, name)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{d}/{name}.parquet")
     return _READS[key]

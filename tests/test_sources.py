@@ -1,8 +1,5 @@
 """Readers and writers on small generated files."""
 
-import glob
-import os
-
 from pyspark.sql import functions as F
 
 from spendlens.operators.dedup import first_per_key
