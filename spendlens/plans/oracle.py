@@ -122,7 +122,7 @@ SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS id,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
      JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
-view("blacklist", [], "SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS recipient_uei FROM customer WHERE c_custkey % 9 = 4")
+view("blacklist", [], "SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS recipient_uei FROM customer WHERE c_acctbal < 0")
 
 view("hit_base", [], f"""
 SELECT c_custkey AS ck,
@@ -145,10 +145,10 @@ FROM (SELECT *, 1 AS provider, ck % 4 <> 0 AS found FROM hit_base
       UNION ALL SELECT *, 2, ck % 20 <> 0 FROM hit_base WHERE ck % 4 = 0
       UNION ALL SELECT *, 3, ck % 100 <> 0 FROM hit_base WHERE ck % 20 = 0)""")
 
-view("geocode_cache", ["provider_hits", "registry"], f"""
+view("geocode_cache", ["provider_hits", "hit_base"], """
 SELECT DISTINCT full_addy, lat, long FROM provider_hits
 WHERE provider = 1 AND lat IS NOT NULL
-  AND full_addy IN (SELECT {_ADDR} FROM registry WHERE ordinal < 1000000 AND ordinal % 3 = 1)""")
+  AND full_addy IN (SELECT h.full_addy FROM hit_base h JOIN customer c ON h.ck = c.c_custkey WHERE c.c_acctbal > 5000)""")
 
 view("grid", [], """
 SELECT 'p' || CAST(n_nationkey AS VARCHAR) AS place_id, n_nationkey % 5 AS gx, n_nationkey // 5 AS gy,

@@ -18,7 +18,9 @@ Rules (n = nation key, c = customer key):
   are registered too (municipalities) but never receive money.
 * transactions: one per line item; the award is the order; returned lines
   are deobligations; quantity 50 gives a zero amount.
-* geocoder results: three providers in priority order over customers.
+* geocoder results: three providers in priority order over customers; an
+  earlier cache holds the customers with a balance over 5000.
+* blacklist: customers in debit (negative balance).
 * boundaries: a 5 x 5 grid of places, squares, squares with a hole,
   two-part shapes and triangles (coordinates are multiples of 1/16 so they
   print and parse exactly).
@@ -204,16 +206,16 @@ def provider_hits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def geocode_cache(spark: SparkSession, d: str) -> DataFrame:
-    """A cache from an earlier run: provider-1 hits of customers with c % 3 = 1."""
-    keys = (_t(spark, d, "customer").filter("c_custkey % 3 = 1").selectExpr("*", "0 AS dup")
+    """A cache from an earlier run: provider-1 hits of customers with a balance over 5000."""
+    keys = (_t(spark, d, "customer").filter("c_acctbal > 5000").selectExpr("*", "0 AS dup")
             .selectExpr(f"{_full_addy_sql(_CUSTOMER_ADDRESS)} AS full_addy"))
     return (provider_hits(spark, d).filter("provider = 1 AND lat IS NOT NULL")
             .join(keys, "full_addy", "left_semi").select("full_addy", "lat", "long").distinct())
 
 
 def blacklist(spark: SparkSession, d: str) -> DataFrame:
-    """Recipients that are never city governments: customers with c % 9 = 4."""
-    return _t(spark, d, "customer").filter("c_custkey % 9 = 4").selectExpr("lpad(c_custkey, 12, '0') AS recipient_uei")
+    """Recipients that are never city governments: customers in debit (balance below 0)."""
+    return _t(spark, d, "customer").filter("c_acctbal < 0").selectExpr("lpad(c_custkey, 12, '0') AS recipient_uei")
 
 
 def _ring_sql(x0: int, x1: int, y0: int, y1: int, kind: str) -> str:
