@@ -77,8 +77,12 @@ def recipients_in_places(recipients: DataFrame, located: DataFrame, key: str = "
 
 def uei_place(recipients_located: DataFrame, places: DataFrame, uei: str = "recipient_uei",
               place: str = "place_id", order_by: str = "ordinal",
-              bound_by: DataFrame | None = None) -> DataFrame:
-    """One place row per UEI (first place row per place, first row per UEI)."""
+              bound_by: DataFrame | None = None, unique_ueis: bool = False) -> DataFrame:
+    """One place row per UEI (first place row per place, first row per UEI).
+
+    ``unique_ueis=True`` tells that the input already has one row per UEI
+    (then the last dedup, a shuffle, is skipped).
+    """
     first_place = first_per_key(places, place, "place_order").drop("ordinal", "place_order")
     j = recipients_located.select(uei, place, order_by).join(broadcast_if_small(first_place, bound_by=bound_by), place)
-    return first_per_key(j, uei, order_by)
+    return j if unique_ueis else first_per_key(j, uei, order_by)

@@ -103,4 +103,6 @@ def point_in_polygon(points: DataFrame, edges: DataFrame, id_col: str = "point_i
                              broadcast_limit, bound_by)
     best = hits.groupBy(id_col).agg(F.min(place_col).alias(place_col), F.count("*").alias("n_hits"))
     out = points.join(best, id_col, how)
+    if how == "inner":
+        return out
     return out.withColumn("n_hits", F.coalesce(F.col("n_hits"), F.lit(0)).cast("bigint"))

@@ -147,7 +147,10 @@ class Chain:
 
     @_step
     def uei_place(self) -> DataFrame:
-        return _small(rec.uei_place(self.recipients_in_city(), self.places(), bound_by=self.inp.places_raw))
+        # recipients_in_city joins one row per UEI (active) with one row per
+        # address (located), so it already holds each UEI once.
+        return _small(rec.uei_place(self.recipients_in_city(), self.places(), bound_by=self.inp.places_raw,
+                                    unique_ueis=True))
 
     # -- transactions -----------------------------------------------------
     def fy(self):
