@@ -18,6 +18,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_str(text: str) -> str:
+    """A Spark SQL string literal holding ``text`` exactly."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def split_codes(c, sep: str = "~") -> Column:
     """``strsplit(s, sep)`` as ARRAY<STRING> (the separator is literal text)."""
     return F.split(_col(c), re.escape(sep))
@@ -51,6 +56,11 @@ def replace_codes(c, code_map: Mapping[str, str], sep: str = "~") -> Column:
     """
     if not code_map:
         return _col(c)
+    if isinstance(c, str):
+        pairs = ", ".join(f"{_sql_str(k)}, {_sql_str(v)}" for k, v in code_map.items())
+        col = "`" + c.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN {col} IS NOT NULL THEN array_join(transform(split({col}, {_sql_str(re.escape(sep))}), "
+                      f"t -> coalesce(element_at(map({pairs}), t), t)), {_sql_str(sep)}) END")
     m = F.create_map(*[x for k, v in code_map.items() for x in (F.lit(k), F.lit(v))])
     names = F.transform(split_codes(c, sep), lambda t: F.coalesce(F.element_at(m, t), t))
     return F.when(_col(c).isNotNull(), F.array_join(names, sep))

@@ -84,5 +84,5 @@ def nonzero_amount(df: DataFrame, amount: str = "amount") -> DataFrame:
 def match_place_of_performance(df: DataFrame, pop: str = "pop_state", state: str = "state",
                                state_code: str = "state_code") -> DataFrame:
     """Keep rows performed in the recipient's state (name, code) or unknown."""
-    p = F.col(pop)
-    return df.filter((p == F.upper(F.col(state))) | (p == F.col(state_code)) | p.isNull())
+    p = f"`{pop}`"
+    return df.filter(f"{p} = upper(`{state}`) OR {p} = `{state_code}` OR {p} IS NULL")

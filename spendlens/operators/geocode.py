@@ -28,9 +28,8 @@ def geocode_cascade(hits: DataFrame, key: str = "full_addy", priority: str = "pr
                     lat: str = "lat", long: str = "long") -> DataFrame:
     """One row per address that some provider found, best provider first."""
     best = (hits.filter(found(lat, long))
-            .groupBy(key).agg(F.min_by(F.struct(F.col(lat).alias(lat), F.col(long).alias(long),
-                                                F.col(priority).alias(priority)), F.col(priority)).alias("b")))
-    return best.select(key, f"b.{lat}", f"b.{long}", f"b.{priority}")
+            .groupBy(key).agg(F.expr(f"min_by(struct(`{lat}`, `{long}`, `{priority}`), `{priority}`)").alias("b")))
+    return best.selectExpr(f"`{key}`", f"b.`{lat}`", f"b.`{long}`", f"b.`{priority}`")
 
 
 def cascade_stats(hits: DataFrame, key: str = "full_addy", priority: str = "provider",

@@ -76,6 +76,11 @@ def anti_join(left: DataFrame, right: DataFrame, keys, right_keys=None,
 def _filtering_join(left, right, keys, right_keys, null_safe, how, broadcast_limit, bound_by=None):
     lk = _keys(keys)
     rk = _keys(right_keys) if right_keys is not None else lk
+    if not null_safe:
+        # equi-join on names: rename the right keys to the left names
+        r = right.selectExpr(*[f"`{b}` AS `{a}`" for a, b in zip(lk, rk)])
+        r = broadcast_if_small(r, broadcast_limit, bound_by if bound_by is not None else right)
+        return left.join(r, lk, how)
     r = right.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(rk)])
     r = broadcast_if_small(r, broadcast_limit, bound_by if bound_by is not None else right)
     conds = [(left[a].eqNullSafe(r[f"__k{i}"]) if null_safe else left[a] == r[f"__k{i}"])

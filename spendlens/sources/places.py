@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.functions.text import city_label
 
 # Header names of the place metadata file -> our column names.
 PLACE_COLUMNS = {
@@ -39,7 +38,9 @@ def prepare_places(raw: DataFrame, list_col: str = "geoid_list", sep: str = ", "
 
     ``place_order`` = file ordinal * 1000 + position of the GEOID in its cell.
     """
-    return (raw.withColumn("city_label", city_label("city", "state_code"))
-            .select("*", F.posexplode(F.split(F.col(list_col), sep)).alias("geoid_pos", "geoid"))
-            .withColumn("place_order", F.col("ordinal").cast("bigint") * 1000 + F.col("geoid_pos"))
-            .drop(list_col, "geoid_pos"))
+    keep = [f"`{c}`" for c in raw.columns if c != list_col]
+    sep_sql = sep.replace("\\", "\\\\").replace("'", "\\'")
+    return (raw.selectExpr(*keep, "concat(coalesce(city, 'NA'), ', ', coalesce(state_code, 'NA')) AS city_label",
+                           f"posexplode(split(`{list_col}`, '{sep_sql}')) AS (geoid_pos, geoid)")
+            .selectExpr("*", "CAST(ordinal AS BIGINT) * 1000 + geoid_pos AS place_order")
+            .drop("geoid_pos"))
