@@ -28,7 +28,8 @@ def chart_timeline(df: DataFrame, place: str = "city_label", fy: str = "fy",
     (axis from 0) does not show.
     """
     per = df.groupBy(place, fy).agg(F.sum(amount).alias("__t"))
-    order = city_order(df, place, amount).select(place, "city_rank")
+    # rank places from the small per-(place, year) table, not from the rows again
+    order = city_order(per, place, "__t").select(place, "city_rank")
     return (per.join(order, place)
             .select(place, F.col(fy), fy_axis_date(fy).alias("axis_date"), money_out("__t").alias("total"),
                     million_label("__t").alias("label_m"), F.col("city_rank"),

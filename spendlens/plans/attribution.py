@@ -161,7 +161,8 @@ class Chain:
     @_step
     def txn_placed(self) -> DataFrame:
         up = self.uei_place().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21")
-        return (self.inp.transactions.join(broadcast_if_small(up, bound_by=self.inp.registry), "recipient_uei")
+        return (self.inp.transactions.join(broadcast_if_small(up, bound_by=self.inp.registry), "recipient_uei",
+                                           self.p.placement_join)
                 .withColumn("fy", self.fy()))
 
     @_step
@@ -171,7 +172,8 @@ class Chain:
 
     @_step
     def txn_registry(self) -> DataFrame:
-        return self.txn_placed().join(broadcast_if_small(self.registry_reduced(), bound_by=self.inp.registry), "recipient_uei")
+        return self.txn_placed().join(broadcast_if_small(self.registry_reduced(), bound_by=self.inp.registry),
+                                      "recipient_uei", self.p.placement_join)
 
     @_step
     def city_gov_ueis(self) -> DataFrame:

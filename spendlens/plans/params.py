@@ -20,3 +20,4 @@ class Params:
     band: float | None = None          # y band of the edge index (default cell / 4)
     code_map: dict = field(default_factory=dict)
     reuse_filtered: bool = True        # persist the filtered transactions for later outputs
+    placement_join: str = "inner"      # "left": keep transactions without place/registry rows (docs)

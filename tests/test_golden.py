@@ -147,3 +147,15 @@ def test_zcta_in_two_places(spark):
     places = spark.createDataFrame([("0446000",), ("0473000",)], "geoid string")
     got = sorted((r.geoid_place, r.geoid_zcta) for r in city_zctas(cw, places).collect())
     assert got == [("0446000", "85282"), ("0473000", "85282")]
+
+
+def test_placement_join_modes(spark):
+    from spendlens.plans import synthetic as syn
+    from spendlens.plans.attribution import Chain
+    d = "/root/testdata/sf0.001"
+    import os
+    if not os.path.exists(d):
+        return
+    inner = Chain(syn.inputs(spark, d), syn.test_params()).txn_placed().count()
+    left = Chain(syn.inputs(spark, d), syn.test_params(placement_join="left")).txn_placed().count()
+    assert left == syn.transactions(spark, d).count() and inner < left
