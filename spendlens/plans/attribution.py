@@ -161,7 +161,7 @@ class Chain:
     @_step
     def txn_placed(self) -> DataFrame:
         up = self.uei_place().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21")
-        return (self.inp.transactions.join(broadcast_if_small(up, bound_by=self.inp.registry), "recipient_uei",
+        return (self.inp.transactions.join(broadcast_if_small(up, self.p.broadcast_limit, self.inp.registry), "recipient_uei",
                                            self.p.placement_join)
                 .withColumn("fy", self.fy()))
 
@@ -172,7 +172,7 @@ class Chain:
 
     @_step
     def txn_registry(self) -> DataFrame:
-        return self.txn_placed().join(broadcast_if_small(self.registry_reduced(), bound_by=self.inp.registry),
+        return self.txn_placed().join(broadcast_if_small(self.registry_reduced(), self.p.broadcast_limit, self.inp.registry),
                                       "recipient_uei", self.p.placement_join)
 
     @_step
@@ -190,7 +190,7 @@ class Chain:
         """``city_trans_filtered``: city-government transactions, FY, amount <> 0,
         performed in the recipient's state or unknown."""
         t = self.inp.transactions.filter(F.col("amount") != 0)
-        j = t.join(broadcast_if_small(self.city_gov_ueis(), bound_by=self._gov_bound), "recipient_uei")
+        j = t.join(broadcast_if_small(self.city_gov_ueis(), self.p.broadcast_limit, self._gov_bound), "recipient_uei")
         out = match_place_of_performance(j.withColumn("fy", self.fy()))
         # Every output reads these rows: keep them once computed (the pipeline
         # instead checkpoints them to the shared checkpoint folder).

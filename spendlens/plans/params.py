@@ -21,3 +21,4 @@ class Params:
     code_map: dict = field(default_factory=dict)
     reuse_filtered: bool = True        # persist the filtered transactions for later outputs
     placement_join: str = "inner"      # "left": keep transactions without place/registry rows (docs)
+    broadcast_limit: int | None = None # bytes; None = operators.joins.DEFAULT_BROADCAST_LIMIT, 0 = never

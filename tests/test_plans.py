@@ -36,3 +36,29 @@ def test_flagship_joins_transactions_once_with_broadcast(spark):
     plan = _plan(df)
     assert "SortMergeJoin" not in plan.split("InMemoryTableScan")[0]
     assert "BroadcastHashJoin [recipient_uei" in plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+def test_flagship_without_broadcast_gives_same_totals(spark):
+    """Beyond the size limit the big join is a shuffle join; results do not change."""
+    from spendlens.plans import synthetic as syn
+    from spendlens.plans.attribution import Chain
+    expected = sorted(tuple(r) for r in Chain(syn.inputs(spark, SF), syn.test_params()).annual_net_totals().collect())
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.catalog.clearCache()      # the first chain's cached rows would hide the join
+        for k in keys:
+            spark.conf.set(k, "-1")
+        ch = Chain(syn.inputs(spark, SF), syn.test_params(broadcast_limit=0, reuse_filtered=False))
+        filtered = ch.filtered()
+        filtered.count()
+        assert "SortMergeJoin" in _plan(filtered)
+        got = sorted(tuple(r) for r in ch.annual_net_totals().collect())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == expected
