@@ -217,6 +217,11 @@ register("recipients_in_city", W("SELECT recipient_uei, full_addy, place_id, lat
                                  ["recipients_in_city"]))(
     lambda spark, d: chain(spark, d).recipients_in_city().select("recipient_uei", "full_addy", "place_id", "lat", "long"))
 
+register("recipients_in_city_first_uei", W("""SELECT a.recipient_uei, a.full_addy, l.place_id, l.lat, l.long
+FROM addresses a JOIN located l ON a.full_addy = l.full_addy""", ["addresses", "located"]))(
+    lambda spark, d: chain(spark, d, first_uei_only=True).recipients_in_city()
+    .select("recipient_uei", "full_addy", "place_id", "lat", "long"))
+
 register("uei_place", W("SELECT recipient_uei, place_id, city_label, geoid, pop_21 FROM uei_place", ["uei_place"]))(
     lambda spark, d: chain(spark, d).uei_place().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21"))
 
