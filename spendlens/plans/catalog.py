@@ -288,6 +288,10 @@ register("annual_net_totals", W(O.ANNUAL_SQL, ["contrib"]))(
     lambda spark, d: chain(spark, d).annual_net_totals())
 
 
+register("annual_net_totals_fy_as_coded", W(O.ANNUAL_SQL.replace("FROM contrib ", "FROM contrib_fyc "), ["contrib_fyc"]))(
+    lambda spark, d: chain(spark, d, fy_mode="as_coded").annual_net_totals())
+
+
 @register("full_outer_totals", W(O.ANNUAL_SQL, ["contrib"]))
 def _full_outer(spark, d):
     c = deob.spread_contributions(chain(spark, d).filtered(), syn.FIRST_FY)

@@ -305,6 +305,15 @@ WHERE p.award_class = 'only_neg'"""
 view("contrib", ["ayt", "prof"], contrib_sql("documented"))
 view("contrib_as_coded", ["ayt", "prof"], contrib_sql("as_coded"))
 
+# The same chain with the fiscal year as the delivered code computes it
+# (text ranges on year-month), for the as-coded variant of the totals.
+view("filtered_fyc", ["transactions", "city_gov_ueis"], V["filtered"][1].replace(FY_SQL, fy_as_coded_sql("t.ym")))
+view("ayt_fyc", ["filtered_fyc"], V["ayt"][1].replace("FROM filtered ", "FROM filtered_fyc "))
+view("prof_fyc", ["ayt_fyc"], V["prof"][1].replace("FROM ayt ", "FROM ayt_fyc "))
+view("contrib_fyc", ["ayt_fyc", "prof_fyc"],
+     contrib_sql("documented").replace("FROM ayt a JOIN prof p", "FROM ayt_fyc a JOIN prof_fyc p")
+     .replace("FROM prof p", "FROM prof_fyc p"))
+
 ANNUAL_SQL = """
 SELECT city_label, fy,
        CAST(ROUND(no_deobs, 2) AS DOUBLE) AS no_deobs, CAST(ROUND(deob_with_ob, 2) AS DOUBLE) AS deob_with_ob,
