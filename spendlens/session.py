@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans depend on. Timestamps and dates must not move with the
@@ -94,10 +92,3 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     if checkpoint_dir(spark):
         return df.checkpoint(eager=True)
     return df
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Header names of the place metadata file -> our column names.
+# Header names of the place metadata file -> our column names.
 PLACE_COLUMNS = {
     "SOLE Place ID": "place_id",
     "2020 Census GEOIDs": "geoid_list",
