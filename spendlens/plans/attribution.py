@@ -130,28 +130,57 @@ class Chain:
 
     @_step
     def coordinates(self) -> DataFrame:
+        """Best geocode per address of the active recipients (the cascade report)."""
         asked = semi_join(self.inp.hits, self.addresses(), "full_addy", bound_by=self.inp.registry)
         return geocode_cascade(asked)
 
     @_step
     def located(self) -> DataFrame:
-        """Addresses inside a place: full_addy, lat, long, provider, place_id, n_hits."""
-        return _small(point_in_polygon(self.coordinates(), self.edges(), id_col="full_addy", x="long", y="lat",
-                                cell=self.p.cell, band=self.p.band, how="inner",
-                                bound_by=self.inp.edges if self.inp.edges is not None else self.inp.boundaries))
+        """Addresses inside a place: full_addy, lat, long, provider, place_id, n_hits.
+
+        Points are the addresses of every coarse recipient that has a geocode
+        (a location depends on the address only), so the transaction side
+        never has to be scanned first to decide which recipients to place.
+        """
+        asked = semi_join(self.inp.hits, self.coarse_first(), "full_addy", bound_by=self.inp.registry)
+        return _small(point_in_polygon(geocode_cascade(asked), self.edges(), id_col="full_addy", x="long", y="lat",
+                                       cell=self.p.cell, band=self.p.band, how="inner",
+                                       bound_by=self.inp.edges if self.inp.edges is not None else self.inp.boundaries))
+
+    @_step
+    def located_recipients(self) -> DataFrame:
+        """Every coarse recipient (first row per UEI) whose address lies in a place."""
+        return rec.recipients_in_places(self.coarse_first(), self.located().drop("provider"),
+                                        bound_by=self.inp.registry)
 
     @_step
     def recipients_in_city(self) -> DataFrame:
-        return rec.recipients_in_places(self.active(), self.located().drop("provider"),
-                                        first_uei_only=self.p.first_uei_only, bound_by=self.inp.registry)
+        """Recipients with transactions whose address lies in a place."""
+        if self.p.first_uei_only:
+            # as coded: only the first active UEI of each address goes on
+            return rec.recipients_in_places(self.active(), self.located().drop("provider"),
+                                            first_uei_only=True, bound_by=self.inp.registry)
+        return semi_join(self.located_recipients(), self.txn_ueis(), "recipient_uei", bound_by=self.inp.registry)
 
     @_step
     def uei_place(self) -> DataFrame:
-        # recipients_in_city joins one row per UEI (active) with one row per
-        # address (located), so it already holds each UEI once.
+        # recipients_in_city joins one row per UEI with one row per address
+        # (located), so it already holds each UEI once.
         return _small(rec.uei_place(self.recipients_in_city(), self.places(), bound_by=self.inp.places_raw,
                                     unique_ueis=True))
 
+    @_step
+    def uei_place_all(self) -> DataFrame:
+        """UEI -> place for every located coarse recipient, active or not.
+
+        For the totals the activity test is not needed (a recipient without
+        transactions adds nothing), so this side skips the transaction scan.
+        """
+        if self.p.first_uei_only:
+            return self.uei_place()
+        return _small(rec.uei_place(self.located_recipients(), self.places(), bound_by=self.inp.places_raw,
+                                    unique_ueis=True))
+
     # -- transactions -----------------------------------------------------
     def fy(self):
         if self.p.fy_mode == "as_coded":
@@ -182,7 +211,7 @@ class Chain:
                                 blacklist=self.inp.blacklist, mode=self.p.code_mode)
         gov = flagged.filter(F.col("is_city_gov")).select("recipient_uei", "reason")
         st = self.places().select("geoid", "state", "state_code")
-        up = self.uei_place().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21")
+        up = self.uei_place_all().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21")
         return _small(up.join(gov, "recipient_uei").join(st, "geoid"))
 
     @_step

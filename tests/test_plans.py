@@ -62,3 +62,14 @@ def test_flagship_without_broadcast_gives_same_totals(spark):
             else:
                 spark.conf.set(k, v)
     assert got == expected
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+def test_flagship_scans_transactions_once(spark):
+    """The totals need no pre-scan for active recipients: one pass over the transactions."""
+    from spendlens.plans import synthetic as syn
+    from spendlens.plans.attribution import Chain
+    spark.catalog.clearCache()
+    ch = Chain(syn.inputs(spark, SF), syn.test_params(reuse_filtered=False))
+    plan = ch.annual_net_totals()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1
