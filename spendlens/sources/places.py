@@ -29,7 +29,7 @@ def read_city_places(spark: SparkSession, path: str, columns: dict[str, str] | N
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     df = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()])
     if "pop_21" in df.columns:
-        df = df.withColumn("pop_21", F.expr("try_cast(pop_21 AS BIGINT)"))
+        df = df.withColumn("pop_21", F.expr("try_cast(regexp_replace(pop_21, '[, ]', '') AS BIGINT)"))
     return df.withColumn("ordinal", F.monotonically_increasing_id())
 
 

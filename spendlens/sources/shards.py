@@ -15,9 +15,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Column names of the transaction tables -> our names.
+TRANSACTION_COLUMNS = {
+    "federal_action_obligation": "amount",
+    "award_summary_unique_key": "award_key",
+    "action_date_year_month": "ym",
+    "primary_place_of_performance_state_name": "pop_state",
+}
+
+
+def standardize_transactions(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
+    """Rename the source's transaction columns to ours (only those present).
+
+    ``amount`` becomes DECIMAL(18,2) and ``action_date`` a DATE, so sums are
+    exact whatever type the source used.
+    """
+    columns = TRANSACTION_COLUMNS if columns is None else columns
+    present = {k: v for k, v in columns.items() if k in df.columns}
+    if present:
+        df = df.withColumnsRenamed(present)
+    if "amount" in df.columns:
+        df = df.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    if "action_date" in df.columns:
+        df = df.withColumn("action_date", F.to_date("action_date"))
+    return df
+
+
 def read_parquet_shards(spark: SparkSession, base: str) -> DataFrame:
-    """Parquet laid out as ``base/shard_year=YYYY/*.parquet``."""
-    return spark.read.option("basePath", base).parquet(base)
+    """Parquet laid out as ``base/shard_year=YYYY/*.parquet``, columns standardized."""
+    return standardize_transactions(spark.read.option("basePath", base).parquet(base))
 
 
 def read_jdbc_shards(spark: SparkSession, urls: Mapping[int, str], table: str = "transactions",

@@ -3,7 +3,6 @@
 import datetime as dt
 import glob
 import json
-from decimal import Decimal
 
 from spendlens.plans.params import Params
 from spendlens.plans.pipeline import Paths, load_inputs, run
@@ -33,13 +32,15 @@ def _world(spark, d):
     addy = "1 MAIN ST NA BALTIMORE MD 21201"
     spark.createDataFrame([(addy, 1, 39.2904, -76.6122)], "full_addy string, provider int, lat double, long double") \
         .write.parquet(f"{d}/geocodes")
-    txn = [(1, "U00000000001", "A1", dt.date(2018, 3, 1), "2018-3", Decimal("100.00"), "MARYLAND", "AG"),
-           (2, "U00000000001", "A1", dt.date(2019, 5, 1), "2019-5", Decimal("-40.00"), None, "AG"),
-           (3, "U00000000001", "A2", dt.date(2019, 6, 1), "2019-6", Decimal("-30.00"), "MD", "AG"),
-           (4, "U00000000001", "A3", dt.date(2019, 6, 1), "2019-6", Decimal("500.00"), "TEXAS", "AG"),
-           (5, "U00000000003", "A4", dt.date(2019, 6, 1), "2019-6", Decimal("7.00"), None, "AG")]
-    schema = ("id int, recipient_uei string, award_key string, action_date date, ym string, "
-              "amount decimal(18,2), pop_state string, awarding_agency_name string")
+    txn = [(1, "U00000000001", "A1", dt.date(2018, 3, 1), "2018-3", 100.0, "MARYLAND", "AG"),
+           (2, "U00000000001", "A1", dt.date(2019, 5, 1), "2019-5", -40.0, None, "AG"),
+           (3, "U00000000001", "A2", dt.date(2019, 6, 1), "2019-6", -30.0, "MD", "AG"),
+           (4, "U00000000001", "A3", dt.date(2019, 6, 1), "2019-6", 500.0, "TEXAS", "AG"),
+           (5, "U00000000003", "A4", dt.date(2019, 6, 1), "2019-6", 7.0, None, "AG")]
+    # the upstream column names; the reader maps them to ours
+    schema = ("id int, recipient_uei string, award_summary_unique_key string, action_date date, "
+              "action_date_year_month string, federal_action_obligation double, "
+              "primary_place_of_performance_state_name string, awarding_agency_name string")
     df = spark.createDataFrame(txn, schema)
     for y in (2018, 2019):
         df.filter(f"year(action_date) = {y}").write.parquet(f"{d}/txn/shard_year={y}")

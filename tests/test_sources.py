@@ -41,7 +41,7 @@ def test_crosswalk_and_places(spark, tmp_dir):
     assert sorted((r.geoid_place, r.geoid_zcta) for r in cw.collect()) == [("0446000", "85282"), ("0473000", None)]
     with open(f"{tmp_dir}/places.csv", "w") as f:
         f.write('SOLE Place ID,2020 Census GEOIDs,City name,State Code,State,SoLE region,Population 2021,Extra\n'
-                'c-us-ky-lou,"2148000, 2148006",Louisville,KY,Kentucky,South,628594,x\n'
+                'c-us-ky-lou,"2148000, 2148006",Louisville,KY,Kentucky,South,"628,594",x\n'
                 'c-us-md-bal,2404000,Baltimore,MD,Maryland,East,576498,y\n')
     p = prepare_places(read_city_places(spark, f"{tmp_dir}/places.csv"))
     rows = sorted((r.place_id, r.geoid, r.city_label, r.pop_21) for r in p.collect())
