@@ -40,7 +40,7 @@ class Paths:
     crosswalk: str                  # ZCTA-place relationship file
     places: str                     # city metadata CSV
     boundaries: str                 # glob of GeoJSON files
-    geocodes: str                   # parquet: full_addy, provider, lat, long
+    geocodes: str                   # parquet: full_addy, lat, long (+ provider when several)
     transactions: str               # parquet base folder partitioned by shard_year
     business_types: str | None = None
     blacklist: list[str] = field(default_factory=lambda: list(NEVER_CITY_UEIS))
@@ -53,10 +53,13 @@ def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
     codes = code_map(read_business_types(spark, paths.business_types)) if paths.business_types else {}
     bl = (spark.createDataFrame([(u,) for u in paths.blacklist], "recipient_uei string")
           if paths.blacklist else None)
+    hits = spark.read.parquet(paths.geocodes)
+    if "provider" not in hits.columns:      # a plain cache: one provider
+        hits = hits.withColumn("provider", F.lit(1))
     inp = Inputs(registry=read_registry(spark, paths.registry),
                  crosswalk=read_crosswalk(spark, paths.crosswalk),
                  places_raw=read_city_places(spark, paths.places),
-                 boundaries=geoms, hits=spark.read.parquet(paths.geocodes),
+                 boundaries=geoms, hits=hits,
                  transactions=read_parquet_shards(spark, paths.transactions),
                  blacklist=bl, edges=to_edges(geoms))
     return inp, codes

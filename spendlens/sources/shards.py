@@ -65,7 +65,7 @@ def read_jdbc_shards(spark: SparkSession, urls: Mapping[int, str], table: str =
             r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
                  .option("upperBound", upper).option("numPartitions", num_partitions))
         frames.append(r.load().withColumn("shard_year", F.lit(year)))
-    return union_shards(frames)
+    return standardize_transactions(union_shards(frames))
 
 
 def union_shards(frames: list[DataFrame]) -> DataFrame:

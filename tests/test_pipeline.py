@@ -30,8 +30,8 @@ def _world(spark, d):
     with open(f"{d}/c-us-md-bal.geojson", "w") as f:
         json.dump(fc, f)
     addy = "1 MAIN ST NA BALTIMORE MD 21201"
-    spark.createDataFrame([(addy, 1, 39.2904, -76.6122)], "full_addy string, provider int, lat double, long double") \
-        .write.parquet(f"{d}/geocodes")
+    spark.createDataFrame([(addy, 39.2904, -76.6122)], "full_addy string, lat double, long double") \
+        .write.parquet(f"{d}/geocodes")   # a plain cache, as the method keeps it
     txn = [(1, "U00000000001", "A1", dt.date(2018, 3, 1), "2018-3", 100.0, "MARYLAND", "AG"),
            (2, "U00000000001", "A1", dt.date(2019, 5, 1), "2019-5", -40.0, None, "AG"),
            (3, "U00000000001", "A2", dt.date(2019, 6, 1), "2019-6", -30.0, "MD", "AG"),
