@@ -46,6 +46,12 @@ class Inputs:
     edges: DataFrame | None = None
 
 
+# Columns of the filtered transactions that later outputs use.
+FILTERED_COLUMNS = ("id", "recipient_uei", "award_key", "action_date", "ym", "fy", "amount", "pop_state",
+                    "awarding_agency_name", "shard_year", "place_id", "city_label", "geoid", "pop_21", "reason",
+                    "state", "state_code")
+
+
 def _small(df: DataFrame) -> DataFrame:
     """Keep a small, reused recipient-side table once computed.
 
@@ -221,6 +227,9 @@ class Chain:
         t = self.inp.transactions.filter(F.col("amount") != 0)
         j = t.join(broadcast_if_small(self.city_gov_ueis(), self.p.broadcast_limit, self._gov_bound), "recipient_uei")
         out = match_place_of_performance(j.withColumn("fy", self.fy()))
+        # Only the columns the outputs read: Spark cannot prune columns below a
+        # persisted or checkpointed relation, so narrow the rows before that.
+        out = out.select(*[c for c in FILTERED_COLUMNS if c in out.columns])
         # Every output reads these rows: keep them once computed (the pipeline
         # instead checkpoints them to the shared checkpoint folder).
         return out.persist(StorageLevel.MEMORY_AND_DISK) if self.p.reuse_filtered else out
