@@ -73,3 +73,25 @@ def test_flagship_scans_transactions_once(spark):
     ch = Chain(syn.inputs(spark, SF), syn.test_params(reuse_filtered=False))
     plan = ch.annual_net_totals()._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [l_orderkey") == 1
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+def test_invariants_on_test_tables(spark):
+    """§5 invariants: disjoint polygons give 0 or 1 place per point; award classes partition the groups;
+    spreading conserves money per (award, place)."""
+    from pyspark.sql import functions as F
+
+    from spendlens.plans import catalog
+    from spendlens.plans.synthetic import FIRST_FY
+    q = catalog.queries()
+    pip = q["point_in_polygon"](spark, SF)
+    assert pip.agg(F.max("n_hits")).first()[0] <= 1
+    filtered = catalog.chain(spark, SF).filtered()
+    classes = deob.award_class(filtered)
+    groups = filtered.select("award_key", "city_label").distinct().count()
+    assert classes.count() == groups
+    assert {r.award_class for r in classes.select("award_class").distinct().collect()} == {"none", "both", "only_neg"}
+    before = filtered.groupBy("award_key", "city_label").agg(F.sum("amount").alias("a"))
+    after = deob.spread_contributions(filtered, FIRST_FY).groupBy("award_key", "city_label").agg(F.sum("value").alias("b"))
+    worst = before.join(after, ["award_key", "city_label"]).select(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
+    assert worst <= Decimal("0.00001") * 8      # at most one 6-place rounding per year
