@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from . import decontaminate, jaccard_join
 from .chat import op8_chat
+from .decontaminate import op3_decontamination
+from .jaccard_join import op4_jaccard
+from .langid import op7_language
+from .packing import op6_packing
+from .pii import op5_surrogates
 from .sharding import op2_sharding
+from .simhash import op10_simhash
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_decontamination": op3_decontamination,
+    "op4_jaccard": op4_jaccard,
+    "op5_surrogates": op5_surrogates,
+    "op6_packing": op6_packing,
+    "op7_language": op7_language,
     "op8_chat": op8_chat,
+    "op10_simhash": op10_simhash,
 }
 
 
@@ -16,4 +29,4 @@ def queries() -> dict:
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": decontaminate.ORACLE, "op4_jaccard": jaccard_join.ORACLE}
