@@ -6,13 +6,16 @@ from . import decontaminate, jaccard_join
 from .chat import op8_chat
 from .decontaminate import op3_decontamination
 from .jaccard_join import op4_jaccard
+from .katz import op9_katz
 from .langid import op7_language
 from .packing import op6_packing
 from .pii import op5_surrogates
 from .sharding import op2_sharding
 from .simhash import op10_simhash
+from .substring_dedup import op1_substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard": op4_jaccard,
@@ -20,6 +23,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_language": op7_language,
     "op8_chat": op8_chat,
+    "op9_katz": op9_katz,
     "op10_simhash": op10_simhash,
 }
 
