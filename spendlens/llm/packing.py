@@ -222,6 +222,11 @@ def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
         F.transform("p", lambda x: F.struct(x["offset"].alias("offset"), x["doc_id"].alias("doc_id"))).alias("documents"))
 
 
-def op6_packing(spark, sf_dir: str) -> DataFrame:
-    placed = pack(tokenized(table(spark, sf_dir, "documents")))
+def placements(docs: DataFrame) -> DataFrame:
+    """Where each piece of each document lies: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
+    placed = pack(tokenized(docs))
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.col("offset").cast("long").alias("offset"))
+
+
+def op6_packing(spark, sf_dir: str) -> DataFrame:
+    return placements(table(spark, sf_dir, "documents"))
