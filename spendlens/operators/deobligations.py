@@ -87,8 +87,8 @@ def spread_contributions(txn: DataFrame, first_fy: int = 2017, mode: str = "docu
     of ``KINDS``. ``mode='as_coded'`` also divides the positive yearly totals
     of a ``both`` award by its number of positive years, like the delivered
     code; the documented rule keeps them whole. An only-negative award whose
-    last year is before ``first_fy`` is charged to that year alone, so no
-    money is dropped.
+    last year is before ``first_fy`` is charged to that year alone, and one without
+    any year to the NULL year, so no money is dropped.
     """
     if mode not in ("documented", "as_coded"):
         raise ValueError("mode must be 'documented' or 'as_coded'")
@@ -97,11 +97,13 @@ def spread_contributions(txn: DataFrame, first_fy: int = 2017, mode: str = "docu
     pos = f"CAST(e.pos AS {SHARE})" if mode == "documented" else share_sql("e.pos", "n_pos_years")
     lo = f"least({first}, last_fy)"
     entries = (
-        "CASE award_class "
-        f"WHEN 'none' THEN transform(pos_years, e -> named_struct('fy', e.fy, 'kind', 'no_deobs', "
+        "CASE "
+        f"WHEN award_class = 'none' THEN transform(pos_years, e -> named_struct('fy', e.fy, 'kind', 'no_deobs', "
         f"'value', CAST(e.pos AS {SHARE}))) "
-        f"WHEN 'both' THEN transform(pos_years, e -> named_struct('fy', e.fy, 'kind', 'deob_with_ob', "
+        f"WHEN award_class = 'both' THEN transform(pos_years, e -> named_struct('fy', e.fy, 'kind', 'deob_with_ob', "
         f"'value', CAST({pos} + {neg_share} AS {SHARE}))) "
+        "WHEN last_fy IS NULL THEN array(named_struct('fy', last_fy, 'kind', 'deob_without_ob', "
+        f"'value', CAST(neg_total AS {SHARE}))) "
         f"ELSE transform(sequence({lo}, last_fy), y -> named_struct('fy', y, 'kind', 'deob_without_ob', "
         f"'value', {share_sql('neg_total', f'(last_fy - {lo} + 1)')})) END")
     prof = award_profile(txn, award, place, fy, amount)

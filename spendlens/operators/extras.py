@@ -11,7 +11,7 @@ from spendlens.functions.money import money_out
 def per_100k(totals: DataFrame, places: DataFrame, place: str = "city_label", fy: str = "fy",
              value: str = "total", pop: str = "pop_21") -> DataFrame:
     """Spending per 100,000 residents (``totals`` keep exact decimals)."""
-    pops = places.select(place, pop).distinct()
+    pops = places.groupBy(place).agg(F.min(pop).alias(pop))  # one row per place, whatever the table holds
     v = F.col(value).cast("decimal(38,6)") * 100000 / F.col(pop)
     return totals.join(pops, place).select(place, fy, money_out(v).alias("per_100k"))
 

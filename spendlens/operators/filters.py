@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlens.functions.codes import has_any_code, has_code, replace_codes, words_all_present
-from spendlens.operators.joins import broadcast_if_small
 
 # Fixed values of the reference method (code meanings from the code list):
 # 12 = U.S. Local Government; C7 = County; 2F = U.S. State Government;
@@ -55,8 +54,7 @@ def flag_city_gov(df: DataFrame, biz: str = "bus_type_string", uei: str = "recip
         listed = F.lit(False)
     elif isinstance(blacklist, DataFrame):
         key = blacklist_key or uei
-        bl = broadcast_if_small(blacklist.select(F.col(key).alias("__bl_uei")).distinct()
-                                .withColumn("__bl", F.lit(True)), bound_by=blacklist)
+        bl = blacklist.select(F.col(key).alias("__bl_uei")).distinct().withColumn("__bl", F.lit(True))
         out = out.join(bl, out[uei] == bl["__bl_uei"], "left").drop("__bl_uei")
         listed = F.coalesce(F.col("__bl"), F.lit(False))
     else:

@@ -26,9 +26,9 @@ def found(lat: str = "lat", long: str = "long", require_both: bool = True):
 
 def geocode_cascade(hits: DataFrame, key: str = "full_addy", priority: str = "provider",
                     lat: str = "lat", long: str = "long") -> DataFrame:
-    """One row per address that some provider found, best provider first."""
+    """One row per address that some provider found, best provider first (of its answers the least lat, long)."""
     best = (hits.filter(found(lat, long))
-            .groupBy(key).agg(F.expr(f"min_by(struct(`{lat}`, `{long}`, `{priority}`), `{priority}`)").alias("b")))
+            .groupBy(key).agg(F.expr(f"min(struct(`{priority}`, `{lat}`, `{long}`))").alias("b")))
     return best.selectExpr(f"`{key}`", f"b.`{lat}`", f"b.`{long}`", f"b.`{priority}`")
 
 
@@ -41,6 +41,11 @@ def cascade_stats(hits: DataFrame, key: str = "full_addy", priority: str = "prov
             .withColumn("missed", F.col("asked") - F.col("found")))
 
 
+def ungeocoded(recipients: DataFrame, coordinates: DataFrame, key: str = "full_addy") -> DataFrame:
+    """Recipients whose address no provider found; the method cannot place them."""
+    return anti_join(recipients, coordinates, key)
+
+
 def cache_misses(addresses: DataFrame, cache: DataFrame, key: str = "full_addy") -> DataFrame:
     """Addresses not yet in the geocode cache."""
     return anti_join(addresses, cache, key)

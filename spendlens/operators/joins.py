@@ -11,45 +11,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Hint a broadcast only below this estimated size (bytes). Above it the plan
-# keeps a shuffle join and AQE may still switch at runtime from real sizes.
+# Hint a broadcast only below this measured size (bytes of the values, not of compressed files).
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-_SIZE_CACHE: dict[int, tuple[DataFrame, int | None]] = {}
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values of ``df``: one aggregate with one row. Meant for written or tiny tables."""
+    width = F.lit(8 * (len(df.columns) + 1))
+    for f in df.schema:
+        if f.dataType.simpleString() == "string":
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
 
 
-def estimated_size(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` in bytes, or None when unknown."""
-    hit = _SIZE_CACHE.get(id(df))
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(v) if isinstance(v, int) else int(v.toString())
-    except Exception:  # Spark Connect or an estimate that is not a number
-        size = None
-    _SIZE_CACHE[id(df)] = (df, size)
-    return size
+def broadcast_if_small(df: DataFrame, limit: int | None = None, size: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its measured size is at most ``limit`` (0: never).
 
-
-def broadcast_if_small(df: DataFrame, limit: int | None = None,
-                       bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its size is known to be under ``limit``.
-
-    Nothing is counted or collected: the check reads the optimizer's
-    statistics (file sizes times selectivity), so it costs no job.
-    ``bound_by`` names an input whose size bounds ``df`` (``df`` is a
-    projection of a filtered/deduplicated subset of it, e.g. recipients of
-    the registry); its estimate is simpler and cannot be lower than the
-    truth. Larger or unknown sides keep a shuffle join, where AQE can still
-    switch to a broadcast from the real size at runtime.
+    ``size`` is a size the caller already knows; without it the rows are
+    measured. Optimizer estimates are not used: for Parquet they are compressed
+    bytes, which a repetitive table undercuts by a thousand times. Without the hint
+    Spark's own threshold and AQE decide.
     """
     limit = DEFAULT_BROADCAST_LIMIT if limit is None else limit
-    size = estimated_size(bound_by if bound_by is not None else df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
+    if limit <= 0:
+        return df
+    return F.broadcast(df) if (measured_bytes(df) if size is None else size) <= limit else df
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -57,32 +43,28 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys, right_keys=None,
-              null_safe: bool = False, broadcast_limit: int | None = None,
-              bound_by: DataFrame | None = None) -> DataFrame:
+              null_safe: bool = False) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right`` (``filter(k %in% v)``)."""
-    return _filtering_join(left, right, keys, right_keys, null_safe, "left_semi", broadcast_limit, bound_by)
+    return _filtering_join(left, right, keys, right_keys, null_safe, "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys, right_keys=None,
-              null_safe: bool = False, broadcast_limit: int | None = None,
-              bound_by: DataFrame | None = None) -> DataFrame:
+              null_safe: bool = False) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right`` (``filter(!k %in% v)``).
 
     Never ``NOT IN``: a single NULL in ``right`` would empty the result.
     """
-    return _filtering_join(left, right, keys, right_keys, null_safe, "left_anti", broadcast_limit, bound_by)
+    return _filtering_join(left, right, keys, right_keys, null_safe, "left_anti")
 
 
-def _filtering_join(left, right, keys, right_keys, null_safe, how, broadcast_limit, bound_by=None):
+def _filtering_join(left, right, keys, right_keys, null_safe, how):
     lk = _keys(keys)
     rk = _keys(right_keys) if right_keys is not None else lk
     if not null_safe:
         # equi-join on names: rename the right keys to the left names
         r = right.selectExpr(*[f"`{b}` AS `{a}`" for a, b in zip(lk, rk)])
-        r = broadcast_if_small(r, broadcast_limit, bound_by if bound_by is not None else right)
         return left.join(r, lk, how)
     r = right.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(rk)])
-    r = broadcast_if_small(r, broadcast_limit, bound_by if bound_by is not None else right)
     conds = [(left[a].eqNullSafe(r[f"__k{i}"]) if null_safe else left[a] == r[f"__k{i}"])
              for i, a in enumerate(lk)]
     cond = conds[0]

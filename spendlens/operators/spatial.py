@@ -10,10 +10,12 @@
    An edge that holds the point counts as inside (``boundary_in``), like
    ``st_intersects``.
 
-Both index tables come from the boundary files, not from the data, so their
-size is fixed by the boundaries and checked before a broadcast; a place that
-owns a third of all points is then matched inside each point's own task, and
-the only shuffle of points is the final aggregate by point id.
+Both index tables come from the boundary files, not from the data. Their rows
+(cells of the boxes, bands of the edges) are counted by one small aggregate before
+they are broadcast; a place that owns a third of all points is then matched
+inside each point's own task. Beyond the limit the joins shuffle, and Spark splits
+a place's hot cell or band. Ids of points need not be unique: a point is its id
+and coordinates.
 """
 
 from __future__ import annotations
@@ -35,6 +37,16 @@ def polygon_cells(edges: DataFrame, id_col: str = "place_id", cell: float = 0.05
     ).selectExpr("*", f"explode(sequence(CAST(floor(ymin / {c}) AS BIGINT), CAST(floor(ymax / {c}) AS BIGINT))) AS cy")
 
 
+def index_rows(edges: DataFrame, id_col: str, cell: float, band: float) -> tuple[int, int]:
+    """Rows of the cell table and of the band table, counted without building them."""
+    span = lambda lo, hi, step: f"(floor({hi} / {step!r}D) - floor({lo} / {step!r}D) + 1)"
+    bands = edges.agg(F.expr(f"sum({span('least(y1, y2)', 'greatest(y1, y2)', float(band))})")).first()[0]
+    box = edges.groupBy(id_col).agg(F.expr("min(least(x1, x2))").alias("x0"), F.expr("max(greatest(x1, x2))").alias("x9"),
+                                    F.expr("min(least(y1, y2))").alias("y0"), F.expr("max(greatest(y1, y2))").alias("y9"))
+    cells = box.agg(F.expr(f"sum({span('x0', 'x9', float(cell))} * {span('y0', 'y9', float(cell))})")).first()[0]
+    return int(cells or 0), int(bands or 0)
+
+
 def edge_bands(edges: DataFrame, id_col: str = "place_id", band: float = 0.0125) -> DataFrame:
     """Every edge once per horizontal band its y range touches."""
     b = f"CAST({band!r} AS DOUBLE)"
@@ -44,6 +56,9 @@ def edge_bands(edges: DataFrame, id_col: str = "place_id", band: float = 0.0125)
         f"CAST(floor(greatest(y1, y2) / {b}) AS BIGINT))) AS b")
 
 
+# A row of an index table: id, a box or an edge, a cell or a band.
+ROW_BYTES = 96
+
 # Ray casting to +x: an edge is crossed when it straddles the point's y and
 # the crossing lies right of the point (the division only runs for edges
 # that straddle, so horizontal edges never divide by zero).
@@ -58,20 +73,12 @@ ON_EDGE = ("(x2 - x1) * (__y - y1) - (y2 - y1) * (__x - x1) = 0 "
 def containing_places(points: DataFrame, edges: DataFrame, id_col: str = "point_id",
                       x: str = "x", y: str = "y", place_col: str = "place_id",
                       cell: float = 0.05, band: float | None = None,
-                      boundary_in: bool = True, broadcast_limit: int | None = None,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """(point id, place) for every place whose polygon holds the point.
-
-    ``bound_by``: the boundary input whose size bounds the index tables
-    (times the cells/bands per polygon, hence the 16x margin below).
-    """
+                      boundary_in: bool = True, broadcast_limit: int | None = None) -> DataFrame:
+    """(point id, x, y, place) for every place whose polygon holds the point."""
     band = band or cell / 4.0
-    lim = broadcast_limit
-    if bound_by is not None:
-        from spendlens.operators.joins import DEFAULT_BROADCAST_LIMIT
-        lim = (lim or DEFAULT_BROADCAST_LIMIT) // 16
-    cells = broadcast_if_small(polygon_cells(edges, place_col, cell), lim, bound_by)
-    bands = broadcast_if_small(edge_bands(edges, place_col, band), lim, bound_by)
+    n_cells, n_bands = (0, 0) if broadcast_limit == 0 else index_rows(edges, place_col, cell, band)
+    cells = broadcast_if_small(polygon_cells(edges, place_col, cell), broadcast_limit, n_cells * ROW_BYTES)
+    bands = broadcast_if_small(edge_bands(edges, place_col, band), broadcast_limit, n_bands * ROW_BYTES)
     c, b = f"CAST({cell!r} AS DOUBLE)", f"CAST({band!r} AS DOUBLE)"
     p = points.selectExpr(f"`{id_col}` AS __id", f"CAST(`{x}` AS DOUBLE) AS __x", f"CAST(`{y}` AS DOUBLE) AS __y")
     p = p.filter("__x IS NOT NULL AND __y IS NOT NULL").selectExpr(
@@ -81,18 +88,17 @@ def containing_places(points: DataFrame, edges: DataFrame, id_col: str = "point_
             .filter("__x BETWEEN xmin AND xmax AND __y BETWEEN ymin AND ymax")
             .select("__id", "__x", "__y", "b", place_col))
     j = cand.join(bands, [place_col, "b"])
-    agg = j.groupBy("__id", place_col).agg(
+    agg = j.groupBy("__id", "__x", "__y", place_col).agg(
         F.expr(f"sum(CASE WHEN {CROSSES} THEN 1 ELSE 0 END)").alias("__n"),
         F.expr(f"max({ON_EDGE})").alias("__on"))
     inside = "__n % 2 = 1" + (" OR __on" if boundary_in else "")
-    return agg.filter(inside).selectExpr(f"__id AS `{id_col}`", f"`{place_col}`")
+    return agg.filter(inside).selectExpr(f"__id AS `{id_col}`", "__x", "__y", f"`{place_col}`")
 
 
 def point_in_polygon(points: DataFrame, edges: DataFrame, id_col: str = "point_id",
                      x: str = "x", y: str = "y", place_col: str = "place_id",
                      cell: float = 0.05, band: float | None = None, how: str = "left",
-                     boundary_in: bool = True, broadcast_limit: int | None = None,
-                     bound_by: DataFrame | None = None) -> DataFrame:
+                     boundary_in: bool = True, broadcast_limit: int | None = None) -> DataFrame:
     """Every point with the place that holds it.
 
     ``how='left'`` keeps points outside every polygon with a NULL place;
@@ -100,9 +106,11 @@ def point_in_polygon(points: DataFrame, edges: DataFrame, id_col: str = "point_i
     smallest place id wins and ``n_hits`` tells how many held the point.
     """
     hits = containing_places(points, edges, id_col, x, y, place_col, cell, band, boundary_in,
-                             broadcast_limit, bound_by)
-    best = hits.groupBy(id_col).agg(F.min(place_col).alias(place_col), F.count("*").alias("n_hits"))
-    out = points.join(best, id_col, how)
+                             broadcast_limit)
+    best = (hits.groupBy(id_col, "__x", "__y").agg(F.min(place_col).alias(place_col), F.count("*").alias("n_hits"))
+            .withColumnRenamed(id_col, "__id"))
+    own = [F.col(id_col) == F.col("__id"), F.col(x).cast("double") == F.col("__x"), F.col(y).cast("double") == F.col("__y")]
+    out = points.join(best, own, how).drop("__id", "__x", "__y")
     if how == "inner":
         return out
     return out.withColumn("n_hits", F.coalesce(F.col("n_hits"), F.lit(0)).cast("bigint"))

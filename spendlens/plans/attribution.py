@@ -8,16 +8,17 @@
     transactions ⋈ small side ────► FY, amount <> 0, place of performance
                                  ─► spreading ─► annual totals / delivery
 
-All recipient-level work happens on small tables; the transaction table
-goes through one join against the recipient side (broadcast when the
-estimate allows, shuffle otherwise) and then only hash aggregates.
+All recipient-level work happens on small tables. Two of them are barriers,
+written once to the checkpoint folder: the located addresses and the recipient
+side (one row for each located UEI with its place, state, registry attributes and
+city-government reason). The second one's measured size decides whether the one
+join with the transactions is a broadcast; after it come only hash aggregates.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +27,11 @@ from spendlens.operators import deobligations as deob
 from spendlens.operators import recipients as rec
 from spendlens.operators.dedup import first_per_key
 from spendlens.operators.filters import flag_city_gov, match_place_of_performance
-from spendlens.operators.geocode import geocode_cascade
+from spendlens.operators.geocode import geocode_cascade, ungeocoded
 from spendlens.operators.joins import broadcast_if_small, semi_join
 from spendlens.operators.spatial import point_in_polygon
 from spendlens.plans.params import Params
+from spendlens.session import written_copy
 from spendlens.sources.geojson import parse_geojson_text, to_edges
 from spendlens.sources.places import prepare_places
 
@@ -46,21 +48,14 @@ class Inputs:
     edges: DataFrame | None = None
 
 
+# Registry attributes that go on with a recipient's transactions (those the registry has).
+REGISTRY_ATTRIBUTES = ("entity_structure", "bus_type_counter", "bus_type_string", "primary_NAICS", "NAICS_code_counter",
+                       "NAICS_code_string", "PSC_code_counter", "PSC_code_string")
+
 # Columns of the filtered transactions that later outputs use.
 FILTERED_COLUMNS = ("id", "recipient_uei", "award_key", "action_date", "ym", "fy", "amount", "pop_state",
                     "awarding_agency_name", "shard_year", "place_id", "city_label", "geoid", "pop_21", "reason",
-                    "state", "state_code")
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Keep a small, reused recipient-side table once computed.
-
-    These tables are bounded by the registry and the boundary files, not by
-    the transactions, and several outputs read them. Persisting makes later
-    plans read an in-memory relation instead of re-deriving the whole
-    recipient chain; a lost executor only means recomputing the partition.
-    """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+                    "state", "state_code", "region", "names")
 
 
 def _step(fn):
@@ -83,52 +78,43 @@ class Chain:
     def __init__(self, inp: Inputs, params: Params):
         self.inp, self.p = inp, params
         self._memo: dict = {}
-        # What bounds the size of the city-government UEI table: the registry
-        # while it is a lazy plan, the table itself once it has been written.
-        self._gov_bound: DataFrame | None = inp.registry
-
-    def use_materialized_gov(self, table: DataFrame) -> None:
-        """Replace the UEI side by an already written copy (its real size decides)."""
-        self._memo[("city_gov_ueis", (), ())] = table
-        self._gov_bound = None
 
     # -- places and boundaries -------------------------------------------
     @_step
     def places(self) -> DataFrame:
-        return _small(prepare_places(self.inp.places_raw))
+        return prepare_places(self.inp.places_raw)
 
     @_step
     def edges(self) -> DataFrame:
         if self.inp.edges is not None:
             return self.inp.edges
-        return _small(to_edges(parse_geojson_text(self.inp.boundaries, "geojson", "place_id")))
+        return to_edges(parse_geojson_text(self.inp.boundaries, "geojson", "place_id"))
 
     # -- recipients -------------------------------------------------------
     @_step
     def city_zctas(self) -> DataFrame:
-        return rec.city_zctas(self.inp.crosswalk, self.places(), bound_by=self.inp.places_raw)
+        return rec.city_zctas(self.inp.crosswalk, self.places())
 
     @_step
     def coarse(self) -> DataFrame:
         return rec.coarse_recipients(self.inp.registry, self.city_zctas(),
-                                     structure=self.p.structure, country=self.p.country,
-                                     bound_by=self.inp.crosswalk)
+                                     structure=self.p.structure, country=self.p.country)
 
     @_step
     def coarse_first(self) -> DataFrame:
-        return _small(first_per_key(self.coarse(), "recipient_uei", "ordinal"))
+        return first_per_key(self.coarse(), "recipient_uei", "ordinal")
 
     @_step
     def txn_ueis(self) -> DataFrame:
-        return rec.transaction_ueis(self.inp.transactions, self.coarse_first(), bound_by=self.inp.registry)
+        return rec.transaction_ueis(self.inp.transactions, self.coarse_first())
 
     @_step
     def active(self) -> DataFrame:
-        return _small(rec.active_recipients(self.coarse_first(), self.txn_ueis(), bound_by=self.inp.registry))
+        return rec.active_recipients(self.coarse_first(), self.txn_ueis())
 
     @_step
     def inactive(self) -> DataFrame:
-        return rec.inactive_recipients(self.coarse_first(), self.txn_ueis(), bound_by=self.inp.registry)
+        return rec.inactive_recipients(self.coarse_first(), self.txn_ueis())
 
     @_step
     def addresses(self) -> DataFrame:
@@ -137,55 +123,63 @@ class Chain:
     @_step
     def coordinates(self) -> DataFrame:
         """Best geocode per address of the active recipients (the cascade report)."""
-        asked = semi_join(self.inp.hits, self.addresses(), "full_addy", bound_by=self.inp.registry)
-        return geocode_cascade(asked)
+        return geocode_cascade(semi_join(self.inp.hits, self.addresses(), "full_addy"))
+
+    @_step
+    def ungeocoded_recipients(self) -> DataFrame:
+        """Active recipients whose address no provider found: their money is in no place."""
+        return ungeocoded(self.active(), geocode_cascade(self.inp.hits))
 
     @_step
     def located(self) -> DataFrame:
-        """Addresses inside a place: full_addy, lat, long, provider, place_id, n_hits.
+        """Barrier 1: addresses inside a place: full_addy, lat, long, provider, place_id, n_hits.
 
         Points are the addresses of every coarse recipient that has a geocode
         (a location depends on the address only), so the transaction side
         never has to be scanned first to decide which recipients to place.
         """
-        asked = semi_join(self.inp.hits, self.coarse_first(), "full_addy", bound_by=self.inp.registry)
-        return _small(point_in_polygon(geocode_cascade(asked), self.edges(), id_col="full_addy", x="long", y="lat",
-                                       cell=self.p.cell, band=self.p.band, how="inner",
-                                       bound_by=self.inp.edges if self.inp.edges is not None else self.inp.boundaries))
+        asked = semi_join(self.inp.hits, self.coarse_first(), "full_addy")
+        found = point_in_polygon(geocode_cascade(asked), self.edges(), id_col="full_addy", x="long", y="lat",
+                                 cell=self.p.cell, band=self.p.band, how="inner", broadcast_limit=self.p.broadcast_limit)
+        return written_copy(found, "located")
 
     @_step
     def located_recipients(self) -> DataFrame:
         """Every coarse recipient (first row per UEI) whose address lies in a place."""
-        return rec.recipients_in_places(self.coarse_first(), self.located().drop("provider"),
-                                        bound_by=self.inp.registry)
+        return rec.recipients_in_places(self.coarse_first(), self.located().drop("provider"))
 
     @_step
     def recipients_in_city(self) -> DataFrame:
         """Recipients with transactions whose address lies in a place."""
         if self.p.first_uei_only:
             # as coded: only the first active UEI of each address goes on
-            return rec.recipients_in_places(self.active(), self.located().drop("provider"),
-                                            first_uei_only=True, bound_by=self.inp.registry)
-        return semi_join(self.located_recipients(), self.txn_ueis(), "recipient_uei", bound_by=self.inp.registry)
+            return rec.recipients_in_places(self.active(), self.located().drop("provider"), first_uei_only=True)
+        return semi_join(self.located_recipients(), self.txn_ueis(), "recipient_uei")
 
     @_step
     def uei_place(self) -> DataFrame:
-        # recipients_in_city joins one row per UEI with one row per address
-        # (located), so it already holds each UEI once.
-        return _small(rec.uei_place(self.recipients_in_city(), self.places(), bound_by=self.inp.places_raw,
-                                    unique_ueis=True))
+        """UEI -> place of the recipients with transactions."""
+        if self.p.first_uei_only:
+            return self.recipient_side()
+        return semi_join(self.recipient_side(), self.txn_ueis(), "recipient_uei")
 
     @_step
-    def uei_place_all(self) -> DataFrame:
-        """UEI -> place for every located coarse recipient, active or not.
-
-        For the totals the activity test is not needed (a recipient without
-        transactions adds nothing), so this side skips the transaction scan.
-        """
-        if self.p.first_uei_only:
-            return self.uei_place()
-        return _small(rec.uei_place(self.located_recipients(), self.places(), bound_by=self.inp.places_raw,
-                                    unique_ueis=True))
+    def registry_reduced(self) -> DataFrame:
+        keep = [c for c in REGISTRY_ATTRIBUTES if c in self.inp.registry.columns]
+        return first_per_key(self.inp.registry.select("recipient_uei", "ordinal", *keep), "recipient_uei", "ordinal",
+                             keep_order_col=False)
+
+    @_step
+    def recipient_side(self) -> DataFrame:
+        """Barrier 2: one row per located UEI, active or not (without transactions it adds nothing): place,
+        state, registry attributes, code names and the reason if it is a city government."""
+        located = self.recipients_in_city() if self.p.first_uei_only else self.located_recipients()
+        # located holds one row per address and the recipients one per UEI: each UEI once
+        up = rec.uei_place(located, self.places(), unique_ueis=True).select(
+            "recipient_uei", "place_id", "city_label", "geoid", "pop_21", "state", "state_code", "region")
+        flagged = flag_city_gov(self.registry_reduced(), code_map=self.p.code_map,
+                                blacklist=self.inp.blacklist, mode=self.p.code_mode).drop("is_city_gov")
+        return written_copy(up.join(flagged, "recipient_uei"), "recipient_side")
 
     # -- transactions -----------------------------------------------------
     def fy(self):
@@ -193,46 +187,34 @@ class Chain:
             return fiscal_year_as_coded("ym", self.p.first_fy, self.p.last_fy)
         return fiscal_year("action_date")
 
-    @_step
-    def txn_placed(self) -> DataFrame:
-        up = self.uei_place().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21")
-        return (self.inp.transactions.join(broadcast_if_small(up, self.p.broadcast_limit, self.inp.registry), "recipient_uei",
-                                           self.p.placement_join)
-                .withColumn("fy", self.fy()))
+    def _with_recipients(self, transactions: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
+        return transactions.join(broadcast_if_small(side, self.p.broadcast_limit), "recipient_uei", how)
 
     @_step
-    def registry_reduced(self) -> DataFrame:
-        return _small(first_per_key(self.inp.registry, "recipient_uei", "ordinal").select(
-            "recipient_uei", "entity_structure", "bus_type_string"))
+    def txn_placed(self) -> DataFrame:
+        up = self.recipient_side().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21", "state", "state_code")
+        return self._with_recipients(self.inp.transactions, up, self.p.placement_join).withColumn("fy", self.fy())
 
     @_step
     def txn_registry(self) -> DataFrame:
-        return self.txn_placed().join(broadcast_if_small(self.registry_reduced(), self.p.broadcast_limit, self.inp.registry),
-                                      "recipient_uei", self.p.placement_join)
+        """Transactions with place and all registry attributes: both come from the recipient side in one join."""
+        side = self.recipient_side().drop("reason", "names")
+        return self._with_recipients(self.inp.transactions, side, self.p.placement_join).withColumn("fy", self.fy())
 
     @_step
     def city_gov_ueis(self) -> DataFrame:
-        """Small side: one row per city-government UEI with place and state."""
-        flagged = flag_city_gov(self.registry_reduced(), code_map=self.p.code_map,
-                                blacklist=self.inp.blacklist, mode=self.p.code_mode)
-        gov = flagged.filter(F.col("is_city_gov")).select("recipient_uei", "reason")
-        st = self.places().select("geoid", "state", "state_code")
-        up = self.uei_place_all().select("recipient_uei", "place_id", "city_label", "geoid", "pop_21")
-        return _small(up.join(gov, "recipient_uei").join(st, "geoid"))
+        """One row per city-government UEI with place and state."""
+        return self.recipient_side().filter(F.col("reason").isNotNull())
 
     @_step
     def filtered(self) -> DataFrame:
         """``city_trans_filtered``: city-government transactions, FY, amount <> 0,
         performed in the recipient's state or unknown."""
         t = self.inp.transactions.filter(F.col("amount") != 0)
-        j = t.join(broadcast_if_small(self.city_gov_ueis(), self.p.broadcast_limit, self._gov_bound), "recipient_uei")
+        j = self._with_recipients(t, self.city_gov_ueis())
         out = match_place_of_performance(j.withColumn("fy", self.fy()))
-        # Only the columns the outputs read: Spark cannot prune columns below a
-        # persisted or checkpointed relation, so narrow the rows before that.
-        out = out.select(*[c for c in FILTERED_COLUMNS if c in out.columns])
-        # Every output reads these rows: keep them once computed (the pipeline
-        # instead checkpoints them to the shared checkpoint folder).
-        return out.persist(StorageLevel.MEMORY_AND_DISK) if self.p.reuse_filtered else out
+        # Spark cannot prune columns below a written relation, so the rows are narrowed before that.
+        return out.select(*[c for c in FILTERED_COLUMNS if c in out.columns])
 
     # -- outputs ----------------------------------------------------------
     @_step

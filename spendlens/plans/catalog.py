@@ -21,19 +21,21 @@ from spendlens.operators.dedup import first_per_key
 from spendlens.operators.delivery import delivery, place_fy_totals
 from spendlens.operators.filters import EXCLUDE_CODES, INCLUDE_CODE, RECOVER_WORDS, flag_city_gov, \
     match_place_of_performance
-from spendlens.operators.geocode import cache_misses, cascade_stats
+from spendlens.operators.geocode import cache_misses, cascade_stats, update_cache
 from spendlens.operators.extras import per_100k, top_agencies
-from spendlens.operators.joins import anti_join, null_safe_join, semi_join
-from spendlens.operators.quality import check_quality, null_counts, registry_rules
+from spendlens.operators.joins import anti_join, broadcast_if_small, null_safe_join, semi_join
+from spendlens.operators.quality import check_quality, null_counts, registry_rules, subset_violations
 from spendlens.operators.recipients import with_full_address
 from spendlens.operators.sampling import sample_n
 from spendlens.operators.spatial import point_in_polygon
 from spendlens.plans import oracle as O
 from spendlens.plans import synthetic as syn
-from spendlens.plans.attribution import Chain
-from spendlens.session import tune_session
-from spendlens.sources.shards import split_by_year, union_shards
-from spendlens.sources.snapshots import latest_snapshot
+from spendlens.plans.attribution import REGISTRY_ATTRIBUTES, Chain
+from spendlens.plans.pipeline import to_geocode
+from spendlens.session import tune_session, written_copy
+from spendlens.sources.registry import parse_registry_lines
+from spendlens.sources.shards import union_shards
+from spendlens.sources.snapshots import date_in_name, latest_snapshot
 
 _CHAINS: dict = {}
 
@@ -81,10 +83,8 @@ def _place_meta(spark, d):
 @register("shard_union", W("SELECT id, shard_year, CAST(amount AS DOUBLE) AS amount FROM transactions",
                            ["transactions"]))
 def _shard_union(spark, d):
-    t = syn.transactions(spark, d)
-    shards = split_by_year(t, range(syn.FIRST_FY, syn.LAST_FY + 1))
-    return union_shards([s.select("id", "shard_year", F.col("amount").cast("double").alias("amount"))
-                         for s in shards])
+    # the yearly shards are one source with a shard column here: one scan, every year and the undated rows
+    return union_shards([syn.transactions(spark, d)]).select("id", "shard_year", F.col("amount").cast("double").alias("amount"))
 
 
 @register("latest_snapshot", """
@@ -152,13 +152,9 @@ register("biz_union", W("SELECT recipient_uei, reason FROM flags WHERE reason IS
 
 @register("pop_match", W("""
 SELECT t.id, t.pop_state FROM transactions t JOIN uei_place u ON t.recipient_uei = u.recipient_uei
-JOIN places p ON u.geoid = p.geoid
-WHERE t.pop_state = upper(p.state) OR t.pop_state = p.state_code OR t.pop_state IS NULL""", ["transactions", "uei_place", "places"]))
+WHERE t.pop_state = upper(u.state) OR t.pop_state = u.state_code OR t.pop_state IS NULL""", ["transactions", "uei_place"]))
 def _pop_match(spark, d):
-    c = chain(spark, d)
-    st = c.places().select("geoid", "state", "state_code")
-    j = c.txn_placed().join(st, "geoid")
-    return match_place_of_performance(j).select("id", "pop_state")
+    return match_place_of_performance(chain(spark, d).txn_placed()).select("id", "pop_state")
 
 
 register("city_gov_filter", W("""SELECT id, recipient_uei, city_label, fy, CAST(amount AS DOUBLE) AS amount, reason
@@ -172,8 +168,8 @@ register("zcta_semi", W("SELECT * FROM city_zctas", ["city_zctas"]))(
 
 register("txn_semi", W("""SELECT id, recipient_uei, CAST(amount AS DOUBLE) AS amount FROM transactions
 WHERE recipient_uei IN (SELECT recipient_uei FROM coarse_first)""", ["transactions", "coarse_first"]))(
-    lambda spark, d: semi_join(chain(spark, d).inp.transactions, chain(spark, d).coarse_first(), "recipient_uei",
-                               bound_by=chain(spark, d).inp.registry)
+    lambda spark, d: semi_join(chain(spark, d).inp.transactions, broadcast_if_small(
+        written_copy(chain(spark, d).coarse_first().select("recipient_uei"), "coarse_ueis")), "recipient_uei")
     .select("id", "recipient_uei", F.col("amount").cast("double").alias("amount")))
 
 register("txn_ueis", W("SELECT recipient_uei FROM txn_ueis", ["txn_ueis"]))(
@@ -231,11 +227,12 @@ CAST(t.amount AS DOUBLE) AS amount FROM transactions t JOIN uei_place u ON t.rec
     lambda spark, d: chain(spark, d).txn_placed().select(
         "id", "recipient_uei", "place_id", "city_label", "fy", F.col("amount").cast("double").alias("amount")))
 
-register("txn_registry", W("""SELECT t.id, t.recipient_uei, u.place_id, r.entity_structure, r.bus_type_string
+register("txn_registry", W(f"""SELECT t.id, t.recipient_uei, u.place_id, p.region, {', '.join('r.' + c for c in REGISTRY_ATTRIBUTES)}
 FROM transactions t JOIN uei_place u ON t.recipient_uei = u.recipient_uei
-JOIN registry_first r ON t.recipient_uei = r.recipient_uei""", ["transactions", "uei_place", "registry_first"]))(
+JOIN registry_first r ON t.recipient_uei = r.recipient_uei JOIN place_first p ON u.place_id = p.place_id""",
+                           ["transactions", "uei_place", "registry_first", "place_first"]))(
     lambda spark, d: chain(spark, d).txn_registry().select(
-        "id", "recipient_uei", "place_id", "entity_structure", "bus_type_string"))
+        "id", "recipient_uei", "place_id", "region", *REGISTRY_ATTRIBUTES))
 
 # ---------------------------------------------------- geocoding, quality
 register("geocode_cascade", W("SELECT * FROM coordinates", ["coordinates"]))(
@@ -309,7 +306,7 @@ register("place_fy_totals", W("""SELECT place_id, fy, CAST(ROUND(SUM(amount), 2)
 FROM filtered GROUP BY place_id, fy""", ["filtered"]))(
     lambda spark, d: place_fy_totals(chain(spark, d).filtered()))
 
-register("delivery", W("""SELECT CAST(fy AS VARCHAR) || '-01-01 00:00:00' AS date,
+register("delivery", W("""SELECT coalesce(CAST(fy AS VARCHAR), 'NA') || '-01-01 00:00:00' AS date,
 CASE WHEN t >= 0 THEN t END AS value, place_id, '' AS category_id
 FROM (SELECT place_id, fy, CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS t FROM filtered GROUP BY place_id, fy)""",
                        ["filtered"]))(
@@ -317,7 +314,7 @@ FROM (SELECT place_id, fy, CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS t FROM filte
 
 
 @register("delivery_spread", W("""
-SELECT CAST(fy AS VARCHAR) || '-01-01 00:00:00' AS date, CASE WHEN t >= 0 THEN t END AS value, place_id,
+SELECT coalesce(CAST(fy AS VARCHAR), 'NA') || '-01-01 00:00:00' AS date, CASE WHEN t >= 0 THEN t END AS value, place_id,
        '' AS category_id
 FROM (SELECT f.place_id, c.fy, CAST(ROUND(SUM(c.value), 2) AS DOUBLE) AS t
       FROM contrib c JOIN (SELECT DISTINCT city_label, place_id FROM filtered) f ON c.city_label = f.city_label
@@ -342,18 +339,58 @@ JOIN (SELECT city_label, row_number() OVER (ORDER BY SUM(amount) DESC, city_labe
       FROM filtered GROUP BY city_label) o ON p.city_label = o.city_label""", ["filtered"]))(
     lambda spark, d: chart_timeline(chain(spark, d).filtered()).withColumn("city_rank", F.col("city_rank").cast("bigint")))
 
-register("sample_n")(
+register("sample_n", W("""SELECT recipient_uei, full_addy, place_id FROM recipients_in_city
+ORDER BY md5('42~' || recipient_uei), recipient_uei LIMIT 100""", ["recipients_in_city"]))(
     lambda spark, d: sample_n(chain(spark, d).recipients_in_city().select("recipient_uei", "full_addy", "place_id"),
                               100, "recipient_uei"))
 
+register("ungeocoded_recipients", W("""SELECT recipient_uei, full_addy FROM active
+WHERE full_addy NOT IN (SELECT full_addy FROM coordinates)""", ["active", "coordinates"]))(
+    lambda spark, d: chain(spark, d).ungeocoded_recipients().select("recipient_uei", "full_addy"))
+
+register("to_geocode", W("""SELECT full_addy, COALESCE(phys_address_01, 'NA') || ', ' || COALESCE(phys_address_city, 'NA') || ', '
+|| COALESCE(phys_address_st, 'NA') || ', ' || COALESCE(phys_address_zip, 'NA') AS query FROM addresses
+WHERE full_addy NOT IN (SELECT full_addy FROM geocode_cache)""", ["addresses", "geocode_cache"]))(
+    lambda spark, d: to_geocode(cache_misses(chain(spark, d).addresses(), syn.geocode_cache(spark, d))))
+
+register("cache_union", W("""SELECT full_addy, lat, long FROM geocode_cache
+UNION ALL SELECT full_addy, lat, long FROM coordinates WHERE full_addy NOT IN (SELECT full_addy FROM geocode_cache)""",
+                          ["geocode_cache", "coordinates"]))(
+    lambda spark, d: update_cache(syn.geocode_cache(spark, d), chain(spark, d).coordinates()))
+
+register("subset_violations", W("""SELECT CAST(count(DISTINCT recipient_uei) AS BIGINT) AS recipient_uei_missing FROM transactions
+WHERE recipient_uei NOT IN (SELECT recipient_uei FROM coarse_first)""", ["transactions", "coarse_first"]))(
+    lambda spark, d: subset_violations(chain(spark, d).inp.transactions, chain(spark, d).coarse_first(), "recipient_uei"))
+
+
+@register("money_conserved", W("""SELECT city_label, CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS before, CAST(TRUE AS BOOLEAN) AS conserved
+FROM filtered GROUP BY city_label""", ["filtered"]))
+def _money_conserved(spark, d):
+    """Per place: the amounts before spreading, and whether the contributions add up to them (shares are rounded to 6 places)."""
+    c = chain(spark, d)
+    before = c.filtered().groupBy("city_label").agg(F.sum("amount").alias("b"), F.count("*").alias("n"))
+    after = deob.spread_contributions(c.filtered(), syn.FIRST_FY).groupBy("city_label").agg(F.sum("value").alias("a"))
+    same = F.abs(F.col("b") - F.coalesce("a", F.lit(0))) <= F.col("n") * F.lit(0.00001)
+    return before.join(after, "city_label", "left").select("city_label", money_out("b").alias("before"), same.alias("conserved"))
+
+
+# one text line per row, written and read by the parser of the file's reader
+register("registry_parse", W("SELECT recipient_uei, phys_address_zip, bus_type_string, recipient_name FROM registry", ["registry"]))(
+    lambda spark, d: parse_registry_lines(syn.registry_lines(spark, d), "line").select(
+        "recipient_uei", "phys_address_zip", "bus_type_string", "recipient_name"))
+
+register("snapshot_name_date", """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS DATE) AS snapshot_date FROM orders""")(
+    lambda spark, d: syn._t(spark, d, "orders").select("o_orderkey", date_in_name(
+        F.concat(F.lit("trans_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv"))).alias("snapshot_date")))
+
 # ----------------------------------------------------- documented extras
 @register("per_100k", W("""SELECT city_label, fy, CAST(ROUND(total * 100000 / pop_21, 2) AS DOUBLE) AS per_100k
 FROM (SELECT city_label, fy, SUM(value) AS total FROM contrib GROUP BY city_label, fy) t
-JOIN (SELECT DISTINCT city_label, pop_21 FROM filtered) p USING (city_label)""", ["contrib", "filtered"]))
+JOIN (SELECT city_label, min(pop_21) AS pop_21 FROM places GROUP BY city_label) p USING (city_label)""", ["contrib", "places"]))
 def _per_100k(spark, d):
     c = chain(spark, d)
     tot = deob.annual_net_totals(c.filtered(), syn.FIRST_FY, as_double=False)
-    return per_100k(tot, c.filtered())
+    return per_100k(tot, c.places())
 
 
 register("top_agencies", W("""SELECT city_label, awarding_agency_name, CAST(ROUND(t, 2) AS DOUBLE) AS total,

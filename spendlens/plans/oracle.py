@@ -47,6 +47,7 @@ view("places_raw", [], """
 SELECT 'p' || CAST(n.n_nationkey AS VARCHAR) AS place_id,
        CASE WHEN n.n_nationkey % 5 = 0
             THEN lpad(CAST(n.n_nationkey AS VARCHAR), 7, '0') || ', ' || lpad(CAST(n.n_nationkey + 100 AS VARCHAR), 7, '0')
+            WHEN n.n_nationkey = 24 THEN '0000024, 0000020'
             ELSE lpad(CAST(n.n_nationkey AS VARCHAR), 7, '0') END AS geoid_list,
        n.n_name AS city, substr(r.r_name, 1, 2) AS state_code,
        upper(substr(r.r_name, 1, 1)) || lower(substr(r.r_name, 2)) AS state,
@@ -57,7 +58,7 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 view("places", ["places_raw"], """
 SELECT place_id, city, state_code, state, region, pop_21, ordinal, city || ', ' || state_code AS city_label,
-       geoid, CAST(ordinal * 1000 + geoid_pos AS BIGINT) AS place_order, geoid_pos
+       geoid, CAST(ordinal * 1048576 + geoid_pos AS BIGINT) AS place_order, geoid_pos
 FROM (SELECT *, unnest(string_split(geoid_list, ', ')) AS geoid,
              unnest(range(0, len(string_split(geoid_list, ', ')))) AS geoid_pos
       FROM places_raw)""")
@@ -89,20 +90,26 @@ _REG_COMMON = """
             ELSE lpad(CAST(c_nationkey * 2 + c_custkey % 2 AS VARCHAR), 5, '0') END AS phys_address_zip,
        CASE WHEN c_custkey % 50 = 7 THEN 'CAN' ELSE 'USA' END AS phys_address_country"""
 
+_REG_MORE = """CAST({k} % 4 AS VARCHAR) AS bus_type_counter, lpad(CAST({k} % 1000 AS VARCHAR), 6, '0') AS primary_NAICS,
+       CAST({k} % 2 + 1 AS VARCHAR) AS NAICS_code_counter, lpad(CAST({k} % 1000 AS VARCHAR), 6, '0') || 'Y' AS NAICS_code_string,
+       CAST({k} % 3 AS VARCHAR) AS PSC_code_counter, CASE WHEN {k} % 3 <> 0 THEN 'P' || CAST({k} % 3 AS VARCHAR) END AS PSC_code_string"""
+
 view("registry", [], f"""
 SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS recipient_uei, CAST(c_custkey AS BIGINT) AS ordinal,
        c_name AS recipient_name, CAST(c_custkey % 500 AS VARCHAR) || ' MAIN ST' AS phys_address_01, {_REG_COMMON},
        CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '12~C8' WHEN 'MACHINERY' THEN '12~C7~C8' WHEN 'FURNITURE' THEN '12~C7'
-            WHEN 'BUILDING' THEN '12~C8~OH' WHEN 'AUTOMOBILE' THEN '2X~A8' END AS bus_type_string
+            WHEN 'BUILDING' THEN '12~C8~OH' WHEN 'AUTOMOBILE' THEN '2X~A8' END AS bus_type_string,
+       {_REG_MORE.format(k='c_custkey')}
 FROM customer
 UNION ALL
 SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0'), CAST(c_custkey + 1000000 AS BIGINT), c_name || ' OLD',
-       'PO BOX ' || CAST(c_custkey AS VARCHAR), {_REG_COMMON}, '2X~A8'
+       'PO BOX ' || CAST(c_custkey AS VARCHAR), {_REG_COMMON}, '2X~A8', {_REG_MORE.format(k='c_custkey')}
 FROM customer WHERE c_custkey % 20 = 0
 UNION ALL
 SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 11, '0'), CAST(s_suppkey + 2000000 AS BIGINT), s_name,
        CAST(s_suppkey % 500 AS VARCHAR) || ' OAK AVE', '2A', NULL, 'CITY ' || CAST(s_nationkey AS VARCHAR),
-       'S' || CAST(s_nationkey AS VARCHAR), lpad(CAST(s_nationkey * 2 + s_suppkey % 2 AS VARCHAR), 5, '0'), 'USA', '12~C6'
+       'S' || CAST(s_nationkey AS VARCHAR), lpad(CAST(s_nationkey * 2 + s_suppkey % 2 AS VARCHAR), 5, '0'), 'USA', '12~C6',
+       {_REG_MORE.format(k='s_suppkey')}
 FROM supplier""")
 
 view("registry_first", ["registry"], _first("registry", "recipient_uei"))
@@ -111,14 +118,14 @@ view("transactions", [], """
 SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS id,
        lpad(CAST(o.o_custkey AS VARCHAR), 12, '0') AS recipient_uei,
        'AW' || CAST(l.l_orderkey AS VARCHAR) AS award_key,
-       CAST(l.l_shipdate AS DATE) AS action_date,
-       CAST(year(l.l_shipdate) AS VARCHAR) || '-' || CAST(month(l.l_shipdate) AS VARCHAR) AS ym,
+       CASE WHEN l.l_orderkey % 23 <> 5 THEN CAST(l.l_shipdate AS DATE) END AS action_date,
+       CASE WHEN l.l_orderkey % 23 <> 5 THEN CAST(year(l.l_shipdate) AS VARCHAR) || '-' || CAST(month(l.l_shipdate) AS VARCHAR) END AS ym,
        CAST(CASE WHEN l.l_quantity = 50 THEN CAST(0 AS DOUBLE) WHEN l.l_returnflag = 'R' THEN -l.l_extendedprice
                  ELSE l.l_extendedprice END AS DECIMAL(18, 2)) AS amount,
        CASE l.l_linenumber % 4 WHEN 1 THEN upper(r.r_name) WHEN 2 THEN substr(r.r_name, 1, 2) WHEN 3 THEN 'ELSEWHERE' END
            AS pop_state,
        'AGENCY ' || CAST(l.l_suppkey % 7 AS VARCHAR) AS awarding_agency_name,
-       CAST(year(CAST(l.l_shipdate AS DATE) + INTERVAL 3 MONTH) AS INTEGER) AS shard_year
+       CASE WHEN l.l_orderkey % 23 <> 5 THEN CAST(year(CAST(l.l_shipdate AS DATE) + INTERVAL 3 MONTH) AS INTEGER) END AS shard_year
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
      JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
@@ -139,11 +146,12 @@ FROM customer""")
 
 view("provider_hits", ["hit_base"], """
 SELECT full_addy, provider,
-       CASE WHEN found THEN CAST(gy * 10000 + ky * 100 + 30 + (provider - 1) AS DOUBLE) / CAST(10000 AS DOUBLE) END AS lat,
-       CASE WHEN found THEN CAST(gx * 10000 + kx * 100 + 30 + (provider - 1) AS DOUBLE) / CAST(10000 AS DOUBLE) END AS long
-FROM (SELECT *, 1 AS provider, ck % 4 <> 0 AS found FROM hit_base
-      UNION ALL SELECT *, 2, ck % 20 <> 0 FROM hit_base WHERE ck % 4 = 0
-      UNION ALL SELECT *, 3, ck % 100 <> 0 FROM hit_base WHERE ck % 20 = 0)""")
+       CASE WHEN found THEN CAST(gy * 10000 + ky * 100 + 30 + (provider - 1) + off AS DOUBLE) / CAST(10000 AS DOUBLE) END AS lat,
+       CASE WHEN found THEN CAST(gx * 10000 + kx * 100 + 30 + (provider - 1) + off AS DOUBLE) / CAST(10000 AS DOUBLE) END AS long
+FROM (SELECT *, 1 AS provider, ck % 4 <> 0 AS found, 0 AS off FROM hit_base
+      UNION ALL SELECT *, 1, true, CASE WHEN ck % 12 = 1 THEN 3 ELSE -3 END FROM hit_base WHERE ck % 6 = 1
+      UNION ALL SELECT *, 2, ck % 20 <> 0, 0 FROM hit_base WHERE ck % 4 = 0
+      UNION ALL SELECT *, 3, ck % 100 <> 0, 0 FROM hit_base WHERE ck % 20 = 0)""")
 
 view("geocode_cache", ["provider_hits", "hit_base"], """
 SELECT DISTINCT full_addy, lat, long FROM provider_hits
@@ -214,7 +222,7 @@ view("addresses", ["active"], _first("active", "full_addy"))
 
 view("coordinates", ["provider_hits", "addresses"], """
 SELECT full_addy, lat, long, provider FROM (
-  SELECT *, row_number() OVER (PARTITION BY full_addy ORDER BY provider) AS __rn FROM provider_hits
+  SELECT *, row_number() OVER (PARTITION BY full_addy ORDER BY provider, lat, long) AS __rn FROM provider_hits
   WHERE lat IS NOT NULL AND long IS NOT NULL AND full_addy IN (SELECT full_addy FROM addresses))
 WHERE __rn = 1""")
 
@@ -228,7 +236,7 @@ view("recipients_in_city", ["active", "located"], """
 SELECT a.*, l.lat, l.long, l.place_id, l.n_hits FROM active a JOIN located l ON a.full_addy = l.full_addy""")
 
 view("uei_place", ["recipients_in_city", "place_first"], _first(
-    "(SELECT r.recipient_uei, r.place_id, r.ordinal, p.city_label, p.geoid, p.pop_21 "
+    "(SELECT r.recipient_uei, r.place_id, r.ordinal, p.city_label, p.geoid, p.pop_21, p.state, p.state_code "
     "FROM recipients_in_city r JOIN place_first p ON r.place_id = p.place_id)", "recipient_uei"))
 
 view("names", ["registry_first", "codes"], """
@@ -251,9 +259,9 @@ FROM (SELECT r.recipient_uei, r.bus_type_string, n.names,
              r.recipient_uei IN (SELECT recipient_uei FROM blacklist) AS bl
       FROM registry_first r LEFT JOIN names n ON r.recipient_uei = n.recipient_uei)""")
 
-view("city_gov_ueis", ["uei_place", "flags", "places"], """
-SELECT u.recipient_uei, u.place_id, u.city_label, u.geoid, u.pop_21, f.reason, p.state, p.state_code
-FROM uei_place u JOIN flags f ON u.recipient_uei = f.recipient_uei JOIN places p ON u.geoid = p.geoid
+view("city_gov_ueis", ["uei_place", "flags"], """
+SELECT u.recipient_uei, u.place_id, u.city_label, u.geoid, u.pop_21, f.reason, u.state, u.state_code
+FROM uei_place u JOIN flags f ON u.recipient_uei = f.recipient_uei
 WHERE f.reason IS NOT NULL""")
 
 FY_SQL = "CAST(year(action_date + INTERVAL 3 MONTH) AS INTEGER)"
@@ -297,9 +305,13 @@ FROM ayt a JOIN prof p ON a.award_key = p.award_key AND a.city_label = p.city_la
 WHERE p.award_class = 'both' AND a.pos IS NOT NULL
 UNION ALL
 SELECT p.award_key, p.city_label, CAST(y.fy AS INTEGER), 'deob_without_ob',
-       {share_sql('p.neg_total', f'(p.last_fy - least({first_fy}, p.last_fy) + 1)')}
-FROM prof p CROSS JOIN LATERAL generate_series(least({first_fy}, p.last_fy), p.last_fy) y(fy)
-WHERE p.award_class = 'only_neg'"""
+       {share_sql('p.neg_total', f'(p.last_fy - {first_fy} + 1)')}
+FROM prof p CROSS JOIN LATERAL generate_series({first_fy}, p.last_fy) y(fy)
+WHERE p.award_class = 'only_neg' AND p.last_fy >= {first_fy}
+UNION ALL
+SELECT award_key, city_label, last_fy, 'deob_without_ob', CAST(neg_total AS DECIMAL(38, 6))
+FROM prof p
+WHERE award_class = 'only_neg' AND (last_fy IS NULL OR last_fy < {first_fy})"""
 
 
 view("contrib", ["ayt", "prof"], contrib_sql("documented"))

@@ -19,6 +19,5 @@ class Params:
     cell: float = 0.05                 # grid cell (degrees) of the point-in-polygon index
     band: float | None = None          # y band of the edge index (default cell / 4)
     code_map: dict = field(default_factory=dict)
-    reuse_filtered: bool = True        # persist the filtered transactions for later outputs
     placement_join: str = "inner"      # "left": keep transactions without place/registry rows (docs)
     broadcast_limit: int | None = None # bytes; None = operators.joins.DEFAULT_BROADCAST_LIMIT, 0 = never

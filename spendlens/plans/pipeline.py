@@ -3,7 +3,8 @@
 ``load_inputs`` reads the reference's file layout (registry extract,
 crosswalk, place metadata, boundary GeoJSON, geocoder answers, yearly
 transaction shards); ``run`` builds every output as a lazy DataFrame and,
-given an output folder, writes the sinks. Actions happen only in the sinks.
+given an output folder, writes the sinks. Before the sinks only the two small
+barriers of the chain, the checkpoint of the filtered rows and asked checks run.
 
 The filtered transactions feed several outputs, so they are cut from their
 lineage once (``checkpoint`` into the cluster's ``spark.checkpoint.dir``);
@@ -12,8 +13,9 @@ everything after that reads the checkpoint, not the shards again.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,9 @@ from spendlens.operators import deobligations as deob
 from spendlens.operators.charts import chart_timeline, city_order
 from spendlens.operators.delivery import delivery, place_fy_totals
 from spendlens.operators.filters import NEVER_CITY_UEIS
-from spendlens.operators.geocode import cascade_stats
+from spendlens.operators.geocode import cache_misses, cascade_stats
+from spendlens.operators.joins import semi_join
+from spendlens.functions.text import geocoder_query
 from spendlens.operators.quality import check_quality, registry_rules
 from spendlens.plans.attribution import Chain, Inputs
 from spendlens.plans.params import Params
@@ -29,9 +33,11 @@ from spendlens.session import checkpoint_dir, cut_lineage
 from spendlens.sources import sinks
 from spendlens.sources.business_types import code_map, read_business_types
 from spendlens.sources.crosswalk import read_crosswalk
-from spendlens.sources.geojson import read_geojson_dir, to_edges
+from spendlens.sources.geojson import places_without_edges, read_geojson_dir, to_edges
 from spendlens.sources.registry import read_registry
 from spendlens.sources.shards import read_parquet_shards
+from spendlens.sources.sinks import write_snapshot
+from spendlens.sources.snapshots import latest_snapshot
 
 
 @dataclass
@@ -65,35 +71,50 @@ def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
     return inp, codes
 
 
-def write_small(spark: SparkSession, df: DataFrame, name: str) -> DataFrame | None:
-    """Write ``df`` under the cluster's checkpoint folder and read it back.
+def to_geocode(misses: DataFrame) -> DataFrame:
+    """The list for the geocoder: address key and query string of each address that no answer covers yet."""
+    return misses.select("full_addy", geocoder_query("phys_address_01", "phys_address_city", "phys_address_st",
+                                                     "phys_address_zip").alias("query"))
+
+
+class InputViolation(ValueError):
+    """The inputs break a rule of the method; the message names the rules and counts."""
 
-    Returns None (keep the lazy plan) when no checkpoint folder is set.
-    """
-    import uuid
-    base = checkpoint_dir(spark)
-    if not base:
-        return None
-    path = f"{base.rstrip('/')}/spendlens-{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+
+def violations(chain: Chain) -> dict[str, int]:
+    """Counts of what the method stops on: registry rules, recipients without coordinates, places without boundary."""
+    found = check_quality(chain.inp.registry, registry_rules()).first().asDict()
+    found.pop("rows", None)
+    found["ungeocoded_recipients"] = chain.ungeocoded_recipients().count()
+    found["places_without_boundary"] = places_without_edges(chain.places(), chain.edges()).count()
+    return found
 
 
 def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None = None,
-        materialize: bool = True) -> dict[str, DataFrame]:
-    """Build all outputs; write them under ``out_dir`` when given."""
-    from dataclasses import replace
-    chain = Chain(inp, replace(params, reuse_filtered=not materialize))
-    if materialize:
-        # Coarse-to-fine, like the reference: settle the small recipient side
-        # first. Written to the shared checkpoint folder, its real size then
-        # decides whether the one join with the transactions is a broadcast.
-        gov = write_small(spark, chain.city_gov_ueis(), "city_gov_ueis")
-        if gov is not None:
-            chain.use_materialized_gov(gov)
+        on_violation: str = "report", snapshot_base: str | None = None, snapshot_date: str | None = None) -> dict[str, DataFrame]:
+    """Build all outputs; write them under ``out_dir`` when given.
+
+    ``on_violation="raise"`` stops before the transactions are read if the inputs
+    break a rule; ``"report"`` goes on and leaves the rows in ``ungeocoded_recipients``,
+    ``unbounded_places`` and ``registry_quality``. With ``snapshot_base`` and a date the placed
+    transactions are dumped as that day's snapshot; with ``snapshot_base`` alone the
+    newest one is read instead of the shards.
+    """
+    if on_violation not in ("report", "raise"):
+        raise ValueError("on_violation must be 'report' or 'raise'")
+    if snapshot_base and not snapshot_date:
+        inp = replace(inp, transactions=latest_snapshot(spark.read.parquet(snapshot_base)).drop("snapshot_date"))
+    chain = Chain(inp, params)
+    if on_violation == "raise":
+        broken = {k: v for k, v in violations(chain).items() if v}
+        if broken:
+            raise InputViolation(", ".join(f"{k}: {v}" for k, v in broken.items()))
+    if snapshot_base and snapshot_date:
+        placed = semi_join(inp.transactions, chain.recipient_side(), "recipient_uei")
+        write_snapshot(placed, snapshot_base, snapshot_date)
     filtered = chain.filtered()
-    if materialize:
-        filtered = cut_lineage(filtered, spark)
+    # every output reads these rows: cut their lineage in the checkpoint folder, or keep them where there is none
+    filtered = cut_lineage(filtered, spark) if checkpoint_dir(spark) else filtered.persist(StorageLevel.MEMORY_AND_DISK)
     place = "city_label"
     contrib = deob.spread_contributions(filtered, params.first_fy, params.spread_mode, place="place_id")
     spread_totals = contrib.groupBy("place_id", "fy").agg(F.sum("value").alias("total"))
@@ -108,6 +129,9 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
         "city_order": city_order(filtered, place=place),
         "registry_quality": check_quality(inp.registry, registry_rules()),
         "geocode_passes": cascade_stats(inp.hits),
+        "ungeocoded_recipients": chain.ungeocoded_recipients(),
+        "to_geocode": to_geocode(cache_misses(chain.addresses(), inp.hits)),
+        "unbounded_places": places_without_edges(chain.places(), chain.edges()),
     }
     if out_dir:
         sinks.write_delivery_csv(out["delivery"], f"{out_dir}/delivery")

@@ -9,7 +9,8 @@ The rules are written once more in SQL in ``plans.oracle`` for DuckDB.
 Rules (n = nation key, c = customer key):
 
 * places: one city per nation, ``place_id = 'p'||n``; cities with n % 5 = 0
-  carry a second GEOID (like a consolidated city with two census places).
+  carry a second GEOID (like a consolidated city with two census places); the
+  last city (n = 24) also lists the GEOID of city 20.
 * crosswalk: city GEOID x ZIPs {2n, 2n+1, 2n+2}; second GEOIDs get ZIP
   1000+n; a non-city place per nation shares ZIP 2n+1 and owns 90000+n;
   one row has no ZIP.
@@ -17,8 +18,10 @@ Rules (n = nation key, c = customer key):
   with another address and codes, so "first row per UEI" matters. Suppliers
   are registered too (municipalities) but never receive money.
 * transactions: one per line item; the award is the order; returned lines
-  are deobligations; quantity 50 gives a zero amount.
-* geocoder results: three providers in priority order over customers; an
+  are deobligations; quantity 50 gives a zero amount; awards with order
+  key % 23 = 5 have no dates.
+* geocoder results: three providers in priority order over customers (c % 100 = 0
+  is found by none); provider 1 answers twice for c % 6 = 1; an
   earlier cache holds the customers with a balance over 5000.
 * blacklist: customers in debit (negative balance).
 * boundaries: a 5 x 5 grid of places, squares, squares with a hole,
@@ -84,7 +87,7 @@ def places_raw(spark: SparkSession, d: str) -> DataFrame:
     return n.join(r, "n_regionkey").selectExpr(
         "concat('p', n_nationkey) AS place_id",
         "CASE WHEN n_nationkey % 5 = 0 THEN concat(lpad(n_nationkey, 7, '0'), ', ', lpad(n_nationkey + 100, 7, '0')) "
-        "ELSE lpad(n_nationkey, 7, '0') END AS geoid_list",
+        "WHEN n_nationkey = 24 THEN '0000024, 0000020' ELSE lpad(n_nationkey, 7, '0') END AS geoid_list",
         "n_name AS city",
         "substring(r_name, 1, 2) AS state_code",
         "concat(upper(substring(r_name, 1, 1)), lower(substring(r_name, 2))) AS state",
@@ -133,6 +136,14 @@ def _full_addy_sql(parts: dict) -> str:
         "phys_address_01", "phys_address_02", "phys_address_city", "phys_address_st", "phys_address_zip")) + ")"
 
 
+def _more_attributes(key: str) -> list[str]:
+    """Registry attributes that no rule reads but the transactions carry on."""
+    return [f"CAST({key} % 4 AS STRING) AS bus_type_counter", f"lpad({key} % 1000, 6, '0') AS primary_NAICS",
+            f"CAST({key} % 2 + 1 AS STRING) AS NAICS_code_counter", f"concat(lpad({key} % 1000, 6, '0'), 'Y') AS NAICS_code_string",
+            f"CAST({key} % 3 AS STRING) AS PSC_code_counter",
+            f"CASE WHEN {key} % 3 = 0 THEN CAST(NULL AS STRING) ELSE concat('P', {key} % 3) END AS PSC_code_string"]
+
+
 def registry(spark: SparkSession, d: str) -> DataFrame:
     cust = (_t(spark, d, "customer")
             .selectExpr("*", "explode(CASE WHEN c_custkey % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS dup")
@@ -144,7 +155,8 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
                 "CASE WHEN c_custkey % 97 = 11 THEN '2J' WHEN c_mktsegment = 'AUTOMOBILE' THEN '2L' ELSE '2A' END "
                 "AS entity_structure",
                 "CASE WHEN c_custkey % 50 = 7 THEN 'CAN' ELSE 'USA' END AS phys_address_country",
-                f"CASE WHEN dup = 1 THEN '2X~A8' ELSE {_SEGMENT_SQL} END AS bus_type_string"))
+                f"CASE WHEN dup = 1 THEN '2X~A8' ELSE {_SEGMENT_SQL} END AS bus_type_string",
+                *_more_attributes("c_custkey")))
     sup = _t(spark, d, "supplier").selectExpr(
         "concat('S', lpad(s_suppkey, 11, '0')) AS recipient_uei",
         "CAST(s_suppkey + 2000000 AS BIGINT) AS ordinal",
@@ -156,10 +168,19 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
         "lpad(s_nationkey * 2 + s_suppkey % 2, 5, '0') AS phys_address_zip",
         "'2A' AS entity_structure",
         "'USA' AS phys_address_country",
-        "'12~C6' AS bus_type_string")
+        "'12~C6' AS bus_type_string", *_more_attributes("s_suppkey"))
     return cust.unionByName(sup)
 
 
+def registry_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The registry as lines of the extract (pipe-delimited, columns by position)."""
+    from spendlens.sources.registry import REGISTRY_COLUMNS
+    r = registry(spark, d)
+    cells = [f"coalesce(CAST(`{REGISTRY_COLUMNS[k]}` AS STRING), '')" if REGISTRY_COLUMNS.get(k) in r.columns else "''"
+             for k in range(1, max(REGISTRY_COLUMNS) + 1)]
+    return r.selectExpr(f"concat_ws('|', {', '.join(cells)}) AS line")
+
+
 def transactions(spark: SparkSession, d: str) -> DataFrame:
     """One row per line item, with ``shard_year`` = documented fiscal year."""
     li = _t(spark, d, "lineitem")
@@ -172,8 +193,8 @@ def transactions(spark: SparkSession, d: str) -> DataFrame:
         "CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id",
         "lpad(o_custkey, 12, '0') AS recipient_uei",
         "concat('AW', l_orderkey) AS award_key",
-        "to_date(l_shipdate) AS action_date",
-        "concat(year(l_shipdate), '-', month(l_shipdate)) AS ym",
+        "CASE WHEN l_orderkey % 23 <> 5 THEN to_date(l_shipdate) END AS action_date",
+        "CASE WHEN l_orderkey % 23 <> 5 THEN concat(year(l_shipdate), '-', month(l_shipdate)) END AS ym",
         "CAST(CASE WHEN l_quantity = 50 THEN 0D WHEN l_returnflag = 'R' THEN -l_extendedprice "
         "ELSE l_extendedprice END AS DECIMAL(18,2)) AS amount",
         "CASE l_linenumber % 4 WHEN 1 THEN upper(r_name) WHEN 2 THEN substring(r_name, 1, 2) "
@@ -188,11 +209,14 @@ def provider_hits(spark: SparkSession, d: str) -> DataFrame:
     Provider 1 is asked for every customer address, provider 2 for the
     misses of 1 (c % 4 = 0), provider 3 for the misses of 2 (c % 20 = 0).
     Coordinates depend on the address only, so equal addresses get equal
-    points; each provider is off by 1e-4 from the previous one.
+    points; each provider is off by 1e-4 from the previous one. A second answer of
+    provider 1 lies 3e-4 before or after the first one.
     """
-    asked = ("array(named_struct('provider', 1, 'found', c_custkey % 4 <> 0), "
-             "CASE WHEN c_custkey % 4 = 0 THEN named_struct('provider', 2, 'found', c_custkey % 20 <> 0) END, "
-             "CASE WHEN c_custkey % 20 = 0 THEN named_struct('provider', 3, 'found', c_custkey % 100 <> 0) END)")
+    asked = ("array(named_struct('provider', 1, 'found', c_custkey % 4 <> 0, 'off', 0), "
+             "CASE WHEN c_custkey % 6 = 1 THEN named_struct('provider', 1, 'found', true, 'off', "
+             "CASE WHEN c_custkey % 12 = 1 THEN 3 ELSE -3 END) END, "
+             "CASE WHEN c_custkey % 4 = 0 THEN named_struct('provider', 2, 'found', c_custkey % 20 <> 0, 'off', 0) END, "
+             "CASE WHEN c_custkey % 20 = 0 THEN named_struct('provider', 3, 'found', c_custkey % 100 <> 0, 'off', 0) END)")
     return (_t(spark, d, "customer")
             .selectExpr("*", "0 AS dup")
             .selectExpr(f"{_full_addy_sql(_CUSTOMER_ADDRESS)} AS full_addy",
@@ -201,8 +225,8 @@ def provider_hits(spark: SparkSession, d: str) -> DataFrame:
                         "((c_custkey % 500) * 61 + CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 17 END) % 100 AS ky",
                         f"explode(filter({asked}, a -> a IS NOT NULL)) AS a")
             .selectExpr("full_addy", "a.provider AS provider",
-                        "CASE WHEN a.found THEN CAST(gy * 10000 + ky * 100 + 29 + a.provider AS DOUBLE) / 10000D END AS lat",
-                        "CASE WHEN a.found THEN CAST(gx * 10000 + kx * 100 + 29 + a.provider AS DOUBLE) / 10000D END AS long"))
+                        "CASE WHEN a.found THEN CAST(gy * 10000 + ky * 100 + 29 + a.provider + a.off AS DOUBLE) / 10000D END AS lat",
+                        "CASE WHEN a.found THEN CAST(gx * 10000 + kx * 100 + 29 + a.provider + a.off AS DOUBLE) / 10000D END AS long"))
 
 
 def geocode_cache(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans depend on. Timestamps and dates must not move with the
@@ -50,6 +53,7 @@ RUNTIME_SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.maxPlanStringLength": "200000",
 }
 
@@ -72,13 +76,22 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf:
+    if not current and conf:
         sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
-    return None
+        current = sc.getCheckpointDir()
+    return current or None
+
+
+def written_copy(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back; kept in memory and on disk without one."""
+    spark = spark or df.sparkSession
+    base = checkpoint_dir(spark)
+    if not base:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{base.rstrip('/')}/spendlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:

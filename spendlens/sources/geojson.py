@@ -44,9 +44,10 @@ def read_geojson_dir(spark: SparkSession, pattern: str, id_prop: str = "place_id
     """Read every FeatureCollection file matching ``pattern`` (one per city).
 
     Files are whole JSON documents, so ``multiLine``; each file is one task.
+    A file that is not valid JSON fails the read.
     Output: id_prop, properties, geom_type, coordinates, source_file.
     """
-    docs = spark.read.schema(COLLECTION).option("multiLine", True).json(pattern)
+    docs = spark.read.schema(COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json(pattern)
     feats = docs.select(F.col("_metadata.file_path").alias("source_file"), F.col("crs"),
                         F.explode("features").alias("f"))
     return _features_to_geoms(feats, id_prop)
@@ -54,11 +55,16 @@ def read_geojson_dir(spark: SparkSession, pattern: str, id_prop: str = "place_id
 
 def parse_geojson_text(df: DataFrame, text_col: str = "geojson", id_prop: str = "place_id") -> DataFrame:
     """Same as ``read_geojson_dir`` for documents held in a string column."""
-    docs = df.select(F.from_json(F.col(text_col), COLLECTION).alias("doc"))
+    docs = df.select(F.from_json(F.col(text_col), COLLECTION, {"mode": "FAILFAST"}).alias("doc"))
     feats = docs.select(F.explode("doc.features").alias("f"))
     return _features_to_geoms(feats, id_prop)
 
 
+def places_without_edges(places: DataFrame, edges: DataFrame, id_col: str = "place_id") -> DataFrame:
+    """Listed places that no boundary file gives an edge (missing file, other geometry type, empty feature)."""
+    return places.select(id_col).distinct().join(edges.select(id_col).distinct(), id_col, "left_anti")
+
+
 def to_edges(geoms: DataFrame, id_col: str = "place_id", coords_col: str = "coordinates") -> DataFrame:
     """Edge table: id, part, ring, seq, x1, y1, x2, y2 (rings closed if open)."""
     rings = (geoms.selectExpr(f"`{id_col}`", f"posexplode(`{coords_col}`) AS (part, rings)")

@@ -36,11 +36,11 @@ def read_city_places(spark: SparkSession, path: str, columns: dict[str, str] | N
 def prepare_places(raw: DataFrame, list_col: str = "geoid_list", sep: str = ", ") -> DataFrame:
     """P3 + E2: add ``city_label`` and give every GEOID of a city its own row.
 
-    ``place_order`` = file ordinal * 1000 + position of the GEOID in its cell.
+    ``place_order`` = file ordinal * 2^20 + position of the GEOID in its cell.
     """
     keep = [f"`{c}`" for c in raw.columns if c != list_col]
     sep_sql = sep.replace("\\", "\\\\").replace("'", "\\'")
     return (raw.selectExpr(*keep, "concat(coalesce(city, 'NA'), ', ', coalesce(state_code, 'NA')) AS city_label",
                            f"posexplode(split(`{list_col}`, '{sep_sql}')) AS (geoid_pos, geoid)")
-            .selectExpr("*", "CAST(ordinal AS BIGINT) * 1000 + geoid_pos AS place_order")
+            .selectExpr("*", "CAST(ordinal AS BIGINT) * 1048576 + geoid_pos AS place_order")
             .drop("geoid_pos"))

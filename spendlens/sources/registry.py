@@ -39,6 +39,13 @@ def read_registry(spark: SparkSession, path: str, n_columns: int = 142, sep: str
     return with_file_ordinal(df)
 
 
+def parse_registry_lines(df: DataFrame, line: str = "line", sep: str = "|", columns: dict[int, str] | None = None) -> DataFrame:
+    """The named positions of extract lines held in a column; an empty field is NULL, as in the file reader."""
+    cells = F.split(F.col(line), "\\Q" + sep + "\\E", -1)
+    return df.select(*[F.when(F.get(cells, pos - 1) != "", F.get(cells, pos - 1)).alias(name)
+                       for pos, name in sorted((columns or REGISTRY_COLUMNS).items())])
+
+
 def with_file_ordinal(df: DataFrame) -> DataFrame:
     """Ordinal that follows file order: (file, split start, id inside split).
 

@@ -7,7 +7,7 @@ date comes from the file name in ``_metadata``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
@@ -16,12 +16,18 @@ DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 def latest_snapshot(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
     """Rows of the newest snapshot.
 
-    The newest date is a one-row aggregate joined back by equality (a
-    broadcast equi-join, not a window over all rows); on a dataset
-    partitioned by the date, Spark prunes the other partitions at runtime.
+    The newest date, one value, comes to the driver first, so the rows are
+    read through a literal filter: on a dataset partitioned by the date only that
+    partition is listed. Without any date no row is the newest.
     """
-    newest = df.agg(F.max(date_col).alias("__newest"))
-    return df.join(F.broadcast(newest), F.col(date_col) == F.col("__newest")).drop("__newest")
+    newest = df.agg(F.max(date_col)).first()[0]
+    return df.filter(F.col(date_col) == F.lit(newest)) if newest is not None else df.filter(F.lit(False))
+
+
+def date_in_name(name) -> Column:
+    """The date in a snapshot's file name; NULL without one."""
+    text = F.regexp_extract(name, DATE_IN_NAME, 1)
+    return F.to_date(F.when(text != "", text))
 
 
 def read_named_snapshots(spark: SparkSession, directory: str, name_regex: str,
@@ -31,5 +37,5 @@ def read_named_snapshots(spark: SparkSession, directory: str, name_regex: str,
     df = r.load(directory)
     name = F.col("_metadata.file_name")
     return (df.withColumn("__name", name).filter(F.col("__name").rlike(name_regex))
-            .withColumn("snapshot_date", F.to_date(F.regexp_extract("__name", DATE_IN_NAME, 1)))
+            .withColumn("snapshot_date", date_in_name(F.col("__name")))
             .drop("__name"))

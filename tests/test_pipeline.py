@@ -65,3 +65,42 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     raw = {r.date: r.value for r in out["delivery_raw"].collect()}
     assert raw == {"2018-01-01 00:00:00": 100.0, "2019-01-01 00:00:00": None}
     assert spark.read.parquet(f"{tmp_dir}/out/recipient_map").count() == 1
+
+
+def test_snapshots_checks_and_geocoding_list(spark, tmp_dir):
+    import pytest
+
+    from spendlens.plans.pipeline import InputViolation
+    paths = _world(spark, tmp_dir)
+    inp, codes = load_inputs(spark, paths)
+    p = Params(first_fy=2017, code_map=codes, cell=0.25)
+    snap = f"{tmp_dir}/snap"
+    first = run(spark, inp, p, snapshot_base=snap, snapshot_date="2024-01-01", on_violation="raise")
+    totals = sorted(tuple(r) for r in first["annual_net_totals"].collect())
+    assert spark.read.parquet(snap).count() == 4      # the transactions of located recipients
+    second = run(spark, inp, p, snapshot_base=snap)   # reads the newest dump, not the shards
+    assert sorted(tuple(r) for r in second["annual_net_totals"].collect()) == totals
+    assert first["ungeocoded_recipients"].count() == 0 and first["to_geocode"].count() == 0 and first["unbounded_places"].count() == 0
+    # no answer for the address: listed, and an error on request
+    lost = type(inp)(**{**inp.__dict__, "hits": inp.hits.limit(0)})
+    out = run(spark, lost, p)
+    assert [r.recipient_uei for r in out["ungeocoded_recipients"].collect()] == ["U00000000001"]
+    assert [r.query for r in out["to_geocode"].collect()] == ["1 MAIN ST, BALTIMORE, MD, 21201"]
+    with pytest.raises(InputViolation, match="ungeocoded_recipients: 1"):
+        run(spark, lost, p, on_violation="raise")
+
+
+def test_undated_deobligation_is_charged_to_the_null_year(spark):
+    from decimal import Decimal
+
+    from spendlens.operators.deobligations import annual_net_totals
+    df = spark.createDataFrame([("A", "X", None, Decimal("-50.00")), ("B", "X", 2018, Decimal("10.00")), ("C", "X", 2015, Decimal("-3.00"))],
+                               "award_key string, city_label string, fy int, amount decimal(18,2)")
+    got = {r.fy: r.total for r in annual_net_totals(df, 2017).collect()}
+    assert got == {None: -50.0, 2018: 10.0, 2015: -3.0}
+
+
+def test_shards_of_all_years_and_undated_rows(spark):
+    from spendlens.sources.shards import split_by_year, union_shards
+    df = spark.createDataFrame([(1, 1990), (2, 2001), (3, None)], "id int, shard_year int")
+    assert union_shards([*split_by_year(df, [1990, 2001]), df.filter("shard_year IS NULL")]).count() == 3

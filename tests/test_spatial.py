@@ -62,3 +62,25 @@ def test_overlapping_polygons_keep_smallest_id(spark):
     pts = spark.createDataFrame([("p", 1.5, 1.5), ("q", 0.5, 0.5)], "pid string, x double, y double")
     got = {r.pid: (r.place_id, r.n_hits) for r in point_in_polygon(pts, edges, id_col="pid", cell=1.0).collect()}
     assert got == {"p": ("a", 2), "q": ("b", 1)}
+
+
+def test_points_with_one_id_are_kept_apart(spark, tmp_dir):
+    _write(tmp_dir)
+    edges = to_edges(read_geojson_dir(spark, f"{tmp_dir}/*.geojson"))
+    pts = spark.createDataFrame([("p", 0.5, 0.5), ("p", 3.0, 3.0), ("p", 10.5, 0.5)], "pid string, x double, y double")
+    got = sorted((r.x, r.place_id) for r in point_in_polygon(pts, edges, id_col="pid", cell=0.5).collect())
+    assert got == [(0.5, "sq"), (3.0, "sq"), (10.5, "two")]
+
+
+def test_broken_boundary_file_fails_and_missing_places_are_listed(spark, tmp_dir):
+    import pytest
+
+    from spendlens.sources.geojson import places_without_edges
+    _write(tmp_dir)
+    edges = to_edges(read_geojson_dir(spark, f"{tmp_dir}/*.geojson"))
+    listed = spark.createDataFrame([("sq",), ("gone",)], "place_id string")
+    assert [r.place_id for r in places_without_edges(listed, edges).collect()] == ["gone"]
+    with open(os.path.join(tmp_dir, "c-bad.geojson"), "w") as f:
+        f.write('{"type": "FeatureCollection", "features": [{"type"')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_geojson_dir(spark, f"{tmp_dir}/*.geojson").collect()
