@@ -21,6 +21,7 @@ from .common import LOWER, UPPER, ascii_lower, table
 
 N = 10
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+CASED_SEPARATORS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # before A-Z are put in lower case
 MAX_BROADCAST = 1_000_000
 
 
@@ -83,10 +84,9 @@ def mark(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
 
 def remove_spans(text, spans) -> F.Column:
     """The text without the words of ``spans`` and what separates each of them from the next word."""
-    word = f"[^{SEPARATORS}]"
     # pieces that begin with a word; a text that begins with separators has one piece before the first word
-    pieces = F.split(text, f"(?<=[{SEPARATORS}])(?={word})")
-    lead = F.when(text.rlike(f"^[{SEPARATORS}]"), 1).otherwise(0)
+    pieces = F.split(text, f"(?<=[{CASED_SEPARATORS}])(?=[^{CASED_SEPARATORS}])")
+    lead = F.when(text.rlike(f"^[{CASED_SEPARATORS}]"), 1).otherwise(0)
     keep = F.transform(pieces, lambda p, i: F.when(
         F.exists(spans, lambda s: (i - lead >= s["first"]) & (i - lead < s["end"])), F.lit("")).otherwise(p))
     return F.array_join(keep, "")
