@@ -49,6 +49,12 @@ def chain(spark: SparkSession, d: str, **params) -> Chain:
     return _CHAINS[key]
 
 
+def forget_chains() -> None:
+    """Drop the shared chains: the next query builds its steps anew."""
+    _CHAINS.clear()
+    syn._READS.clear()
+
+
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 S: dict[str, str] = {}
 

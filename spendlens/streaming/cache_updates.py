@@ -12,6 +12,7 @@ kept in ``checkpoint_location`` on shared storage.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,7 +36,9 @@ CACHE_SCHEMA = T.StructType([
 def _read_cache(spark: SparkSession, cache_path: str) -> DataFrame:
     try:
         return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    except Exception:  # no cache written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # rights or storage: never take that for an empty cache
+            raise
         return spark.createDataFrame([], CACHE_SCHEMA)
 
 
