@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import ship, table, written
 
 TABLE, FIT_ROWS, MAX_LANGUAGES = 1 << 17, 300, 64
-EFFECTIVE, SMOOTH, KAPPA, ACCEPT, FLOOR = 40, 1.0, 20.0, 0.5, 2.5
+EFFECTIVE, SMOOTH, KAPPA, ACCEPT, FLOOR = 40, 1.0, 20.0, 0.5, 5.0
 _SPACE = np.arange(256, dtype=np.uint8)
 for _c in range(128):
     if not chr(_c).isalpha():
