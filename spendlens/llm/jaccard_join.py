@@ -7,9 +7,12 @@ kept: a shingle toggles one bit of one of P words. One different shingle changes
 number of different bits, and of different words, is a lower bound of the symmetric difference. With D the greatest
 difference allowed in a band and P = D + 1 + s words, similar sets agree in at least s + 1 words
 (pigeonhole). Words are joined by value; a word of zero says little, so it is no key, and a sketch with
-more than s zero words also gets a key for each choice of s + 1 of them. No similar pair is lost.
+more than s zero words also gets a key for each choice of s + 1 of them. A set then leaves out its s most
+frequent words (zeros counted first): of s + 1 or more common words the rarest is among the s most frequent
+of neither set, so no similar pair is lost, while words made of boilerplate alone no longer bring strangers
+together.
 
-Sets that share a key are linked to the least of them; the connected components of these links are
+Sets that still share a key are linked to the least of them; the connected components of these links are
 families. A family's sets meet in blocks of at most ``BLOCK_BYTES``, each pair of blocks in one task,
 where sizes, then bits, then the shingles themselves decide. A pair that verified links already connect
 needs no test, so the links that leave a task are a spanning forest, not all pairs. Equal sets are
@@ -31,6 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import mix, shingle_hashes, ship, table, words_of, written, WordHashes
 from .components import components
@@ -74,8 +78,7 @@ def words_in(band: int, percent: int) -> tuple[int, int]:
     d = most_different(top, top * 100 // percent, percent)
     if d == 0:
         return 0, 0
-    zeros = 0.01 * d
-    spare = 2 + int(2 * zeros + 4 * zeros ** 0.5)
+    spare = 2 + d // 2
     return d + 1 + spare, spare
 
 
@@ -88,41 +91,42 @@ def sketch(s: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def keys(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The join keys of a set: from the tables of its own band and of the one below."""
-    if len(s) == 0:
-        return np.zeros(0, np.uint64)
-    own, out = band_of(len(s), percent), []
-    for band in (own, own - 1):
+def keys(s: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, np.ndarray]]:
+    """(table: 1 of the set's own band or 0 of the one below, how many of the most frequent keys to leave out, keys)."""
+    out = []
+    own = band_of(len(s), percent) if len(s) else -1
+    for table_, band in ((1, own), (0, own - 1)):
         words, spare = words_in(band, percent) if band >= 0 else (0, 0)
         if not words:
             continue
         w = sketch(s, words)
-        full = np.flatnonzero(w)
-        label = np.uint64(band << 32)
-        out.append(mix(mix(w[full]) + mix(full.astype(np.uint64) + label)))
-        zeros = np.flatnonzero(w == 0)
-        if len(zeros) > spare:
-            out.append(np.array([xxhash.xxh64_intdigest(np.array(c).astype("<u8").tobytes(), band) for c in combinations(zeros, spare + 1)], np.uint64))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        full, zeros = np.flatnonzero(w), np.flatnonzero(w == 0)
+        out.append((table_, max(0, spare - len(zeros)), mix(mix(w[full]) + mix(full.astype(np.uint64) + np.uint64(band << 32)))))
+        if len(zeros) > spare:  # a table of their own: none of them may be left out
+            out.append((2 + table_, 0, np.array([xxhash.xxh64_intdigest(np.array(c).astype("<u8").tobytes(), band)
+                                                 for c in combinations(zeros, spare + 1)], np.uint64)))
+    return out
 
 
 def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
+    out, held = [], 0
+
+    def frame() -> pd.DataFrame:
+        node, key, tag = (np.concatenate(x) for x in zip(*out))
+        return pd.DataFrame({"node": node, "key": key, "tag": tag})
+
     for b in batches:
-        nodes, found, held = [], [], 0
         for text in b["text"]:
             s = shingle_set(hashes, text, n)
-            k = keys(s, percent)
-            if len(k):
-                nodes.append(np.full(len(k), node_of(s)))
-                found.append(k.view(np.int64))
+            for table_, leave, k in keys(s, percent):
+                out.append((np.full(len(k), node_of(s)), k.view(np.int64), np.full(len(k), leave * 4 + table_, np.int32)))
                 held += len(k)
             if held > 500_000:
-                yield pd.DataFrame({"node": np.concatenate(nodes), "key": np.concatenate(found)})
-                nodes, found, held = [], [], 0
-        if held:
-            yield pd.DataFrame({"node": np.concatenate(nodes), "key": np.concatenate(found)})
+                yield frame()
+                out, held = [], 0
+    if out:
+        yield frame()
 
 
 def _node_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
@@ -174,24 +178,13 @@ def linked(nodes: list[int], sets: list[np.ndarray], sides: list[int] | None, pe
 def links(docs: DataFrame, rows: DataFrame, key: str, text: str, n: int = N, percent: int = PERCENT) -> DataFrame:
     """(a, b): verified links between nodes that connect exactly what similar pairs connect."""
     texts = docs.select(F.col(text).alias("text"))
-    found = texts.mapInPandas(lambda it: _key_rows(it, n, percent), "node long, key long")
-    # the least node of each key: the keys meet sorted, the first stands at hand while the others pass
-    ordered = found.repartition("key").sortWithinPartitions("key", "node")
-
-    def stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key, first = None, 0
-        for b in batches:
-            k, v = b["key"].to_numpy(), b["node"].to_numpy()
-            if len(k) == 0:
-                continue
-            new = np.r_[last_key is None or k[0] != last_key, k[1:] != k[:-1]]
-            start = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
-            least = np.where(start >= 0, v[np.maximum(start, 0)], first)
-            last_key, first = k[-1], least[-1]
-            pairs = np.unique(np.stack([v, least], axis=1)[v != least], axis=0)
-            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    families = components(ordered.mapInPandas(stars, "a long, b long"), "a", "b").withColumnRenamed("component", "family")
+    found = texts.mapInPandas(lambda it: _key_rows(it, n, percent), "node long, key long, tag int")
+    # keys that several texts hold, and how many; copies count each, only the order matters
+    shared = found.withColumn("often", F.count("*").over(Window.partitionBy("key"))).where("often > 1").distinct()
+    rank = F.row_number().over(Window.partitionBy("node", "tag").orderBy(F.desc("often"), "key"))
+    rare = shared.withColumn("rank", rank).where(F.col("rank") > F.shiftright("tag", 2)).select("node", "key")
+    stars = rare.withColumn("least", F.min("node").over(Window.partitionBy("key"))).where("node <> least").select("node", "least").distinct()
+    families = components(stars, "node", "least").withColumnRenamed("component", "family")
     # one row's id for each node, to fetch its text; families beyond a block's bytes are cut into blocks
     least_id = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"))
     members = families.join(least_id, "node")
