@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, mix, shared_dir, ship, table, words_of, written
 
-CHUNK_TOKENS, K, HOT = 4_000_000, 5, 4
+CHUNK_TOKENS, K, HOT = 1_200_000, 5, 4
 END = np.uint64(xxhash.xxh64_intdigest(b"\n end of text"))  # no word holds white space
 START = np.uint64(xxhash.xxh64_intdigest(b"\n start of text"))
 LOW48 = np.uint64((1 << 48) - 1)
