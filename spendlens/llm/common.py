@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def nullable(values: list[int | None]) -> pd.api.extensions.ExtensionArray:
+    """64-bit integers and nulls, without a detour by floats."""
+    return pd.arrays.IntegerArray(np.array([v or 0 for v in values], np.int64), np.array([v is None for v in values], bool))
+
+
 def ascii_lower(col) -> F.Column:
     """A-Z to a-z and nothing else."""
     return F.translate(col, UPPER, LOWER)

@@ -133,7 +133,10 @@ def _node_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame
     hashes = WordHashes()
     for b in batches:
         sets = [shingle_set(hashes, t, n) for t in b["text"]]
-        yield b.drop(columns="text").assign(n_shingles=[len(s) for s in sets], node=[node_of(s) if len(s) else None for s in sets]).astype({"node": "Int64"})
+        empty = np.array([len(s) == 0 for s in sets], bool)
+        # never by way of floats, which would round the hashes of a batch that holds a null
+        node = pd.arrays.IntegerArray(np.array([node_of(s) if len(s) else 0 for s in sets], np.int64), empty)
+        yield b.drop(columns="text").assign(n_shingles=[len(s) for s in sets], node=node)
 
 
 def _set_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:

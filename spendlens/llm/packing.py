@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship, table, written
+from .common import nullable, ship, table, written
 
 SEQUENCE, UNIT, END, SALTS = 2048, 8, 1, 256
 VOCABULARY = "byte_bpe_50k"
@@ -63,7 +63,7 @@ def _pieces(batches: Iterator[pd.DataFrame], vocabulary: str, sequence: int) ->
             ident = None if pd.isna(ident) else int(ident)
             rows += [(ident, a, min(sequence, len(ids) - a), len(ids), ids[a:a + sequence].tobytes()) for a in range(0, len(ids), sequence)]
         out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "ids"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
+        out["doc_id"] = nullable([r[0] for r in rows])
         yield out
 
 

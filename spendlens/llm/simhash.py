@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, shingle_hashes, ship, table, words_of, written, WordHashes
+from .common import mix, nullable, shingle_hashes, ship, table, words_of, written, WordHashes
 
 BITS, TERM_WORDS, RADIUS = 128, 2, 3
 SECOND = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +98,7 @@ def _with_next(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.append(row(last, text, mine))
             last = None if guard else (part, None if pd.isna(ident) else int(ident), text, mine)
         frame = pd.DataFrame(out, columns=columns)
-        frame["id"] = frame["id"].astype("Int64")
+        frame["id"] = nullable([r[0] for r in out])
         yield frame
 
 
