@@ -4,7 +4,7 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wr
 again as the next stage's ``docs``. All stages but the last return the columns of ``documents``.
 
 * language: documents whose language cannot be told are rejected; all others stay as they are.
-* near_duplicates: of each component of similar documents the one with the least id stays (of rows with that
+* near_duplicates: of each component of documents with a Jaccard similarity of 0.8 over runs of five words the one with the least id stays (of rows with that
   id the first text in order); a document without words stays.
 * decontamination: documents that hold a window of a benchmark item go.
 * private: personal data in the texts is replaced by surrogates; no document goes.
@@ -26,8 +26,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs)
 
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_representatives(docs)
+    return jaccard_join.keep_representatives(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -229,12 +229,12 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return out.select(F.col("id").alias(key), "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one of the least id (nulls last; of equal ids any one). All columns
+def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component of sets of ``n`` words, similar from ``percent`` hundredths on: the one of the least id (nulls last; of equal ids any one). All columns
     unchanged; rows without words are kept. The rows are numbered and written first, so repeated rows and ids are told apart."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = written(docs.select(F.monotonically_increasing_id().alias("n"), whole), "jaccard-rows")
-    classes = similar_components(rows.select("n", F.col("row")[text].alias("text")), "n", "text").where("n_shingles > 0")
+    classes = similar_components(rows.select("n", F.col("row")[text].alias("text")), "n", "text", n, percent).where("n_shingles > 0")
     classes = classes.join(rows.select("n", F.col("row")[key].alias("id")), "n")
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n"))["n"].alias("n")
     losers = written(classes.join(classes.groupBy("component_id").agg(best).select("n"), "n", "left_anti").select("n"), "jaccard-losers")

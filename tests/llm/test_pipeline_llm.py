@@ -41,3 +41,10 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
         p.STAGES[-1][1](spark, data, SF).count()
     assert p.near_duplicates(spark, docs, SF).where(F.col("doc_id") == 4).count() == 1
     assert len(p.STAGES) == 5 and "corpus_pipeline" in sys.modules
+
+
+def test_near_duplicates_by_five_words_from_eight_tenths_on(spark):
+    words = [f"w{k}" for k in range(400)]
+    edited = words[:200] + [f"x{k}" for k in range(32)] + words[232:]  # 360 of 432 runs of five words are shared, 362 of 432 of four
+    docs = make_docs(spark, [" ".join(words), " ".join(edited), " ".join(reversed(words))])
+    assert [r.doc_id for r in p.near_duplicates(spark, docs, SF).orderBy("doc_id").collect()] == [0, 2]
