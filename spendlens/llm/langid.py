@@ -3,8 +3,9 @@
 log P(L | row) = host prior + text likelihood + log P(declared | L) + log P(suffix | L) + constant
 
 * Text: byte trigrams of the letters (Unicode lower case), hashed into ``TABLE`` cells, with a smoothed
-  multinomial for each language fitted on at most ``FIT_ROWS`` labelled rows of each declared language,
-  chosen by a hash (a bounded sample; scoring covers every whole text). Trigrams overlap and are not
+  multinomial for each language fitted on at most ``FIT_ROWS`` different labelled texts of each declared language,
+  chosen by a hash (a bounded sample; scoring covers every whole text). Every language that ``LEAST_ROWS`` rows
+  declare is in the model, whatever the number of the others' rows. Trigrams overlap and are not
   independent, so the mean per trigram counts as at most ``EFFECTIVE`` independent ones.
 * Declared markup language and address suffix: confusion tables by grouped aggregation over all rows,
   against the language that the text alone suggests, with add-``SMOOTH`` smoothing.
@@ -24,12 +25,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, table, written
 
-TABLE, FIT_ROWS, MAX_LANGUAGES = 1 << 17, 300, 64
+TABLE, FIT_ROWS, LEAST_ROWS = 1 << 17, 300, 3
 EFFECTIVE, SMOOTH, KAPPA, ACCEPT, FLOOR = 40, 1.0, 20.0, 0.5, 5.0
 _SPACE = np.arange(256, dtype=np.uint8)
 for _c in range(128):
@@ -50,30 +51,33 @@ def trigrams(text: str) -> np.ndarray:
 def fit(rows: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log-likelihoods (cell, language), and the mean of each language's own texts."""
     languages = sorted({d for d, _ in rows})
-    counts = np.full((TABLE, len(languages)), 0.05)
+    texts = {language: [] for language in languages}
     for d, text in rows:
-        counts[:, languages.index(d)] += np.bincount(trigrams(text), minlength=TABLE)
-    logs = np.log(counts / counts.sum(axis=0))
-    own = np.zeros(len(languages))
+        texts[d].append(text)
+    logs, own = np.zeros((TABLE, len(languages)), np.float32), np.zeros(len(languages))
     for k, language in enumerate(languages):
-        grams = np.concatenate([trigrams(t) for d, t in rows if d == language])
-        own[k] = logs[grams, k].mean() if len(grams) else 0
-    return languages, logs.astype(np.float32), own
+        grams = np.concatenate([trigrams(t) for t in texts[language]])
+        counts = 0.05 + np.bincount(grams, minlength=TABLE)
+        log = np.log(counts / counts.sum())
+        logs[:, k], own[k] = log, log[grams].mean() if len(grams) else 0
+    return languages, logs, own
 
 
 def sample(rows: DataFrame) -> list[tuple[str, str]]:
-    """At most ``FIT_ROWS`` labelled rows of each declared language, by a hash of the text."""
+    """At most ``FIT_ROWS`` different texts of each language that ``LEAST_ROWS`` rows declare, least hashes first."""
     labelled = rows.where(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text")
-    counts = labelled.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES + 1).collect()
-    counts = [r for r in counts[:MAX_LANGUAGES] if r["count"] * 1000 >= counts[0]["count"]]
+    lot = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    counts = (labelled.select("declared", lot.alias("lot")).groupBy("declared", "lot").agg(F.count("*").alias("copies"))
+              .groupBy("declared").agg(F.sum("copies").alias("n_rows"), F.count("*").alias("n_texts"))
+              .where(F.col("n_rows") >= LEAST_ROWS).collect())  # a row for each language
     if not counts:
         return []
-    lot = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("declared") == r["declared"]) & (lot < min(1 << 40, (FIT_ROWS << 40) // r["count"])))
-    bound = 2 * FIT_ROWS * len(counts)  # the expected number is half of it
-    return [(r["declared"], r["text"]) for r in labelled.where(chosen).orderBy(lot, "text").limit(bound).collect()]
+    # twice the number that is wanted is drawn, then each language is held to its bound
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["declared"], min(1 << 40, (2 * FIT_ROWS << 40) // r["n_texts"]))])
+    drawn = labelled.where(lot < share[F.col("declared")]).select("declared", "text", lot.alias("lot")).distinct()
+    place = F.row_number().over(Window.partitionBy("declared").orderBy("lot", "text"))
+    chosen = drawn.withColumn("place", place).where(F.col("place") <= FIT_ROWS)
+    return [(r["declared"], r["text"]) for r in chosen.orderBy("lot", "text", "declared").collect()]
 
 
 def scored(rows: DataFrame) -> tuple[DataFrame, list[str], np.ndarray]:
@@ -81,7 +85,7 @@ def scored(rows: DataFrame) -> tuple[DataFrame, list[str], np.ndarray]:
     ship(rows.sparkSession)
     model = sample(rows)
     languages, logs, own = fit(model) if model else ([], np.zeros((TABLE, 0), np.float32), np.zeros(0))
-    shared = rows.sparkSession.sparkContext.broadcast(logs)  # TABLE x at most MAX_LANGUAGES numbers
+    shared = rows.sparkSession.sparkContext.broadcast(logs)  # TABLE x languages, half a MB for each
 
     @F.pandas_udf("n long, mean array<double>")
     def likelihoods(texts: pd.Series) -> pd.DataFrame:
@@ -90,8 +94,9 @@ def scored(rows: DataFrame) -> tuple[DataFrame, list[str], np.ndarray]:
         for text in texts:
             grams = trigrams(text) if isinstance(text, str) else np.zeros(0, np.int64)
             total = np.zeros(logs.shape[1])
-            for a in range(0, len(grams), 1 << 16):
-                total += logs[grams[a:a + (1 << 16)]].sum(axis=0, dtype=np.float64)
+            step = (1 << 22) // max(64, logs.shape[1])  # 16 MB at a time, however many languages
+            for a in range(0, len(grams), step):
+                total += logs[grams[a:a + step]].sum(axis=0, dtype=np.float64)
             n.append(len(grams))
             mean.append((total / max(1, len(grams))).tolist())
         return pd.DataFrame({"n": n, "mean": mean})

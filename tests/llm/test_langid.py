@@ -82,3 +82,21 @@ def test_host_prior_is_smoothed(spark):
     out = {r.doc_id: r for r in g.identify(evidence(spark, data)).collect()}
     assert out[500].language == "aa"
     assert DOCS and make_docs
+
+
+def test_a_small_language_stays_beside_a_hot_one(spark):
+    rng = random.Random(11)
+    data = [r for r in rows(wrong=0) if r[5] == "bb"] + [(4000 + k, text(rng, "cc"), "cc", "h", 5, "cc") for k in range(12)]
+    hot = spark.range(25_000).select((F.col("id") + 10_000).alias("doc_id"), F.concat(F.lit(text(rng, "aa", 20) + " "), F.col("id") % 7).alias("text"),
+                                     F.lit("aa").alias("lang"), F.lit("hot").alias("source"), F.lit(5).cast("long").alias("n_chars"), F.lit("aa").alias("truth"))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, truth string").unionByName(hot)
+    out = g.identify(df.select("doc_id", "truth", *g.document_evidence())).where("doc_id < 10000").collect()
+    assert len(out) == len(data) and all(r.language == r.truth and r.accepted for r in out)
+
+
+def test_more_languages_than_one_block(spark):
+    rng = random.Random(12)
+    syllables = {f"l{k:02d}": [chr(97 + k // 9) + "bcdfghklm"[k % 9] + v for v in "aeiou"] for k in range(70)}
+    data = [(10 * k + i, " ".join("".join(rng.choice(x) for _ in range(3)) for _ in range(40)), language, "h", 5, language)
+            for k, (language, x) in enumerate(syllables.items()) for i in range(4)]
+    assert all(r.language == r.truth and r.accepted for r in g.identify(evidence(spark, data)).collect())
