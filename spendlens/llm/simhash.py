@@ -4,9 +4,11 @@ Terms are runs of two words (a text of one word is one term), in ASCII lower cas
 votes with weight 1 + log2(its count) on every one of 128 signed bits, by its hash; the signs are the
 fingerprint, as 32 hex digits. A text without words has the fingerprint of all zeros.
 
-Search: the bits are cut into ``radius + 1`` blocks; two fingerprints within the radius agree in one
-block at least, so each table keyed by one block, moved to the front, finds its share and all tables
-together find every neighbour. Equal fingerprints are searched once.
+Search: the bits are cut into blocks, so many that two fingerprints within the radius differ by at most one bit in one
+block at least (for radii under 4: by none). Each table is keyed by one block, moved to the front; a query
+looks up its block and all that differ from it by one bit, so all tables together find every
+neighbour. Equal fingerprints are searched once. One replaced word moves 7 of the 128 bits or so in texts of 50 to
+150 words and fewer in longer ones, hence the radius.
 
 The neighbour in order of id (``with_next``) needs one shuffle of the texts: ranges of ids by quantiles, and the
 first row of each range goes, as a guard, also to the range before. Only one id for each range comes to
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import mix, nullable, shingle_hashes, ship, table, words_of, written, WordHashes
 
-BITS, TERM_WORDS, RADIUS = 128, 2, 3
+BITS, TERM_WORDS, RADIUS = 128, 2, 12
 SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,36 +111,52 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         _with_next, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(first hex digit from 1, digits) of each block."""
-    digits = BITS // 4
-    ends = [round(digits * k / (radius + 1)) for k in range(radius + 2)]
-    return [(a + 1, b - a) for a, b in zip(ends, ends[1:])]
+def _blocks(radius: int) -> tuple[list[tuple[int, int]], int]:
+    """(first bit, end) of each block, and the bits by which one of them differs at most if all differ by ``radius``."""
+    off = 0 if radius < 4 else 1
+    n = radius // (off + 1) + 1
+    ends = [round(BITS * k / n) for k in range(n + 1)]
+    return list(zip(ends, ends[1:])), off
 
 
-def permuted_tables(fps: DataFrame, radius: int) -> DataFrame:
-    """(table, front, fingerprint): in each table another block stands in front."""
-    blocks = F.array(*[F.struct(F.lit(k).alias("table"), F.substring("fingerprint", a, n).alias("front"))
-                       for k, (a, n) in enumerate(_blocks(radius))])
-    return fps.select("fingerprint", F.explode(blocks).alias("x")).select("x.table", "x.front", "fingerprint")
+def _front(hi: str, lo: str, a: int, b: int) -> F.Column:
+    """The bits from a to b, the first bit counted from the left of ``hi``."""
+    low = F.lit((1 << b - a) - 1)
+    if b <= 64:
+        return F.shiftrightunsigned(hi, 64 - b).bitwiseAND(low)
+    right = F.shiftrightunsigned(lo, 128 - b)
+    return (right if a >= 64 else F.shiftleft(hi, b - 64).bitwiseOR(right)).bitwiseAND(low)
 
 
-def distance(a, b) -> F.Column:
-    half = lambda c, at: F.conv(F.substring(c, at, 16), 16, -10).cast("long")
-    return F.bit_count(half(a, 1).bitwiseXOR(half(b, 1))) + F.bit_count(half(a, 17).bitwiseXOR(half(b, 17)))
+def permuted_tables(fps: DataFrame, radius: int, probes: bool = False) -> DataFrame:
+    """(table, front, hi, lo): in each table another block stands in front; ``probes``: with each front that differs from it by the bits allowed."""
+    blocks, off = _blocks(radius)
+
+    def fronts(table: int, a: int, b: int) -> F.Column:
+        own = _front("hi", "lo", a, b)
+        found = F.array(own, *[own.bitwiseXOR(F.lit(1 << k)) for k in range(b - a if probes and off else 0)])
+        return F.transform(found, lambda x: F.struct(F.lit(table).alias("table"), x.alias("front")))
+
+    half = lambda at: F.conv(F.substring("fingerprint", at, 16), 16, -10).cast("long")
+    halves = fps.select(half(1).alias("hi"), half(17).alias("lo"))
+    tables = F.flatten(F.array(*[fronts(k, a, b) for k, (a, b) in enumerate(blocks)]))
+    return halves.select("hi", "lo", F.explode(tables).alias("x")).select("x.table", "x.front", "hi", "lo")
 
 
 def near(queries: DataFrame, fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(query, fingerprint, distance) for all different fingerprints within the radius of a query's; the query itself is left out."""
-    q = permuted_tables(queries.select("fingerprint").distinct(), radius).withColumnRenamed("fingerprint", "query")
+    blocks, off = _blocks(radius)
+    q = permuted_tables(queries.select("fingerprint").distinct(), radius, True).withColumnsRenamed({"hi": "q_hi", "lo": "q_lo", "table": "q_table", "front": "q_front"})
     a = permuted_tables(fps.select("fingerprint").distinct(), radius)
-    agree = [F.substring("query", s, n) == F.substring("fingerprint", s, n) for s, n in _blocks(radius)]
+    far = F.bit_count(F.col("q_hi").bitwiseXOR(F.col("hi"))) + F.bit_count(F.col("q_lo").bitwiseXOR(F.col("lo")))
+    agree = [F.bit_count(_front("q_hi", "q_lo", *x).bitwiseXOR(_front("hi", "lo", *x))) <= off for x in blocks]
     first = F.when(agree[0], 0)
     for k, x in enumerate(agree[1:], 1):
         first = first.when(x, k)
-    pairs = q.join(a, ["table", "front"]).where(F.col("query") != F.col("fingerprint"))
-    pairs = pairs.where(first == F.col("table"))  # a pair that meets in several tables counts in the first
-    return pairs.select("query", "fingerprint", distance(F.col("query"), F.col("fingerprint")).alias("distance")).where(F.col("distance") <= radius)
+    # a pair that meets in several tables counts in the first
+    pairs = q.join(a, (F.col("q_table") == F.col("table")) & (F.col("q_front") == F.col("front")) & (far <= radius) & (far > 0) & (first == F.col("table")))
+    text = lambda hi, lo: F.lower(F.concat(F.lpad(F.hex(hi), 16, "0"), F.lpad(F.hex(lo), 16, "0")))
+    return pairs.select(text("q_hi", "q_lo").alias("query"), text("hi", "lo").alias("fingerprint"), far.alias("distance"))
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

@@ -69,3 +69,23 @@ def test_likeness_follows_the_edit():
     half = s.likeness(a, fp(" ".join(w[:200] + [f"v{k}" for k in range(200)])))
     other = s.likeness(a, fp(" ".join(f"u{k}" for k in range(400))))
     assert light > half > other and a == fp(" ".join(w).upper())
+
+
+def test_a_replaced_word_stays_within_the_radius(spark):
+    rng, fp, pairs = random.Random(3), s.Fingerprinter(), []
+    for _ in range(40):
+        w = [f"w{rng.randrange(5000)}" for _ in range(100)]
+        pairs.append((fp(" ".join(w)).hex(), fp(" ".join(w[:50] + ["new"] + w[51:])).hex()))
+    df = spark.createDataFrame([(x,) for p in pairs for x in p], "fingerprint string")
+    found = {(r.query, r.fingerprint) for r in s.near(df, df).collect()}
+    assert sum(p in found for p in pairs) >= 34
+
+
+def test_tables_find_all_within_twelve(spark):
+    rng, fps = random.Random(4), set()
+    for _ in range(20):
+        base = rng.getrandbits(128)
+        fps |= {base} | {base ^ sum(1 << b for b in rng.sample(range(128), flips)) for flips in (1, 6, 11, 12, 13) for _ in range(3)}
+    df = spark.createDataFrame([(f"{x:032x}",) for x in fps], "fingerprint string")
+    found = sorted((r.query, r.fingerprint, r.distance) for r in s.near(df, df, 12).collect())
+    assert found == sorted((f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in fps for b in fps if a != b and (a ^ b).bit_count() <= 12)
