@@ -7,10 +7,11 @@ Surrogates: an entity's value decides its surrogate through a keyed permutation
 letters and digits, each kept in its class: digit, hex digit, capital, small letter of the same script), so
 one entity has one surrogate in all documents (coreference) and two entities of one format have two
 (distinctness). Cards keep a valid check digit, addresses stay in range, phone numbers keep their country code
-and punctuation, given names are permuted inside the list of their gender and script, and e-mail domains
-keep the reserved ending they have.
+and punctuation, and e-mail domains keep the reserved ending they have. A name's words are replaced each by itself, with or
+without a title or other words beside them: listed given names inside the list of their gender and script, all others
+letter by letter; so "Mrs Anna Smith", "Anna Smith" and "Mr Smith" share what they have in common.
 
-Collision check: over the distinct entities of the corpus, a surrogate that another entity shares or that is
+Collision check: over the distinct entities of the corpus (of names the words, without listed given names), a surrogate that another entity shares or that is
 itself an entity of the corpus is drawn anew with the next tweak, until none is left. Only these
 exceptions are kept as a table; it is joined to the documents by the entities they hold.
 
@@ -133,24 +134,28 @@ def _inside(n: int, size: int, tweak: str) -> int:
     return (n + 1 + _word(tweak) % (size - 1)) % size if size > 1 else n
 
 
-def _name(value: str, kind: str, tweak: str) -> str:
-    words = value.split(" ")
-    out = []
-    for k, w in enumerate(words):
-        known = _GIVEN.get(w)
-        if known and len(words) > 1 and k == 0:
-            script, gender = known
-            if kind[-2:] in ("_f", "_m"):
-                gender = kind[-1]
-            names = GIVEN[(script, known[1])]
-            out.append(GIVEN[(script, gender)][_inside(names.index(w), len(names), tweak)])
-        else:
-            out.append(permute(w, f"{tweak}|name"))
-    return " ".join(out)
+def _name(word: str, attempt: int) -> str:
+    """A word of a name by itself: a listed given name in the list of its gender and script, any other letter by letter."""
+    if word in _GIVEN:
+        names = GIVEN[_GIVEN[word]]
+        return names[_inside(names.index(word), len(names), "given|" + "|".join(_GIVEN[word]))]
+    for extra in range(1000):
+        out = permute(word, f"name|{attempt}|{extra}")
+        if out != word and out not in _GIVEN:
+            return out
+    return "*" * len(word)
+
+
+def parts(kind: str, value: str) -> list[tuple[str, str]]:
+    """The (type, value) that the collision check knows an entity by: a name's words but for listed given names, whose
+    permutation has no collisions; all others whole."""
+    return [("name", w) for w in value.split(" ") if w not in _GIVEN] if kind.startswith("name") else [(kind, value)]
 
 
 def surrogate(kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of an entity; ``attempt`` is its tweak. It differs from the value."""
+    if kind.startswith("name"):
+        return " ".join(_name(w, attempt) for w in value.split(" "))
     for extra in range(1000):
         tweak = f"{kind}|{attempt}|{extra}"
         if kind == "email":
@@ -184,8 +189,6 @@ def surrogate(kind: str, value: str, attempt: int = 0) -> str:
             out = value[:2] + permute(value[2:], f"{tweak}|{value[:2]}")
         elif kind in ("hex", "secret") and all(c in _HEX for c in value):
             out = permute(value, tweak, _HEX)
-        elif kind.startswith("name"):
-            out = _name(value, kind, tweak)
         else:
             out = permute(value, tweak)
         # cycle walking: outside the type's range the permutation is applied again
@@ -195,12 +198,12 @@ def surrogate(kind: str, value: str, attempt: int = 0) -> str:
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The distinct (type, value) of the corpus."""
+    """The distinct (type, value) of the corpus, of names the words."""
     ship(docs.sparkSession)
 
     @F.pandas_udf("array<struct<kind:string,value:string>>")
     def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted({(k, v) for _, _, k, v in find(t)}) if isinstance(t, str) else [] for t in texts])
+        return pd.Series([sorted({x for _, _, k, v in find(t) for x in parts(k, v)}) if isinstance(t, str) else [] for t in texts])
 
     return docs.select(F.explode(found(text)).alias("e")).select("e.*").distinct()
 
@@ -243,7 +246,10 @@ def replace_private(docs: DataFrame, text: str = "text") -> DataFrame:
             tries = {(x["kind"], x["value"]): x["attempt"] for x in tries} if tries is not None and len(tries) else {}
             out, last, spans = [], 0, find(t)
             for a, b, kind, value in spans:
-                out += [t[last:a], surrogate(kind, value, tries.get((kind, value), 0))]
+                if kind.startswith("name"):
+                    out += [t[last:a], " ".join(_name(w, tries.get(("name", w), 0)) for w in value.split(" "))]
+                else:
+                    out += [t[last:a], surrogate(kind, value, tries.get((kind, value), 0))]
                 last = b
             rows.append(("".join(out) + t[last:], len(spans), sorted({k for _, _, k, _ in spans}), [(a, b) for a, b, _, _ in spans]))
         return pd.DataFrame(rows, columns=["text", "n", "kinds", "spans"])
@@ -258,7 +264,7 @@ def replace_private(docs: DataFrame, text: str = "text") -> DataFrame:
     else:
         @F.pandas_udf("array<struct<kind:string,value:string>>")
         def found(texts: pd.Series) -> pd.Series:
-            return pd.Series([sorted({(k, v) for _, _, k, v in find(t)}) if isinstance(t, str) else [] for t in texts])
+            return pd.Series([sorted({x for _, _, k, v in find(t) for x in parts(k, v)}) if isinstance(t, str) else [] for t in texts])
 
         @F.pandas_udf(schema)
         def redraw_but(texts: pd.Series, attempts: pd.Series) -> pd.DataFrame:

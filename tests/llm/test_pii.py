@@ -97,3 +97,23 @@ def test_query_leaves_no_entity(spark, few):
         for part in [t[x:y] for x, y in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(t)])]:
             assert (at := new.find(part, at)) >= 0
             at += len(part)
+
+
+def test_names_with_and_without_titles_are_one(spark):
+    texts = ["then Mrs Anna Smith came", "then Anna Smith came", "then Dr Anna Smith came", "then Mr Smith came", "then Paul Smith came", "then Paul Stone came"]
+    out = replaced(make_docs(spark, texts))
+    new = [out[k].text for k in range(6)]
+    anna, smith = new[1].split()[1:3]
+    paul, stone = new[5].split()[1:3]
+    assert new[0] == f"then Mrs {anna} {smith} came" and new[2] == f"then Dr {anna} {smith} came"
+    assert new[3] == f"then Mr {smith} came" and new[4] == f"then {paul} {smith} came"
+    assert len({anna, smith, paul, stone, "Anna", "Smith", "Paul", "Stone"}) == 8
+
+
+def test_words_of_names_that_collide_are_drawn_anew(spark):
+    chain = ["Berger"]
+    for _ in range(3):
+        chain.append(pii.surrogate("name", chain[-1]))
+    out = replaced(make_docs(spark, [x for v in chain for x in (f"met Mr {v} now", f"met Anna {v} now")]))
+    new = [out[k].text.split()[2] for k in range(8)]
+    assert new[::2] == new[1::2] and len(set(new)) == 4 and not set(new) & set(chain)
