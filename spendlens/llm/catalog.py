@@ -13,6 +13,7 @@ from .pii import op5_surrogates
 from .sharding import op2_sharding
 from .simhash import op10_simhash
 from .substring_dedup import op1_substring_dedup
+from .whitening import op13_whitening
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_katz": op9_katz,
     "op10_simhash": op10_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 
