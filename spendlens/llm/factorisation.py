@@ -91,7 +91,7 @@ def features(texts: Sequence[str | None], metadata: Sequence[Sequence[float | No
         held = sorted({0 if len(w) == 1 else buckets[w] for w in counts})
         starts.append(at)
         index += held
-        value += [len(held) ** -0.5] * len(held)
+        value += [max(1, len(held)) ** -0.5] * len(held)
         for s, c in shapes.items():
             index.append(WORD_BUCKETS + xxhash.xxh32_intdigest(s) % SHAPE_BUCKETS)
             value.append((c / n) ** 0.5)
@@ -137,7 +137,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], width: int, seed: int =
     rng = np.random.default_rng(seed)
     labels = np.array([r[2] for r in rows], np.float64)
     share = (labels.sum() + 1) / (len(rows) + 2)
-    m = Machine(float(np.log(share / (1 - share))), np.zeros(width), rng.normal(0, 0.05, (width, RANK)))
+    m = Machine(float(np.log(share / (1 - share))), np.zeros(width), rng.normal(0, 0.05, (width, RANK)) if rows else np.zeros((width, RANK)))
     state = [np.zeros(width), np.zeros(width), np.zeros((width, RANK)), np.zeros((width, RANK)), 0.0, 0.0]
     step = 0
     for epoch in range(EPOCHS if rows else 0):
@@ -181,9 +181,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
 
     def lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            if len(f):
-                index, value, starts = features(f["t"].tolist(), [_column(f[f"m{k}"]) for k in range(len(metadata))])
-                yield pd.DataFrame({"id": f["id"], "y": f["y"], "i": np.split(index, starts[1:]), "x": np.split(value.astype(np.float32), starts[1:])})
+            for part in blocks(f["t"].tolist()):
+                g = f.iloc[part]
+                index, value, starts = features(g["t"].tolist(), [_column(g[f"m{k}"]) for k in range(len(metadata))])
+                yield pd.DataFrame({"id": g["id"].array, "y": g["y"].array, "i": np.split(index, starts[1:]), "x": np.split(value.astype(np.float32), starts[1:])})
 
     id_type = rows.schema["id"].dataType.simpleString()
     got = rows.mapInPandas(lists, f"id {id_type}, y int, i array<int>, x array<float>").toPandas().sort_values(["id", "y"])
@@ -191,6 +192,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     return fit([(np.asarray(i), np.asarray(x, np.float64), int(y)) for i, x, y in zip(got["i"], got["x"], got["y"])], width)
 
 
+def blocks(texts: Sequence[str | None], size: int = 4_000_000) -> Iterator[slice]:
+    """Runs of texts with about ``size`` characters, so the lists of their features stay small."""
+    start = held = 0
+    for k, t in enumerate(texts):
+        held += len(t or "")
+        if held >= size or k == len(texts) - 1:
+            yield slice(start, k + 1)
+            start, held = k + 1, 0
+
+
 def _column(values: pd.Series) -> list[float | None]:
     return [None if v is None or v != v else v for v in values.tolist()]
 
@@ -200,14 +211,9 @@ def scorer(machine: Machine, metadata: int):
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         texts, rest = columns[0].tolist(), [_column(c) for c in columns[1:1 + metadata]]
-        out, k = np.empty(len(texts)), 0
-        while k < len(texts):                       # up to 4 MB of text at once
-            size, end = 0, k
-            while end < len(texts) and (end == k or size < 4_000_000):
-                size += len(texts[end] or "")
-                end += 1
-            out[k:end] = machine.score(*features(texts[k:end], [c[k:end] for c in rest]))
-            k = end
+        out = np.empty(len(texts))
+        for part in blocks(texts):
+            out[part] = machine.score(*features(texts[part], [c[part] for c in rest]))
         return pd.Series(out)
     return score
 
