@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join
+from . import collocations, decontaminate, jaccard_join
 from .chat import op8_chat
+from .collocations import op12_collocations
 from .decontaminate import op3_decontamination
+from .factorisation import op11_quality
 from .jaccard_join import op4_jaccard
 from .katz import op9_katz
 from .langid import op7_language
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_katz": op9_katz,
     "op10_simhash": op10_simhash,
+    "op11_quality": op11_quality,
+    "op12_collocations": op12_collocations,
     "op13_whitening": op13_whitening,
 }
 
@@ -35,4 +39,4 @@ def queries() -> dict:
 
 
 def oracle() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE, "op4_jaccard": jaccard_join.ORACLE}
+    return {"op3_decontamination": decontaminate.ORACLE, "op4_jaccard": jaccard_join.ORACLE, "op12_collocations": collocations.ORACLE}
