@@ -33,6 +33,7 @@ from spendlens.plans import synthetic as syn
 from spendlens.plans.attribution import REGISTRY_ATTRIBUTES, Chain
 from spendlens.plans.pipeline import to_geocode
 from spendlens.session import tune_session, written_copy
+from spendlens.sources.key_reads import plan_keys, read_frames
 from spendlens.sources.registry import parse_registry_lines
 from spendlens.sources.shards import union_shards
 from spendlens.sources.snapshots import date_in_name, latest_snapshot
@@ -89,8 +90,24 @@ def _place_meta(spark, d):
 @register("shard_union", W("SELECT id, shard_year, CAST(amount AS DOUBLE) AS amount FROM transactions",
                            ["transactions"]))
 def _shard_union(spark, d):
-    # the yearly shards are one source with a shard column here: one scan, every year and the undated rows
-    return union_shards([syn.transactions(spark, d)]).select("id", "shard_year", F.col("amount").cast("double").alias("amount"))
+    # one source for each fiscal year and one for the undated rows
+    return union_shards(list(syn.yearly_shards(spark, d).values())).withColumn("amount", F.col("amount").cast("double"))
+
+
+_WANTED_SQL = W("""SELECT id, recipient_uei, CAST(amount AS DOUBLE) AS amount, shard_year FROM transactions
+WHERE recipient_uei IN (SELECT recipient_uei FROM coarse_first)""", ["transactions", "coarse_first"])
+
+
+def _key_reads(spark, d, **limits):
+    """The yearly shards read through a key plan of the coarse recipients."""
+    keys = written_copy(chain(spark, d).coarse_first().select("recipient_uei"), "coarse_ueis")
+    found = read_frames(syn.yearly_shards(spark, d, keyed=True), plan_keys(keys, **limits), keys)
+    return found.withColumn("amount", F.col("amount").cast("double"))
+
+
+register("shard_key_literals", _WANTED_SQL)(lambda spark, d: _key_reads(spark, d))
+# more keys than the limit: ranges and a semi-join
+register("shard_key_ranges", _WANTED_SQL)(lambda spark, d: _key_reads(spark, d, max_keys=10, ranges=16))
 
 
 @register("latest_snapshot", """

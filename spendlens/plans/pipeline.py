@@ -13,6 +13,7 @@ everything after that reads the checkpoint, not the shards again.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
@@ -29,11 +30,12 @@ from spendlens.functions.text import geocoder_query
 from spendlens.operators.quality import check_quality, registry_rules
 from spendlens.plans.attribution import Chain, Inputs
 from spendlens.plans.params import Params
-from spendlens.session import checkpoint_dir, cut_lineage
+from spendlens.session import checkpoint_dir, cut_lineage, written_copy
 from spendlens.sources import sinks
 from spendlens.sources.business_types import code_map, read_business_types
 from spendlens.sources.crosswalk import read_crosswalk
 from spendlens.sources.geojson import places_without_edges, read_geojson_dir, to_edges
+from spendlens.sources.key_reads import plan_keys, read_databases
 from spendlens.sources.registry import read_registry
 from spendlens.sources.shards import read_parquet_shards
 from spendlens.sources.sinks import write_snapshot
@@ -47,13 +49,19 @@ class Paths:
     places: str                     # city metadata CSV
     boundaries: str                 # glob of GeoJSON files
     geocodes: str                   # parquet: full_addy, lat, long (+ provider when several)
-    transactions: str               # parquet base folder partitioned by shard_year
+    transactions: str | Mapping[int, str]   # parquet base folder partitioned by shard_year, or one database URL for each year
     business_types: str | None = None
     blacklist: list[str] = field(default_factory=lambda: list(NEVER_CITY_UEIS))
+    database_table: str = "transactions"
+    database_properties: Mapping[str, str] = field(default_factory=dict)   # driver, user, password, fetchsize ...
 
 
-def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
-    """Read every source; returns the inputs and the code lookup."""
+def load_inputs(spark: SparkSession, paths: Paths, params: Params | None = None) -> tuple[Inputs, dict]:
+    """Read every source; returns the inputs and the code lookup.
+
+    Yearly databases are asked for the coarse recipients only (``key_reads``), which are known from the
+    registry, the crosswalk and the places; ``params`` then names their structure and country.
+    """
     from spendlens.sources.places import read_city_places
     geoms = read_geojson_dir(spark, paths.boundaries)
     codes = code_map(read_business_types(spark, paths.business_types)) if paths.business_types else {}
@@ -65,10 +73,13 @@ def load_inputs(spark: SparkSession, paths: Paths) -> tuple[Inputs, dict]:
     inp = Inputs(registry=read_registry(spark, paths.registry),
                  crosswalk=read_crosswalk(spark, paths.crosswalk),
                  places_raw=read_city_places(spark, paths.places),
-                 boundaries=geoms, hits=hits,
-                 transactions=read_parquet_shards(spark, paths.transactions),
-                 blacklist=bl, edges=to_edges(geoms))
-    return inp, codes
+                 boundaries=geoms, hits=hits, transactions=None, blacklist=bl, edges=to_edges(geoms))
+    if isinstance(paths.transactions, str):
+        txns = read_parquet_shards(spark, paths.transactions)
+    else:
+        keys = written_copy(Chain(inp, params or Params()).coarse_first().select("recipient_uei"), "wanted_ueis")
+        txns = read_databases(spark, paths.transactions, plan_keys(keys), keys, table=paths.database_table, properties=paths.database_properties)
+    return replace(inp, transactions=txns), codes
 
 
 def to_geocode(misses: DataFrame) -> DataFrame:

@@ -181,6 +181,10 @@ def registry_lines(spark: SparkSession, d: str) -> DataFrame:
     return r.selectExpr(f"concat_ws('|', {', '.join(cells)}) AS line")
 
 
+_AMOUNT = ("CAST(CASE WHEN l_quantity = 50 THEN 0D WHEN l_returnflag = 'R' THEN -l_extendedprice "
+           "ELSE l_extendedprice END AS DECIMAL(18,2))")
+
+
 def transactions(spark: SparkSession, d: str) -> DataFrame:
     """One row per line item, with ``shard_year`` = documented fiscal year."""
     li = _t(spark, d, "lineitem")
@@ -195,14 +199,31 @@ def transactions(spark: SparkSession, d: str) -> DataFrame:
         "concat('AW', l_orderkey) AS award_key",
         "CASE WHEN l_orderkey % 23 <> 5 THEN to_date(l_shipdate) END AS action_date",
         "CASE WHEN l_orderkey % 23 <> 5 THEN concat(year(l_shipdate), '-', month(l_shipdate)) END AS ym",
-        "CAST(CASE WHEN l_quantity = 50 THEN 0D WHEN l_returnflag = 'R' THEN -l_extendedprice "
-        "ELSE l_extendedprice END AS DECIMAL(18,2)) AS amount",
+        f"{_AMOUNT} AS amount",
         "CASE l_linenumber % 4 WHEN 1 THEN upper(r_name) WHEN 2 THEN substring(r_name, 1, 2) "
         "WHEN 3 THEN 'ELSEWHERE' END AS pop_state",
         "concat('AGENCY ', l_suppkey % 7) AS awarding_agency_name",
     ).withColumn("shard_year", fiscal_year("action_date"))
 
 
+def yearly_shards(spark: SparkSession, d: str, keyed: bool = False) -> dict[int | None, DataFrame]:
+    """One source for each fiscal year (its own scan of the line items, the date range pushed) and one for the undated rows.
+
+    The years are those that occur; ``keyed`` adds the recipient from the order.
+    """
+    li = _t(spark, d, "lineitem")
+    dated = "l_orderkey % 23 <> 5 AND l_shipdate IS NOT NULL"
+    lo, hi = li.filter(dated).selectExpr("min(l_shipdate) AS lo", "max(l_shipdate) AS hi").first()
+    years = range(lo.year + (lo.month >= 10), hi.year + (hi.month >= 10) + 1) if lo else ()
+    parts = {y: li.filter(f"l_shipdate >= DATE'{y - 1}-10-01' AND l_shipdate < DATE'{y}-10-01' AND l_orderkey % 23 <> 5") for y in years}
+    parts[None] = li.filter(f"NOT ({dated})")
+    o = _t(spark, d, "orders").selectExpr("o_orderkey AS l_orderkey", "lpad(o_custkey, 12, '0') AS recipient_uei")
+    key = ["recipient_uei"] if keyed else []
+    return {y: (p.join(o, "l_orderkey") if keyed else p).selectExpr(
+        "CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id", *key, f"{_AMOUNT} AS amount",
+        f"CAST({'NULL' if y is None else y} AS INT) AS shard_year") for y, p in parts.items()}
+
+
 def provider_hits(spark: SparkSession, d: str) -> DataFrame:
     """Geocoder results: (full_addy, provider, lat, long); NULL coordinates = miss.
 

@@ -3,7 +3,8 @@
 The reference opens one database per fiscal year and maps every query over
 the list. Here the shards become one DataFrame with a ``shard_year`` column:
 either a Parquet dataset partitioned by ``shard_year`` (a year filter then
-prunes directories) or one JDBC table per year, unioned by name.
+prunes directories) or one database per year, read by key (``key_reads``) and
+unioned by name.
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ TRANSACTION_COLUMNS = {
 }
 
 
+# The standardized columns.
+TRANSACTION_SCHEMA = ("id bigint, recipient_uei string, award_key string, action_date date, ym string, amount decimal(18,2), "
+                      "pop_state string, awarding_agency_name string, shard_year int")
+
+
 def standardize_transactions(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
     """Rename the source's transaction columns to ours (only those present).
 
@@ -46,28 +52,6 @@ def read_parquet_shards(spark: SparkSession, base: str) -> DataFrame:
     return standardize_transactions(spark.read.option("basePath", base).parquet(base))
 
 
-def read_jdbc_shards(spark: SparkSession, urls: Mapping[int, str], table: str = "transactions",
-                     properties: Mapping[str, str] | None = None,
-                     partition_column: str | None = None, lower: int | None = None,
-                     upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """One JDBC source per year (``urls[year]``), read in parallel ranges.
-
-    Filters and column pruning of later steps are pushed into each shard's
-    SQL by the JDBC source. Credentials come from ``properties``.
-    """
-    props = dict(properties or {})
-    frames = []
-    for year, url in sorted(urls.items()):
-        r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-        for k, v in props.items():
-            r = r.option(k, v)
-        if partition_column and num_partitions:
-            r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
-                 .option("upperBound", upper).option("numPartitions", num_partitions))
-        frames.append(r.load().withColumn("shard_year", F.lit(year)))
-    return standardize_transactions(union_shards(frames))
-
-
 def union_shards(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by column name (a shard may lack a column added later)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
