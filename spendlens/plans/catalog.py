@@ -7,6 +7,7 @@ SQL that must return the same rows. Keys follow SURVEY §2.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,8 @@ from spendlens.plans import oracle as O
 from spendlens.plans import synthetic as syn
 from spendlens.plans.attribution import REGISTRY_ATTRIBUTES, Chain
 from spendlens.plans.pipeline import to_geocode
-from spendlens.session import tune_session, written_copy
+from spendlens.session import shared_folder, tune_session, written_copy
+from spendlens.sources.geocode_cache import GeocodeCache, read_geocode_csv
 from spendlens.sources.key_reads import plan_keys, read_frames
 from spendlens.sources.registry import parse_registry_lines
 from spendlens.sources.shards import union_shards
@@ -381,6 +383,31 @@ UNION ALL SELECT full_addy, lat, long FROM coordinates WHERE full_addy NOT IN (S
                           ["geocode_cache", "coordinates"]))(
     lambda spark, d: update_cache(syn.geocode_cache(spark, d), chain(spark, d).coordinates()))
 
+_CACHED_SQL = W("""SELECT full_addy, lat, long FROM (
+  SELECT *, row_number() OVER (PARTITION BY full_addy ORDER BY lat, long) AS rn FROM geocode_cache) WHERE rn = 1
+UNION ALL SELECT full_addy, lat, long FROM coordinates WHERE full_addy NOT IN (SELECT full_addy FROM geocode_cache)""",
+                ["geocode_cache", "coordinates"])
+
+
+@register("keyed_cache", _CACHED_SQL)
+def _keyed_cache(spark, d):
+    """The earlier cache, then the run's answers (twice: the second time adds nothing), in a keyed cache."""
+    cache = GeocodeCache(spark, f"{shared_folder(spark)}/geocode-cache-{uuid.uuid4().hex}", n_buckets=16)
+    answers = written_copy(chain(spark, d).coordinates(), "answers")
+    cache.add(syn.geocode_cache(spark, d))
+    cache.add(answers)
+    cache.add(answers)
+    return cache.read()
+
+
+@register("geocode_csv", W("SELECT full_addy, provider, lat, long FROM provider_hits", ["provider_hits"]))
+def _geocode_csv(spark, d):
+    """Geocoder answers written as a CSV cache (NA for missing) and read back."""
+    path = f"{shared_folder(spark)}/geocodes-{uuid.uuid4().hex}.csv"
+    chain(spark, d).inp.hits.withColumn("note", F.lit('a "b", c')).write.options(header=True, nullValue="NA", quote='"', escape='"').csv(path)
+    return read_geocode_csv(spark, path)
+
+
 register("subset_violations", W("""SELECT CAST(count(DISTINCT recipient_uei) AS BIGINT) AS recipient_uei_missing FROM transactions
 WHERE recipient_uei NOT IN (SELECT recipient_uei FROM coarse_first)""", ["transactions", "coarse_first"]))(
     lambda spark, d: subset_violations(chain(spark, d).inp.transactions, chain(spark, d).coarse_first(), "recipient_uei"))

@@ -34,6 +34,7 @@ from spendlens.session import checkpoint_dir, cut_lineage, written_copy
 from spendlens.sources import sinks
 from spendlens.sources.business_types import code_map, read_business_types
 from spendlens.sources.crosswalk import read_crosswalk
+from spendlens.sources.geocode_cache import GeocodeCache, read_geocodes, with_provider
 from spendlens.sources.geojson import places_without_edges, read_geojson_dir, to_edges
 from spendlens.sources.key_reads import plan_keys, read_databases
 from spendlens.sources.registry import read_registry
@@ -48,7 +49,7 @@ class Paths:
     crosswalk: str                  # ZCTA-place relationship file
     places: str                     # city metadata CSV
     boundaries: str                 # glob of GeoJSON files
-    geocodes: str                   # parquet: full_addy, lat, long (+ provider when several)
+    geocodes: str                   # full_addy, lat, long (+ provider when several): CSV, Parquet or a keyed cache
     transactions: str | Mapping[int, str]   # parquet base folder partitioned by shard_year, or one database URL for each year
     business_types: str | None = None
     blacklist: list[str] = field(default_factory=lambda: list(NEVER_CITY_UEIS))
@@ -67,9 +68,7 @@ def load_inputs(spark: SparkSession, paths: Paths, params: Params | None = None)
     codes = code_map(read_business_types(spark, paths.business_types)) if paths.business_types else {}
     bl = (spark.createDataFrame([(u,) for u in paths.blacklist], "recipient_uei string")
           if paths.blacklist else None)
-    hits = spark.read.parquet(paths.geocodes)
-    if "provider" not in hits.columns:      # a plain cache: one provider
-        hits = hits.withColumn("provider", F.lit(1))
+    hits = read_geocodes(spark, paths.geocodes)
     inp = Inputs(registry=read_registry(spark, paths.registry),
                  crosswalk=read_crosswalk(spark, paths.crosswalk),
                  places_raw=read_city_places(spark, paths.places),
@@ -102,7 +101,8 @@ def violations(chain: Chain) -> dict[str, int]:
 
 
 def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None = None,
-        on_violation: str = "report", snapshot_base: str | None = None, snapshot_date: str | None = None) -> dict[str, DataFrame]:
+        on_violation: str = "report", snapshot_base: str | None = None, snapshot_date: str | None = None,
+        cache: GeocodeCache | None = None, answers: DataFrame | None = None) -> dict[str, DataFrame]:
     """Build all outputs; write them under ``out_dir`` when given.
 
     ``on_violation="raise"`` stops before the transactions are read if the inputs
@@ -110,9 +110,19 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
     ``unbounded_places`` and ``registry_quality``. With ``snapshot_base`` and a date the placed
     transactions are dumped as that day's snapshot; with ``snapshot_base`` alone the
     newest one is read instead of the shards.
+
+    With a ``cache`` the geocodes are read from it in place of ``inp.hits``; ``answers`` (full_addy, lat, long,
+    provider) that have come since the last run are added to it first. ``to_geocode`` then lists what is
+    still to be asked: after a run that got all answers, nothing.
     """
     if on_violation not in ("report", "raise"):
         raise ValueError("on_violation must be 'report' or 'raise'")
+    if answers is not None and cache is None:
+        raise ValueError("answers need a cache to go into")
+    if cache is not None:
+        if answers is not None:
+            cache.add(answers)
+        inp = replace(inp, hits=with_provider(cache.read()))
     if snapshot_base and not snapshot_date:
         inp = replace(inp, transactions=latest_snapshot(spark.read.parquet(snapshot_base)).drop("snapshot_date"))
     chain = Chain(inp, params)

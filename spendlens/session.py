@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -83,6 +84,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return current or None
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that every executor sees: the checkpoint folder; a temporary one only where it is unset and the master is local."""
+    found = checkpoint_dir(spark)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spendlens-"))
+        found = checkpoint_dir(spark)
+    return found.rstrip("/")
+
+
 def written_copy(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back; kept in memory and on disk without one."""
     spark = spark or df.sparkSession

@@ -1,20 +1,10 @@
-"""Sinks: geocode cache, dated snapshots, delivery CSV, chart tables (K1-K4)."""
+"""Sinks: dated snapshots, delivery CSV, chart tables (K2, K3); the geocode cache (K1, K4) is in ``geocode_cache``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def append_cache(new_rows: DataFrame, cache_path: str) -> None:
-    """K1: append new geocodes to the Parquet cache (no rewrite of old rows)."""
-    new_rows.write.mode("append").parquet(cache_path)
-
-
-def write_cache(rows: DataFrame, cache_path: str) -> None:
-    """K4: full rebuild, written to a new path."""
-    rows.write.mode("errorifexists").parquet(cache_path)
-
-
 def write_snapshot(df: DataFrame, base: str, snapshot_date: str, mode: str = "errorifexists") -> str:
     """K2: ``base/snapshot_date=<date>``; the date is passed in, not read from the clock."""
     path = f"{base}/snapshot_date={snapshot_date}"

@@ -1,5 +1,6 @@
 """Incremental geocode-cache update as a file stream."""
 
+from spendlens.sources.geocode_cache import GeocodeCache
 from spendlens.streaming.cache_updates import HITS_SCHEMA, start_cache_stream
 
 
@@ -9,11 +10,11 @@ def test_stream_appends_only_new_addresses(spark, tmp_dir):
         .write.mode("append").parquet(answers)
     q = start_cache_stream(spark, answers, cache, ckpt)
     q.awaitTermination(120)
-    first = sorted(tuple(r) for r in spark.read.parquet(cache).collect())
+    first = sorted(tuple(r) for r in GeocodeCache(spark, cache).read().collect())
     assert first == [("A", 1.0, 2.0), ("B", 3.0, 4.0)]
     # a later batch: A again (ignored, already cached) and a new address C
     spark.createDataFrame([("A", 1, 9.0, 9.0), ("C", 3, 5.0, 6.0)], HITS_SCHEMA).write.mode("append").parquet(answers)
     q = start_cache_stream(spark, answers, cache, ckpt)
     q.awaitTermination(120)
-    second = sorted(tuple(r) for r in spark.read.parquet(cache).collect())
+    second = sorted(tuple(r) for r in GeocodeCache(spark, cache).read().collect())
     assert second == [("A", 1.0, 2.0), ("B", 3.0, 4.0), ("C", 5.0, 6.0)]
