@@ -60,7 +60,11 @@ def award_profile(txn: DataFrame, award: str = "award_key", place: str = "city_l
     Columns: award, place, neg_total, n_pos_years, last_fy, pos_years (array
     of struct(fy, pos), at most one entry per fiscal year), award_class.
     """
-    ayt = award_year_totals(txn, award, place, fy, amount)
+    return profiles_of_years(award_year_totals(txn, award, place, fy, amount), award, place, fy)
+
+
+def profiles_of_years(ayt: DataFrame, award: str = "award_key", place: str = "city_label", fy: str = "fy") -> DataFrame:
+    """``award_profile`` from the totals by award, place and year."""
     prof = ayt.groupBy(award, place).agg(
         F.expr("sum(neg)").alias("neg_total"),
         F.expr("count(pos)").alias("n_pos_years"),
@@ -90,6 +94,12 @@ def spread_contributions(txn: DataFrame, first_fy: int = 2017, mode: str = "docu
     last year is before ``first_fy`` is charged to that year alone, and one without
     any year to the NULL year, so no money is dropped.
     """
+    return contributions_of(award_profile(txn, award, place, fy, amount), first_fy, mode, award, place, fy)
+
+
+def contributions_of(prof: DataFrame, first_fy: int = 2017, mode: str = "documented", award: str = "award_key",
+                     place: str = "city_label", fy: str = "fy") -> DataFrame:
+    """``spread_contributions`` from the awards' profiles."""
     if mode not in ("documented", "as_coded"):
         raise ValueError("mode must be 'documented' or 'as_coded'")
     first = int(first_fy)
@@ -106,7 +116,6 @@ def spread_contributions(txn: DataFrame, first_fy: int = 2017, mode: str = "docu
         f"'value', CAST(neg_total AS {SHARE}))) "
         f"ELSE transform(sequence({lo}, last_fy), y -> named_struct('fy', y, 'kind', 'deob_without_ob', "
         f"'value', {share_sql('neg_total', f'(last_fy - {lo} + 1)')})) END")
-    prof = award_profile(txn, award, place, fy, amount)
     return (prof.selectExpr(_q(award), _q(place), f"explode({entries}) AS e")
             .selectExpr(_q(award), _q(place), f"e.fy AS {_q(fy)}", "e.kind AS kind", "e.value AS value"))
 
@@ -122,8 +131,12 @@ def annual_net_totals(txn: DataFrame, first_fy: int = 2017, mode: str = "documen
                       award: str = "award_key", place: str = "city_label",
                       fy: str = "fy", amount: str = "amount", as_double: bool = True) -> DataFrame:
     """Per (place, fy) the three parts and their total after spreading."""
-    parts = place_year_parts(
-        spread_contributions(txn, first_fy, mode, award, place, fy, amount), place, fy)
+    return totals_of_parts(place_year_parts(
+        spread_contributions(txn, first_fy, mode, award, place, fy, amount), place, fy), place, fy, as_double)
+
+
+def totals_of_parts(parts: DataFrame, place: str = "city_label", fy: str = "fy", as_double: bool = True) -> DataFrame:
+    """The parts of each place and year with their total."""
     total = f"CAST(no_deobs + deob_with_ob + deob_without_ob AS {SHARE})"
     if not as_double:
         return parts.selectExpr("*", f"{total} AS total")

@@ -32,6 +32,7 @@ from spendlens.operators.spatial import point_in_polygon
 from spendlens.plans import oracle as O
 from spendlens.plans import synthetic as syn
 from spendlens.plans.attribution import REGISTRY_ATTRIBUTES, Chain
+from spendlens.plans.incremental import IncrementalTotals
 from spendlens.plans.pipeline import to_geocode
 from spendlens.session import shared_folder, tune_session, written_copy
 from spendlens.sources.geocode_cache import GeocodeCache, read_geocode_csv
@@ -314,6 +315,19 @@ register("annual_net_totals_fy_as_coded", W(O.ANNUAL_SQL.replace("FROM contrib "
     lambda spark, d: chain(spark, d, fy_mode="as_coded").annual_net_totals())
 
 
+@register("incremental_totals", W(O.ANNUAL_SQL, ["contrib"]))
+def _incremental(spark, d):
+    """The totals by batches: early years (every tenth amount doubled by mistake), the others, then the correction."""
+    rows = written_copy(chain(spark, d).filtered().select("id", "award_key", "city_label", "fy", "shard_year", "amount"), "filtered")
+    wrong = rows.withColumn("amount", F.when(F.col("id") % 10 == 0, F.col("amount") * 2).otherwise(F.col("amount")))
+    early = F.coalesce(F.col("shard_year") < 1998, F.lit(False))
+    t = IncrementalTotals(spark, f"{shared_folder(spark)}/totals-{uuid.uuid4().hex}", syn.FIRST_FY, n_buckets=16)
+    t.apply(wrong.filter(early), "to 1997")
+    t.apply(rows.filter(~early), "from 1998")
+    t.apply(rows.filter(early).filter("id % 10 = 0"), "correction", removed=wrong.filter(early).filter("id % 10 = 0"))
+    return t.totals()
+
+
 @register("full_outer_totals", W(O.ANNUAL_SQL, ["contrib"]))
 def _full_outer(spark, d):
     c = deob.spread_contributions(chain(spark, d).filtered(), syn.FIRST_FY)

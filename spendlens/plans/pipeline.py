@@ -29,6 +29,7 @@ from spendlens.operators.joins import semi_join
 from spendlens.functions.text import geocoder_query
 from spendlens.operators.quality import check_quality, registry_rules
 from spendlens.plans.attribution import Chain, Inputs
+from spendlens.plans.incremental import IncrementalTotals
 from spendlens.plans.params import Params
 from spendlens.session import checkpoint_dir, cut_lineage, written_copy
 from spendlens.sources import sinks
@@ -102,7 +103,8 @@ def violations(chain: Chain) -> dict[str, int]:
 
 def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None = None,
         on_violation: str = "report", snapshot_base: str | None = None, snapshot_date: str | None = None,
-        cache: GeocodeCache | None = None, answers: DataFrame | None = None) -> dict[str, DataFrame]:
+        cache: GeocodeCache | None = None, answers: DataFrame | None = None,
+        totals: IncrementalTotals | None = None, batch: str | None = None) -> dict[str, DataFrame]:
     """Build all outputs; write them under ``out_dir`` when given.
 
     ``on_violation="raise"`` stops before the transactions are read if the inputs
@@ -114,7 +116,12 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
     With a ``cache`` the geocodes are read from it in place of ``inp.hits``; ``answers`` (full_addy, lat, long,
     provider) that have come since the last run are added to it first. ``to_geocode`` then lists what is
     still to be asked: after a run that got all answers, nothing.
+
+    With ``totals`` and a ``batch`` name the run's filtered transactions (a new shard's, say) are added to those
+    running totals, once for each name, and ``running_totals`` holds all batches so far.
     """
+    if (totals is None) != (batch is None):
+        raise ValueError("running totals need the name of the batch")
     if on_violation not in ("report", "raise"):
         raise ValueError("on_violation must be 'report' or 'raise'")
     if answers is not None and cache is None:
@@ -154,6 +161,9 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
         "to_geocode": to_geocode(cache_misses(chain.addresses(), inp.hits)),
         "unbounded_places": places_without_edges(chain.places(), chain.edges()),
     }
+    if totals is not None:
+        totals.apply(filtered, batch)
+        out["running_totals"] = totals.totals()
     if out_dir:
         sinks.write_delivery_csv(out["delivery"], f"{out_dir}/delivery")
         sinks.write_table(out["chart_timeline"], f"{out_dir}/chart_timeline")

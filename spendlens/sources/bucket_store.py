@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlens.operators.joins import semi_join
+
 N_BUCKETS, MAX_FILES = 64, 8
 VERSION = "_version"
 
@@ -151,8 +153,7 @@ class BucketStore:
         """The state of the keys in ``keys``, and how many files hold their buckets: no other file is opened."""
         m = m or self.manifest()
         rows, n = self._stored_rows(m, self.touched(keys, m))
-        wanted = keys.select(*self.key).distinct()
-        return self._state(rows.join(wanted, self.key, "left_semi")), n
+        return self._state(semi_join(rows, keys.select(*self.key).distinct(), self.key, null_safe=True)), n
 
     # -- writing ----------------------------------------------------------
     def _write(self, rows: DataFrame, m: Manifest) -> dict[int, list[str]]:
