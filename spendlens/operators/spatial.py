@@ -107,9 +107,14 @@ def point_in_polygon(points: DataFrame, edges: DataFrame, id_col: str = "point_i
     """
     hits = containing_places(points, edges, id_col, x, y, place_col, cell, band, boundary_in,
                              broadcast_limit)
+    return nearest_place(points, hits, id_col, x, y, place_col, how)
+
+
+def nearest_place(points: DataFrame, hits: DataFrame, id_col: str, x: str, y: str, place_col: str, how: str) -> DataFrame:
+    """Every point with the least place that holds it and their number; a point without an id is matched by its coordinates."""
     best = (hits.groupBy(id_col, "__x", "__y").agg(F.min(place_col).alias(place_col), F.count("*").alias("n_hits"))
             .withColumnRenamed(id_col, "__id"))
-    own = [F.col(id_col) == F.col("__id"), F.col(x).cast("double") == F.col("__x"), F.col(y).cast("double") == F.col("__y")]
+    own = [F.col(id_col).eqNullSafe(F.col("__id")), F.col(x).cast("double") == F.col("__x"), F.col(y).cast("double") == F.col("__y")]
     out = points.join(best, own, how).drop("__id", "__x", "__y")
     if how == "inner":
         return out

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from spendlens.functions.fiscal import fiscal_year, fiscal_year_as_coded
 from spendlens.operators import deobligations as deob
 from spendlens.operators import recipients as rec
+from spendlens.operators.cover import PlaceIndex, point_in_cover
 from spendlens.operators.dedup import first_per_key
 from spendlens.operators.filters import flag_city_gov, match_place_of_performance
 from spendlens.operators.geocode import geocode_cascade, ungeocoded
@@ -90,6 +91,11 @@ class Chain:
             return self.inp.edges
         return to_edges(parse_geojson_text(self.inp.boundaries, "geojson", "place_id"))
 
+    @_step
+    def place_index(self) -> PlaceIndex:
+        """The hierarchical cover of the places' boundaries."""
+        return PlaceIndex.build(self.edges())
+
     # -- recipients -------------------------------------------------------
     @_step
     def city_zctas(self) -> DataFrame:
@@ -139,8 +145,12 @@ class Chain:
         never has to be scanned first to decide which recipients to place.
         """
         asked = semi_join(self.inp.hits, self.coarse_first(), "full_addy")
-        found = point_in_polygon(geocode_cascade(asked), self.edges(), id_col="full_addy", x="long", y="lat",
-                                 cell=self.p.cell, band=self.p.band, how="inner", broadcast_limit=self.p.broadcast_limit)
+        if self.p.spatial_index == "cover":
+            found = point_in_cover(geocode_cascade(asked), self.place_index(), id_col="full_addy", x="long", y="lat",
+                                   how="inner", broadcast_limit=self.p.broadcast_limit)
+        else:
+            found = point_in_polygon(geocode_cascade(asked), self.edges(), id_col="full_addy", x="long", y="lat",
+                                     cell=self.p.cell, band=self.p.band, how="inner", broadcast_limit=self.p.broadcast_limit)
         return written_copy(found, "located")
 
     @_step

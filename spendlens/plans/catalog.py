@@ -18,6 +18,7 @@ from spendlens.functions.fiscal import fiscal_year, fiscal_year_as_coded
 from spendlens.functions.money import money_out
 from spendlens.operators import deobligations as deob
 from spendlens.operators.charts import chart_timeline, city_order
+from spendlens.operators.cover import point_in_cover
 from spendlens.operators.dedup import first_per_key
 from spendlens.operators.delivery import delivery, place_fy_totals
 from spendlens.operators.filters import EXCLUDE_CODES, INCLUDE_CODE, RECOVER_WORDS, flag_city_gov, \
@@ -224,17 +225,29 @@ def _cache_misses(spark, d):
     return cache_misses(c.addresses(), syn.geocode_cache(spark, d)).select("full_addy", "recipient_uei")
 
 
-@register("point_in_polygon", W(f"""
+_PIP_SQL = W(f"""
 SELECT p.vec_id, p.px, p.py, h.place_id, COALESCE(h.n_hits, 0) AS n_hits FROM emb_points p LEFT JOIN (
   SELECT pid, min(place_id) AS place_id, count(*) AS n_hits
   FROM ({O._pip('emb_points', 'vec_id', 'px', 'py')}) WHERE n_cross % 2 = 1 OR on_edge = 1 GROUP BY pid
-) h ON p.vec_id = h.pid""", ["emb_points", "edges"]))
+) h ON p.vec_id = h.pid""", ["emb_points", "edges"])
+
+
+@register("point_in_polygon", _PIP_SQL)
 def _pip(spark, d):
     c = chain(spark, d)
     pts = syn.embedding_points(spark, d)
     return point_in_polygon(pts, c.edges(), id_col="vec_id", x="px", y="py", cell=0.25, band=0.125)
 
 
+@register("point_in_cover", _PIP_SQL)
+def _pip_cover(spark, d):
+    """The same points by the quadtree cover of the places."""
+    return point_in_cover(syn.embedding_points(spark, d), chain(spark, d).place_index(), id_col="vec_id", x="px", y="py")
+
+
+register("recipients_by_cover", W("SELECT recipient_uei, full_addy, place_id, lat, long FROM recipients_in_city", ["recipients_in_city"]))(
+    lambda spark, d: chain(spark, d, spatial_index="cover").recipients_in_city().select("recipient_uei", "full_addy", "place_id", "lat", "long"))
+
 register("recipients_in_city", W("SELECT recipient_uei, full_addy, place_id, lat, long FROM recipients_in_city",
                                  ["recipients_in_city"]))(
     lambda spark, d: chain(spark, d).recipients_in_city().select("recipient_uei", "full_addy", "place_id", "lat", "long"))

@@ -18,6 +18,7 @@ class Params:
     first_uei_only: bool = False       # True: only the first UEI of an address goes on
     cell: float = 0.05                 # grid cell (degrees) of the point-in-polygon index
     band: float | None = None          # y band of the edge index (default cell / 4)
+    spatial_index: str = "grid"        # or "cover": quadtree cells of a bounded number for each polygon
     code_map: dict = field(default_factory=dict)
     placement_join: str = "inner"      # "left": keep transactions without place/registry rows (docs)
     broadcast_limit: int | None = None # bytes; None = operators.joins.DEFAULT_BROADCAST_LIMIT, 0 = never
