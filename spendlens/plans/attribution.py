@@ -33,6 +33,7 @@ from spendlens.operators.joins import broadcast_if_small, semi_join
 from spendlens.operators.spatial import point_in_polygon
 from spendlens.plans.params import Params
 from spendlens.session import written_copy
+from spendlens.sources.colocated import CoLocated
 from spendlens.sources.geojson import parse_geojson_text, to_edges
 from spendlens.sources.places import prepare_places
 
@@ -220,7 +221,10 @@ class Chain:
     def filtered(self) -> DataFrame:
         """``city_trans_filtered``: city-government transactions, FY, amount <> 0,
         performed in the recipient's state or unknown."""
-        t = self.inp.transactions.filter(F.col("amount") != 0)
+        return self._filtered(self.inp.transactions)
+
+    def _filtered(self, transactions: DataFrame) -> DataFrame:
+        t = transactions.filter(F.col("amount") != 0)
         j = self._with_recipients(t, self.city_gov_ueis())
         out = match_place_of_performance(j.withColumn("fy", self.fy()))
         # Spark cannot prune columns below a written relation, so the rows are narrowed before that.
@@ -231,3 +235,14 @@ class Chain:
     def annual_net_totals(self, place: str = "city_label") -> DataFrame:
         return deob.annual_net_totals(self.filtered(), first_fy=self.p.first_fy, mode=self.p.spread_mode,
                                       place=place)
+
+    def colocated_totals(self, by_award: CoLocated, place: str = "city_label") -> DataFrame:
+        """The annual net totals from transactions stored by award: the awards' sums need no shuffle, only the places' do.
+
+        The recipient side is broadcast while its measured size allows; beyond that its join shuffles as usual.
+        """
+        def spread(t: DataFrame) -> DataFrame:
+            years = deob.award_year_totals(self._filtered(t), place=place)
+            return deob.contributions_of(deob.profiles_of_years(years, place=place), self.p.first_fy, self.p.spread_mode, place=place)
+
+        return deob.totals_of_parts(deob.place_year_parts(by_award.by_key(spread), place), place)

@@ -36,6 +36,7 @@ from spendlens.plans.attribution import REGISTRY_ATTRIBUTES, Chain
 from spendlens.plans.incremental import IncrementalTotals
 from spendlens.plans.pipeline import to_geocode
 from spendlens.session import shared_folder, tune_session, written_copy
+from spendlens.sources.colocated import CoLocated
 from spendlens.sources.geocode_cache import GeocodeCache, read_geocode_csv
 from spendlens.sources.key_reads import plan_keys, read_frames
 from spendlens.sources.registry import parse_registry_lines
@@ -57,6 +58,7 @@ def chain(spark: SparkSession, d: str, **params) -> Chain:
 def forget_chains() -> None:
     """Drop the shared chains: the next query builds its steps anew."""
     _CHAINS.clear()
+    _COLOCATED.clear()
     syn._READS.clear()
 
 
@@ -328,6 +330,30 @@ register("annual_net_totals_fy_as_coded", W(O.ANNUAL_SQL.replace("FROM contrib "
     lambda spark, d: chain(spark, d, fy_mode="as_coded").annual_net_totals())
 
 
+_COLOCATED: dict = {}
+
+
+def _stored(spark, d, key: str) -> CoLocated:
+    """The transactions stored by ``key``, once for each session and folder."""
+    at = (spark.sparkContext.applicationId, id(spark), d, key)
+    if at not in _COLOCATED:
+        _COLOCATED[at] = CoLocated.write(chain(spark, d).inp.transactions, f"{shared_folder(spark)}/by-{key}-{uuid.uuid4().hex}", key, 8)
+    return _COLOCATED[at]
+
+
+register("colocated_totals", W(O.ANNUAL_SQL, ["contrib"]))(
+    lambda spark, d: chain(spark, d).colocated_totals(_stored(spark, d, "award_key")))
+
+
+@register("colocated_join", W("""SELECT t.id, t.recipient_uei, u.place_id, CAST(t.amount AS DOUBLE) AS amount
+FROM transactions t JOIN uei_place u ON t.recipient_uei = u.recipient_uei""", ["transactions", "uei_place"]))
+def _colocated_join(spark, d):
+    """Transactions and recipients, both stored by recipient: a join without a shuffle."""
+    side = chain(spark, d).recipient_side().select("recipient_uei", "place_id")
+    by_uei = CoLocated.write(side, f"{shared_folder(spark)}/recipients-{uuid.uuid4().hex}", "recipient_uei", 8)
+    return _stored(spark, d, "recipient_uei").join(by_uei).select("id", "recipient_uei", "place_id", F.col("amount").cast("double").alias("amount"))
+
+
 @register("incremental_totals", W(O.ANNUAL_SQL, ["contrib"]))
 def _incremental(spark, d):
     """The totals by batches: early years (every tenth amount doubled by mistake), the others, then the correction."""
