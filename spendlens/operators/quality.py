@@ -23,7 +23,7 @@ STATE_CODE_LENGTH = 2
 class Rule:
     name: str
     column: str
-    kind: str                     # regex | domain | length | not_null
+    kind: str                     # regex | domain | length | not_null | true
     pattern: str | None = None
     allowed: tuple = field(default_factory=tuple)
     length: int | None = None
@@ -38,6 +38,8 @@ class Rule:
             return c.isNotNull() & (F.length(c) != self.length)
         if self.kind == "not_null":    # V4
             return c.isNull()
+        if self.kind == "true":        # J6 and others: a Boolean column that marks the rows
+            return F.coalesce(c, F.lit(False))
         raise ValueError(f"unknown rule kind {self.kind}")
 
 
@@ -47,6 +49,11 @@ def registry_rules() -> list[Rule]:
             Rule("state_code_length", "phys_address_st", "length", length=STATE_CODE_LENGTH)]
 
 
+def transaction_rules() -> list[Rule]:
+    """What the method needs of a transaction: without an award it belongs to no class."""
+    return [Rule("award_key_missing", "award_key", "not_null")]
+
+
 def check_quality(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row: ``rows`` and one violation count per rule."""
     aggs = [F.count(F.lit(1)).alias("rows")]

@@ -26,7 +26,7 @@ from spendlens.operators.filters import EXCLUDE_CODES, INCLUDE_CODE, RECOVER_WOR
 from spendlens.operators.geocode import cache_misses, cascade_stats, update_cache
 from spendlens.operators.extras import per_100k, top_agencies
 from spendlens.operators.joins import anti_join, broadcast_if_small, null_safe_join, semi_join
-from spendlens.operators.quality import check_quality, null_counts, registry_rules, subset_violations
+from spendlens.operators.quality import Rule, check_quality, null_counts, registry_rules, subset_violations
 from spendlens.operators.recipients import with_full_address
 from spendlens.operators.sampling import sample_n
 from spendlens.operators.spatial import point_in_polygon
@@ -36,12 +36,16 @@ from spendlens.plans.attribution import REGISTRY_ATTRIBUTES, Chain
 from spendlens.plans.incremental import IncrementalTotals
 from spendlens.plans.pipeline import to_geocode
 from spendlens.session import shared_folder, tune_session, written_copy
+from spendlens.sources.business_types import code_map, read_business_types
+from spendlens.sources.checked_sink import mark_unknown, write_checked
 from spendlens.sources.colocated import CoLocated
+from spendlens.sources.crosswalk import CROSSWALK_COLUMNS, read_crosswalk
 from spendlens.sources.geocode_cache import GeocodeCache, read_geocode_csv
 from spendlens.sources.key_reads import plan_keys, read_frames
-from spendlens.sources.registry import parse_registry_lines
+from spendlens.sources.places import PLACE_COLUMNS, prepare_places, read_city_places
+from spendlens.sources.registry import parse_registry_lines, read_registry
 from spendlens.sources.shards import union_shards
-from spendlens.sources.snapshots import date_in_name, latest_snapshot
+from spendlens.sources.snapshots import date_in_name, latest_snapshot, newest_snapshot, write_snapshot
 
 _CHAINS: dict = {}
 
@@ -486,6 +490,85 @@ register("snapshot_name_date", """SELECT o_orderkey, CAST(CAST(o_orderdate AS DA
     lambda spark, d: syn._t(spark, d, "orders").select("o_orderkey", date_in_name(
         F.concat(F.lit("trans_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv"))).alias("snapshot_date")))
 
+@register("snapshot_file_names", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN TRY_CAST(CAST(1990 + o_orderkey % 30 AS VARCHAR) || '-' || lpad(CAST(1 + o_orderkey % 14 AS VARCHAR), 2, '0')
+  || '-' || lpad(CAST(1 + o_orderkey % 31 AS VARCHAR), 2, '0') AS DATE) END AS snapshot_date FROM orders""")
+def _file_names(spark, d):
+    """File names with a date (some no days of the calendar), with other numbers, with a date in another form, without any."""
+    digits = "concat_ws('-', 1990 + o_orderkey % 30, lpad(1 + o_orderkey % 14, 2, '0'), lpad(1 + o_orderkey % 31, 2, '0'))"
+    name = (f"CASE o_orderkey % 4 WHEN 0 THEN concat('city_transactions_v2_', {digits}, '.csv') WHEN 1 THEN concat('part-', o_orderkey, '-0001.csv') "
+            f"WHEN 2 THEN concat('trans_', replace({digits}, '-', ''), '.csv') ELSE 'readme.md' END")
+    return syn._t(spark, d, "orders").select("o_orderkey", date_in_name(F.expr(name)).alias("snapshot_date"))
+
+
+@register("published_snapshot", "SELECT o_orderkey, o_totalprice, 2 AS dump FROM orders")
+def _published(spark, d):
+    """Two dumps and a later one whose job died before its commit: the newest complete one."""
+    base, orders = f"{shared_folder(spark)}/dumps-{uuid.uuid4().hex}", syn._t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    write_snapshot(orders.filter("o_orderkey % 2 = 0").withColumn("dump", F.lit(1)), base, "2024-01-31")
+    write_snapshot(orders.withColumn("dump", F.lit(2)), base, "2024-02-29")
+    orders.filter("o_orderkey % 3 = 0").withColumn("dump", F.lit(3)).write.parquet(f"{base}/snapshot_date=2024-03-31")
+    return newest_snapshot(spark, base)
+
+
+@register("quarantined_registry", W("""
+SELECT recipient_uei, ordinal, violations FROM (
+  SELECT recipient_uei, ordinal, concat_ws(',', CASE WHEN NOT regexp_full_match(recipient_uei, '[A-Z0-9]{12}') THEN 'uei_format' END,
+         CASE WHEN entity_structure NOT IN ('2A','2F','2R','3I','CY','8H','2L') THEN 'entity_structure_domain' END,
+         CASE WHEN length(phys_address_st) <> 2 THEN 'state_code_length' END,
+         CASE WHEN recipient_uei NOT IN (SELECT recipient_uei FROM transactions) THEN 'without_transactions' END) AS violations FROM registry)
+WHERE violations <> ''""", ["registry", "transactions"]))
+def _quarantined(spark, d):
+    """The registry written by its rules, with one more: recipients that no transaction names. The rows that break one."""
+    c = chain(spark, d)
+    marked = mark_unknown(c.inp.registry, c.inp.transactions, "recipient_uei", "without_transactions")
+    rules = [*registry_rules(), Rule("without_transactions", "without_transactions", "true")]
+    report = write_checked(marked, f"{shared_folder(spark)}/registry-{uuid.uuid4().hex}", rules)
+    return report.quarantine(spark).select("recipient_uei", "ordinal", F.array_join("violations", ",").alias("violations"))
+
+
+def _as_file(spark, df: DataFrame, name: str, **options) -> str:
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.coalesce(1).write.options(**options).csv(path)
+    return path
+
+
+register("registry_file", W("""SELECT recipient_uei, phys_address_01, phys_address_zip, entity_structure, bus_type_string, PSC_code_string FROM registry_first""",
+                            ["registry_first"]))(
+    lambda spark, d: first_per_key(read_registry(spark, _lines_file(spark, d)), "recipient_uei", "ordinal").select(
+        "recipient_uei", "phys_address_01", "phys_address_zip", "entity_structure", "bus_type_string", "PSC_code_string"))
+
+
+def _lines_file(spark, d) -> str:
+    path = f"{shared_folder(spark)}/registry-lines-{uuid.uuid4().hex}"
+    lines = syn.registry_lines(spark, d, order="ordinal").orderBy("ordinal").select("line")
+    lines.coalesce(1).write.text(path)
+    return path
+
+
+@register("crosswalk_file", W("SELECT geoid_place, name_place, geoid_zcta FROM crosswalk", ["crosswalk"]))
+def _crosswalk_file(spark, d):
+    headers = {v: k for k, v in CROSSWALK_COLUMNS.items()}
+    df = syn.crosswalk(spark, d).withColumn("AREALAND_PART", F.lit(1)).withColumnsRenamed(headers)
+    return read_crosswalk(spark, _as_file(spark, df, "crosswalk", sep="|", header=True))
+
+
+@register("places_file", W("SELECT place_id, city_label, geoid, state_code, state, region, pop_21 FROM places", ["places"]))
+def _places_file(spark, d):
+    headers = {v: k for k, v in PLACE_COLUMNS.items()}
+    df = syn.places_raw(spark, d).withColumn("pop_21", F.format_number("pop_21", 0)).withColumn("Note", F.lit('say "x", y')).drop("ordinal")
+    path = _as_file(spark, df.withColumnsRenamed(headers), "places", header=True, quote='"', escape='"')
+    return prepare_places(read_city_places(spark, path)).select("place_id", "city_label", "geoid", "state_code", "state", "region", "pop_21")
+
+
+@register("code_list_file", "SELECT CAST(n_regionkey AS VARCHAR) AS code, min_by(n_name || ', \"x\"', n_nationkey) AS name FROM nation GROUP BY 1")
+def _code_list_file(spark, d):
+    """The nations as a code list (region = code): the first name of a code wins."""
+    df = syn._t(spark, d, "nation").orderBy("n_nationkey").selectExpr("CAST(n_regionkey AS STRING) AS Code", "concat(n_name, ', \"x\"') AS Name")
+    found = code_map(read_business_types(spark, _as_file(spark, df, "codes", header=True, quote='"', escape='"')))
+    return spark.createDataFrame(sorted(found.items()), "code string, name string")
+
+
 # ----------------------------------------------------- documented extras
 @register("per_100k", W("""SELECT city_label, fy, CAST(ROUND(total * 100000 / pop_21, 2) AS DOUBLE) AS per_100k
 FROM (SELECT city_label, fy, SUM(value) AS total FROM contrib GROUP BY city_label, fy) t

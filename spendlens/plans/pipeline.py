@@ -27,21 +27,21 @@ from spendlens.operators.filters import NEVER_CITY_UEIS
 from spendlens.operators.geocode import cache_misses, cascade_stats
 from spendlens.operators.joins import semi_join
 from spendlens.functions.text import geocoder_query
-from spendlens.operators.quality import check_quality, registry_rules
+from spendlens.operators.quality import check_quality, registry_rules, transaction_rules
 from spendlens.plans.attribution import Chain, Inputs
 from spendlens.plans.incremental import IncrementalTotals
 from spendlens.plans.params import Params
 from spendlens.session import checkpoint_dir, cut_lineage, written_copy
 from spendlens.sources import sinks
 from spendlens.sources.business_types import code_map, read_business_types
+from spendlens.sources.checked_sink import write_checked
 from spendlens.sources.crosswalk import read_crosswalk
 from spendlens.sources.geocode_cache import GeocodeCache, read_geocodes, with_provider
 from spendlens.sources.geojson import places_without_edges, read_geojson_dir, to_edges
 from spendlens.sources.key_reads import plan_keys, read_databases
 from spendlens.sources.registry import read_registry
 from spendlens.sources.shards import read_parquet_shards
-from spendlens.sources.sinks import write_snapshot
-from spendlens.sources.snapshots import latest_snapshot
+from spendlens.sources.snapshots import newest_snapshot, write_snapshot
 
 
 @dataclass
@@ -101,6 +101,11 @@ def violations(chain: Chain) -> dict[str, int]:
     return found
 
 
+def _kept(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Cut off from its lineage in the checkpoint folder, or kept where there is none."""
+    return cut_lineage(df, spark) if checkpoint_dir(spark) else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None = None,
         on_violation: str = "report", snapshot_base: str | None = None, snapshot_date: str | None = None,
         cache: GeocodeCache | None = None, answers: DataFrame | None = None,
@@ -111,7 +116,11 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
     break a rule; ``"report"`` goes on and leaves the rows in ``ungeocoded_recipients``,
     ``unbounded_places`` and ``registry_quality``. With ``snapshot_base`` and a date the placed
     transactions are dumped as that day's snapshot; with ``snapshot_base`` alone the
-    newest one is read instead of the shards.
+    newest complete one is read instead of the shards.
+
+    ``on_violation="quarantine"`` writes the registry and the filtered transactions under ``out_dir``/checked by
+    their rules, in the pass that reads them: rows that break one are left out and listed in ``quarantine_registry``
+    and ``quarantine_transactions``, ``checks`` counts them.
 
     With a ``cache`` the geocodes are read from it in place of ``inp.hits``; ``answers`` (full_addy, lat, long,
     provider) that have come since the last run are added to it first. ``to_geocode`` then lists what is
@@ -122,8 +131,14 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
     """
     if (totals is None) != (batch is None):
         raise ValueError("running totals need the name of the batch")
-    if on_violation not in ("report", "raise"):
-        raise ValueError("on_violation must be 'report' or 'raise'")
+    if on_violation not in ("report", "raise", "quarantine"):
+        raise ValueError("on_violation must be 'report', 'raise' or 'quarantine'")
+    if on_violation == "quarantine" and not out_dir:
+        raise ValueError("quarantined rows need an out_dir")
+    reports = {}
+    if on_violation == "quarantine":
+        reports["registry"] = write_checked(inp.registry, f"{out_dir}/checked/registry", registry_rules())
+        inp = replace(inp, registry=reports["registry"].clean(spark))
     if answers is not None and cache is None:
         raise ValueError("answers need a cache to go into")
     if cache is not None:
@@ -131,7 +146,7 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
             cache.add(answers)
         inp = replace(inp, hits=with_provider(cache.read()))
     if snapshot_base and not snapshot_date:
-        inp = replace(inp, transactions=latest_snapshot(spark.read.parquet(snapshot_base)).drop("snapshot_date"))
+        inp = replace(inp, transactions=newest_snapshot(spark, snapshot_base))
     chain = Chain(inp, params)
     if on_violation == "raise":
         broken = {k: v for k, v in violations(chain).items() if v}
@@ -142,7 +157,11 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
         write_snapshot(placed, snapshot_base, snapshot_date)
     filtered = chain.filtered()
     # every output reads these rows: cut their lineage in the checkpoint folder, or keep them where there is none
-    filtered = cut_lineage(filtered, spark) if checkpoint_dir(spark) else filtered.persist(StorageLevel.MEMORY_AND_DISK)
+    if on_violation == "quarantine":
+        reports["transactions"] = write_checked(filtered, f"{out_dir}/checked/transactions", transaction_rules())
+        filtered = reports["transactions"].clean(spark)
+    else:
+        filtered = _kept(filtered, spark)
     place = "city_label"
     contrib = deob.spread_contributions(filtered, params.first_fy, params.spread_mode, place="place_id")
     spread_totals = contrib.groupBy("place_id", "fy").agg(F.sum("value").alias("total"))
@@ -161,6 +180,10 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
         "to_geocode": to_geocode(cache_misses(chain.addresses(), inp.hits)),
         "unbounded_places": places_without_edges(chain.places(), chain.edges()),
     }
+    if reports:
+        out["checks"] = spark.createDataFrame([(name, r.rows, r.quarantined, rule, n) for name, r in reports.items() for rule, n in r.counts.items()],
+                                              "source string, rows bigint, quarantined bigint, rule string, violations bigint")
+        out |= {f"quarantine_{name}": r.quarantine(spark) for name, r in reports.items()}
     if totals is not None:
         totals.apply(filtered, batch)
         out["running_totals"] = totals.totals()

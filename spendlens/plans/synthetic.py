@@ -172,13 +172,13 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
     return cust.unionByName(sup)
 
 
-def registry_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The registry as lines of the extract (pipe-delimited, columns by position)."""
+def registry_lines(spark: SparkSession, d: str, order: str | None = None, width: int = 142) -> DataFrame:
+    """The registry as lines of the extract (pipe-delimited, columns by position); with ``order`` that column beside them."""
     from spendlens.sources.registry import REGISTRY_COLUMNS
     r = registry(spark, d)
     cells = [f"coalesce(CAST(`{REGISTRY_COLUMNS[k]}` AS STRING), '')" if REGISTRY_COLUMNS.get(k) in r.columns else "''"
-             for k in range(1, max(REGISTRY_COLUMNS) + 1)]
-    return r.selectExpr(f"concat_ws('|', {', '.join(cells)}) AS line")
+             for k in range(1, width + 1)]
+    return r.selectExpr(f"concat_ws('|', {', '.join(cells)}) AS line", *([order] if order else []))
 
 
 _AMOUNT = ("CAST(CASE WHEN l_quantity = 50 THEN 0D WHEN l_returnflag = 'R' THEN -l_extendedprice "

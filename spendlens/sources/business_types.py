@@ -13,7 +13,7 @@ SCHEMA = T.StructType([T.StructField("Code", T.StringType()), T.StructField("Nam
 
 def read_business_types(spark: SparkSession, path: str) -> DataFrame:
     """Read the code list as text with a file-order ordinal."""
-    return (spark.read.schema(SCHEMA).option("header", True).option("quote", '"').csv(path)
+    return (spark.read.schema(SCHEMA).option("header", True).option("quote", '"').option("escape", '"').csv(path)
             .withColumn("ordinal", F.monotonically_increasing_id()))
 
 

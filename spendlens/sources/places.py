@@ -26,7 +26,7 @@ def read_city_places(spark: SparkSession, path: str, columns: dict[str, str] | N
     "first row per city" is well defined.
     """
     columns = columns or PLACE_COLUMNS
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", "\"").csv(path)
     df = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()])
     if "pop_21" in df.columns:
         df = df.withColumn("pop_21", F.expr("try_cast(regexp_replace(pop_21, '[, ]', '') AS BIGINT)"))

@@ -1,17 +1,10 @@
-"""Sinks: dated snapshots, delivery CSV, chart tables (K2, K3); the geocode cache (K1, K4) is in ``geocode_cache``."""
+"""Sinks: delivery CSV and tables (K3); dumps (K2) are in ``snapshots``, the geocode cache (K1, K4) in ``geocode_cache``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def write_snapshot(df: DataFrame, base: str, snapshot_date: str, mode: str = "errorifexists") -> str:
-    """K2: ``base/snapshot_date=<date>``; the date is passed in, not read from the clock."""
-    path = f"{base}/snapshot_date={snapshot_date}"
-    df.write.mode(mode).parquet(path)
-    return path
-
-
 def write_delivery_csv(df: DataFrame, path: str) -> None:
     """K3: one CSV with a header; NULL prints ``NA``, empty text prints nothing.
 

@@ -8,8 +8,7 @@ from spendlens.sources.crosswalk import read_crosswalk
 from spendlens.sources.places import prepare_places, read_city_places
 from spendlens.sources.registry import read_registry
 from spendlens.sources.shards import read_parquet_shards, union_shards
-from spendlens.sources.sinks import write_snapshot
-from spendlens.sources.snapshots import latest_snapshot, read_named_snapshots
+from spendlens.sources.snapshots import latest_snapshot, read_named_snapshots, write_snapshot
 
 
 def _registry_line(uei, name, zip_, struct, biz, width=40):
