@@ -1,63 +1,72 @@
 """Boundary GeoJSON: FeatureCollections -> one geometry row per feature -> edges.
 
-Polygon and MultiPolygon coordinates have different nesting depths, so
-``coordinates`` is first read as raw JSON text and parsed a second time by
-geometry type; a Polygon is wrapped into a one-part MultiPolygon. The result
-is ``array<array<array<array<double>>>>`` (part -> ring -> point -> [x, y]).
+A document is parsed once, into a VARIANT; the parts of different nesting (Polygon, MultiPolygon, GeometryCollections
+inside one another) are taken out of it by path. Coordinates become ``array<array<array<array<double>>>>`` (part -> ring
+-> point -> [x, y, ...]). Other geometry types have no area: their coordinates are NULL and the place is listed as one
+without edges. A document that is not JSON fails the read.
+
+Coordinates are used as given, so the reader checks what system they are given in: a document that names another one
+than the accepted ones fails the read by name (without a name GeoJSON means longitude and latitude on WGS 84).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MULTI = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
-POLY = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
-
-FEATURE = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("geometry", T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.StringType()),
-    ])),
-])
-COLLECTION = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("crs", T.StringType()),
-    T.StructField("features", T.ArrayType(FEATURE)),
-])
-
-
-def _features_to_geoms(features: DataFrame, id_prop: str) -> DataFrame:
-    keep = [f"`{c}`" for c in features.columns if c != "f"]
-    multi, poly = MULTI.simpleString(), POLY.simpleString()
-    return features.selectExpr(
-        f"f.properties['{id_prop}'] AS `{id_prop}`", *keep, "f.properties AS properties",
-        "f.geometry.type AS geom_type",
-        f"CASE f.geometry.type WHEN 'MultiPolygon' THEN from_json(f.geometry.coordinates, '{multi}') "
-        f"WHEN 'Polygon' THEN array(from_json(f.geometry.coordinates, '{poly}')) END AS coordinates")
-
-
-def read_geojson_dir(spark: SparkSession, pattern: str, id_prop: str = "place_id") -> DataFrame:
-    """Read every FeatureCollection file matching ``pattern`` (one per city).
-
-    Files are whole JSON documents, so ``multiLine``; each file is one task.
-    A file that is not valid JSON fails the read.
-    Output: id_prop, properties, geom_type, coordinates, source_file.
+
+MULTI, POLY = "array<array<array<array<double>>>>", "array<array<array<double>>>"
+# Longitude and latitude; the datums differ by a metre or two and are not converted.
+ACCEPTED_CRS = ("EPSG:4269", "EPSG:4326", "OGC:CRS84")
+COLLECTION_DEPTH = 4        # GeometryCollections inside one another; a deeper one fails the read
+
+
+def crs_code(name: str) -> str:
+    """SQL: ``urn:ogc:def:crs:EPSG::4269`` or ``epsg:4269`` as ``EPSG:4269``; NULL (no name) as the format's own default."""
+    return f"coalesce(upper(regexp_replace(regexp_replace({name}, '(?i)^urn:(x-)?ogc:def:crs:', ''), ':[^:]*:', ':')), 'OGC:CRS84')"
+
+
+def _polygons(g: str, depth: int = 0) -> str:
+    """SQL: the polygons of geometry ``g`` (a VARIANT) in one array; NULL when it has no area."""
+    kind = f"variant_get({g}, '$.type', 'string')"
+    if depth < COLLECTION_DEPTH:
+        x = f"g{depth}"
+        inner = (f"flatten(filter(transform(variant_get({g}, '$.geometries', 'array<variant>'), {x} -> {_polygons(x, depth + 1)}), p -> p IS NOT NULL))")
+    else:
+        inner = "raise_error('GeoJSON: GeometryCollections are nested too deeply')"
+    return (f"CASE {kind} WHEN 'Polygon' THEN array(variant_get({g}, '$.coordinates', '{POLY}')) "
+            f"WHEN 'MultiPolygon' THEN variant_get({g}, '$.coordinates', '{MULTI}') WHEN 'GeometryCollection' THEN {inner} END")
+
+
+def _features(docs: DataFrame, id_prop: str, accepted: Sequence[str] | None) -> DataFrame:
+    """``docs``: doc (VARIANT) and the columns to keep; one row for each feature."""
+    keep = [f"`{c}`" for c in docs.columns if c != "doc"]
+    name = "variant_get(doc, '$.crs.properties.name', 'string')"
+    features = "variant_get(doc, '$.features', 'array<variant>')"
+    if accepted is not None:    # checked where the features are taken out, so no plan can leave it out
+        known = ", ".join(f"'{c.upper()}'" for c in accepted)
+        features = (f"CASE WHEN {crs_code(name)} IN ({known}) THEN {features} "
+                    f"ELSE raise_error(concat('GeoJSON: coordinates are in ', {name}, ', not in one of {known.replace(chr(39), '')}')) END")
+    rows = docs.selectExpr(*keep, f"{name} AS crs", f"explode({features}) AS f")
+    return rows.selectExpr(f"variant_get(f, '$.properties.{id_prop}', 'string') AS `{id_prop}`", *keep, "crs",
+                           "CAST(variant_get(f, '$.properties') AS MAP<STRING, STRING>) AS properties",
+                           "variant_get(f, '$.geometry.type', 'string') AS geom_type",
+                           f"{_polygons('g')} AS coordinates".replace("(g,", "(variant_get(f, '$.geometry'),"))
+
+
+def read_geojson_dir(spark: SparkSession, pattern: str, id_prop: str = "place_id", accepted_crs: Sequence[str] | None = ACCEPTED_CRS) -> DataFrame:
+    """Read every FeatureCollection file matching ``pattern`` (one per city); each file is one task.
+
+    Output: id_prop, source_file, crs, properties, geom_type, coordinates. ``accepted_crs=None`` takes any system.
     """
-    docs = spark.read.schema(COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json(pattern)
-    feats = docs.select(F.col("_metadata.file_path").alias("source_file"), F.col("crs"),
-                        F.explode("features").alias("f"))
-    return _features_to_geoms(feats, id_prop)
+    docs = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.parse_json("value").alias("doc"))
+    return _features(docs, id_prop, accepted_crs)
 
 
-def parse_geojson_text(df: DataFrame, text_col: str = "geojson", id_prop: str = "place_id") -> DataFrame:
+def parse_geojson_text(df: DataFrame, text_col: str = "geojson", id_prop: str = "place_id", accepted_crs: Sequence[str] | None = ACCEPTED_CRS) -> DataFrame:
     """Same as ``read_geojson_dir`` for documents held in a string column."""
-    docs = df.select(F.from_json(F.col(text_col), COLLECTION, {"mode": "FAILFAST"}).alias("doc"))
-    feats = docs.select(F.explode("doc.features").alias("f"))
-    return _features_to_geoms(feats, id_prop)
+    return _features(df.select(F.parse_json(F.col(text_col)).alias("doc")), id_prop, accepted_crs)
 
 
 def places_without_edges(places: DataFrame, edges: DataFrame, id_col: str = "place_id") -> DataFrame:

@@ -9,7 +9,7 @@ from spendlens.sources.geojson import read_geojson_dir, to_edges
 
 def _fc(place_id, gtype, coords):
     return {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::4269"}},
-            "features": [{"type": "Feature", "properties": {"place_id": place_id, "census_year": "2022"},
+            "features": [{"type": "Feature", "properties": {"place_id": place_id},
                           "geometry": {"type": gtype, "coordinates": coords}}]}
 
 
@@ -84,3 +84,47 @@ def test_broken_boundary_file_fails_and_missing_places_are_listed(spark, tmp_dir
         f.write('{"type": "FeatureCollection", "features": [{"type"')
     with pytest.raises(Exception, match="(?i)malformed"):
         read_geojson_dir(spark, f"{tmp_dir}/*.geojson").collect()
+
+
+def test_collections_other_types_and_features_without_a_geometry(spark, tmp_dir):
+    sq = lambda x: [[[x, 0], [x + 1, 0], [x + 1, 1, 5.5], [x, 1], [x, 0]]]
+    nested = {"type": "GeometryCollection", "geometries": [
+        {"type": "Point", "coordinates": [9, 9]}, {"type": "Polygon", "coordinates": sq(0)},
+        {"type": "GeometryCollection", "geometries": [{"type": "MultiPolygon", "coordinates": [sq(2), sq(4)]}, {"type": "GeometryCollection", "geometries": []}]}]}
+    feature = lambda i, g, **p: {"type": "Feature", "properties": {"place_id": i, **p}, "geometry": g}
+    doc = {"type": "FeatureCollection", "features": [feature("col", nested, pop=5, names={"a": 1}), feature("pt", {"type": "Point", "coordinates": [1, 1]}),
+                                                     feature("none", None), feature(7, {"type": "Polygon", "coordinates": sq(8)})]}
+    with open(f"{tmp_dir}/x.geojson", "w") as f:
+        json.dump(doc, f)
+    g = read_geojson_dir(spark, f"{tmp_dir}/*.geojson")
+    rows = {r.place_id: r for r in g.collect()}
+    assert {k: (r.geom_type, r.coordinates and len(r.coordinates)) for k, r in rows.items()} == {
+        "col": ("GeometryCollection", 3), "pt": ("Point", None), "none": (None, None), "7": ("Polygon", 1)}
+    assert rows["col"].properties["pop"] == "5" and rows["col"].crs is None
+    counts = {r.place_id: r["count"] for r in to_edges(g).groupBy("place_id").count().collect()}
+    assert counts == {"col": 12, "7": 4}
+    pts = spark.createDataFrame([(x + .5, .5) for x in range(9)], "x double, y double").withColumn("pid", __import__("pyspark").sql.functions.col("x"))
+    got = {r.pid: r.place_id for r in point_in_polygon(pts, to_edges(g), id_col="pid", cell=1.0, how="inner").collect()}
+    assert got == {.5: "col", 2.5: "col", 4.5: "col", 8.5: "7"}
+
+
+def test_coordinates_in_another_system_stop_the_read(spark, tmp_dir):
+    import pytest
+
+    from spendlens.sources.geojson import parse_geojson_text
+    poly = {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}
+    for name, ok in (("urn:ogc:def:crs:EPSG::4269", True), ("epsg:4326", True), ("urn:ogc:def:crs:OGC:1.3:CRS84", True), ("EPSG:3857", False), ("urn:ogc:def:crs:EPSG:9.8:26985", False)):
+        doc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": name}}, "features": [{"type": "Feature", "properties": {"place_id": "p"}, "geometry": poly}]}
+        df = spark.createDataFrame([(json.dumps(doc),)], "geojson string")
+        if ok:
+            assert to_edges(parse_geojson_text(df)).count() == 3
+        else:
+            with pytest.raises(Exception, match="coordinates are in"):
+                to_edges(parse_geojson_text(df)).select("x1").collect()      # also when no one asks for the column
+            assert to_edges(parse_geojson_text(df, accepted_crs=None)).count() == 3
+    deep = poly
+    for _ in range(6):
+        deep = {"type": "GeometryCollection", "geometries": [deep]}
+    df = spark.createDataFrame([(json.dumps({"features": [{"properties": {"place_id": "p"}, "geometry": deep}]}),)], "geojson string")
+    with pytest.raises(Exception, match="nested too deeply"):
+        parse_geojson_text(df).collect()
