@@ -30,6 +30,7 @@ from spendlens.operators.dedup import first_per_key
 from spendlens.operators.filters import flag_city_gov, match_place_of_performance
 from spendlens.operators.geocode import geocode_cascade, ungeocoded
 from spendlens.operators.joins import broadcast_if_small, semi_join
+from spendlens.operators.nongov import nongov_totals, performed_in_city, with_recipient_kind
 from spendlens.operators.spatial import point_in_polygon
 from spendlens.plans.params import Params
 from spendlens.session import written_copy
@@ -236,6 +237,14 @@ class Chain:
         return deob.annual_net_totals(self.filtered(), first_fy=self.p.first_fy, mode=self.p.spread_mode,
                                       place=place)
 
+    @_step
+    def nongov_totals(self) -> DataFrame:
+        """Money performed in a listed city by recipients that are no governments (needs ``pop_city``)."""
+        t = self.inp.transactions.filter(F.col("amount") != 0)
+        t = performed_in_city(t, self.places(), broadcast_limit=self.p.broadcast_limit).withColumn("fy", self.fy())
+        t = with_recipient_kind(t, self.registry_reduced(), (self.p.structure,), self.p.broadcast_limit)
+        return nongov_totals(t)
+
     def colocated_totals(self, by_award: CoLocated, place: str = "city_label") -> DataFrame:
         """The annual net totals from transactions stored by award: the awards' sums need no shuffle, only the places' do.
 

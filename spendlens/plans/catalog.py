@@ -579,6 +579,19 @@ def _per_100k(spark, d):
     return per_100k(tot, c.places())
 
 
+@register("nongov_totals", W(f"""
+SELECT p.city_label, {O.FY_SQL} AS fy, 'non_government' AS recipient_kind, CAST(count(*) AS BIGINT) AS transactions,
+       CAST(count(DISTINCT t.award_key) AS BIGINT) AS awards, CAST(ROUND(SUM(t.amount), 2) AS DOUBLE) AS total
+FROM (SELECT *, regexp_replace(regexp_replace(trim(regexp_replace(upper(pop_city), '[^A-Z0-9]+', ' ', 'g')), '^CITY OF ', ''), ' CITY$', '') AS k
+      FROM transactions WHERE amount <> 0) t
+JOIN (SELECT DISTINCT place_id, city_label, upper(state) AS s1, state_code AS s2, replace(city, '_', ' ') AS k FROM place_first) p
+  ON t.k = p.k AND t.pop_state IN (p.s1, p.s2)
+JOIN registry_first r ON t.recipient_uei = r.recipient_uei
+WHERE r.entity_structure <> '2A' GROUP BY 1, 2""", ["transactions", "place_first", "registry_first"]))
+def _nongov(spark, d):
+    return chain(spark, d).nongov_totals().withColumn("total", money_out("total"))
+
+
 register("top_agencies", W("""SELECT city_label, awarding_agency_name, CAST(ROUND(t, 2) AS DOUBLE) AS total,
 rank() OVER (PARTITION BY city_label ORDER BY t DESC) AS agency_rank
 FROM (SELECT city_label, awarding_agency_name, SUM(amount) AS t FROM filtered GROUP BY city_label, awarding_agency_name)

@@ -124,6 +124,8 @@ SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS id,
                  ELSE l.l_extendedprice END AS DECIMAL(18, 2)) AS amount,
        CASE l.l_linenumber % 4 WHEN 1 THEN upper(r.r_name) WHEN 2 THEN substr(r.r_name, 1, 2) WHEN 3 THEN 'ELSEWHERE' END
            AS pop_state,
+       CASE l.l_orderkey % 6 WHEN 0 THEN n.n_name WHEN 1 THEN 'City of ' || n.n_name WHEN 2 THEN lower(n.n_name) || ' city'
+            WHEN 3 THEN ' ' || replace(n.n_name, '_', '. ') || ',' WHEN 5 THEN 'Nowhere' END AS pop_city,
        'AGENCY ' || CAST(l.l_suppkey % 7 AS VARCHAR) AS awarding_agency_name,
        CASE WHEN l.l_orderkey % 23 <> 5 THEN CAST(year(CAST(l.l_shipdate AS DATE) + INTERVAL 3 MONTH) AS INTEGER) END AS shard_year
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey

@@ -180,6 +180,8 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
         "to_geocode": to_geocode(cache_misses(chain.addresses(), inp.hits)),
         "unbounded_places": places_without_edges(chain.places(), chain.edges()),
     }
+    if "pop_city" in inp.transactions.columns:
+        out["nongov_totals"] = chain.nongov_totals()
     if reports:
         out["checks"] = spark.createDataFrame([(name, r.rows, r.quarantined, rule, n) for name, r in reports.items() for rule, n in r.counts.items()],
                                               "source string, rows bigint, quarantined bigint, rule string, violations bigint")

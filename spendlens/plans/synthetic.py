@@ -23,6 +23,7 @@ Rules (n = nation key, c = customer key):
 * geocoder results: three providers in priority order over customers (c % 100 = 0
   is found by none); provider 1 answers twice for c % 6 = 1; an
   earlier cache holds the customers with a balance over 5000.
+* place of performance: the recipient's own nation, written in four ways, or none, or one that is no listed place.
 * blacklist: customers in debit (negative balance).
 * boundaries: a 5 x 5 grid of places, squares, squares with a hole,
   two-part shapes and triangles (coordinates are multiples of 1/16 so they
@@ -190,7 +191,7 @@ def transactions(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d, "lineitem")
     o = _t(spark, d, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
     c = _t(spark, d, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS n_nationkey")
-    n = _t(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    n = _t(spark, d, "nation").select("n_nationkey", "n_regionkey", "n_name")
     r = _t(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     j = li.join(o, "l_orderkey").join(c, "o_custkey").join(n, "n_nationkey").join(r, "n_regionkey")
     return j.selectExpr(
@@ -202,6 +203,8 @@ def transactions(spark: SparkSession, d: str) -> DataFrame:
         f"{_AMOUNT} AS amount",
         "CASE l_linenumber % 4 WHEN 1 THEN upper(r_name) WHEN 2 THEN substring(r_name, 1, 2) "
         "WHEN 3 THEN 'ELSEWHERE' END AS pop_state",
+        "CASE l_orderkey % 6 WHEN 0 THEN n_name WHEN 1 THEN concat('City of ', n_name) WHEN 2 THEN concat(lower(n_name), ' city') "
+        "WHEN 3 THEN concat(' ', replace(n_name, '_', '. '), ',') WHEN 5 THEN 'Nowhere' END AS pop_city",
         "concat('AGENCY ', l_suppkey % 7) AS awarding_agency_name",
     ).withColumn("shard_year", fiscal_year("action_date"))
 

@@ -22,12 +22,13 @@ TRANSACTION_COLUMNS = {
     "award_summary_unique_key": "award_key",
     "action_date_year_month": "ym",
     "primary_place_of_performance_state_name": "pop_state",
+    "primary_place_of_performance_city_name": "pop_city",
 }
 
 
 # The standardized columns.
 TRANSACTION_SCHEMA = ("id bigint, recipient_uei string, award_key string, action_date date, ym string, amount decimal(18,2), "
-                      "pop_state string, awarding_agency_name string, shard_year int")
+                      "pop_state string, pop_city string, awarding_agency_name string, shard_year int")
 
 
 def standardize_transactions(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
