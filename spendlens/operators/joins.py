@@ -19,8 +19,11 @@ def measured_bytes(df: DataFrame) -> int:
     """Bytes of all values of ``df``: one aggregate with one row. Meant for written or tiny tables."""
     width = F.lit(8 * (len(df.columns) + 1))
     for f in df.schema:
-        if f.dataType.simpleString() == "string":
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
             width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif kind in ("array", "map", "struct"):   # as text: no shorter than its values
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
     return df.agg(F.sum(width)).first()[0] or 0
 
 

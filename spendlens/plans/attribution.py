@@ -17,7 +17,7 @@ join with the transactions is a broadcast; after it come only hash aggregates.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from spendlens.operators.nongov import nongov_totals, performed_in_city, with_re
 from spendlens.operators.spatial import point_in_polygon
 from spendlens.plans.params import Params
 from spendlens.session import written_copy
+from spendlens.sources.checked_sink import CheckReport
 from spendlens.sources.colocated import CoLocated
 from spendlens.sources.geojson import parse_geojson_text, to_edges
 from spendlens.sources.places import prepare_places
@@ -49,6 +50,7 @@ class Inputs:
     transactions: DataFrame      # id, recipient_uei, award_key, action_date, ym, amount, pop_state, ...
     blacklist: DataFrame | None = None
     edges: DataFrame | None = None
+    malformed: dict[str, CheckReport] = field(default_factory=dict)   # of the files read strictly
 
 
 # Registry attributes that go on with a recipient's transactions (those the registry has).

@@ -42,6 +42,7 @@ from spendlens.sources.colocated import CoLocated
 from spendlens.sources.crosswalk import CROSSWALK_COLUMNS, read_crosswalk
 from spendlens.sources.geocode_cache import GeocodeCache, read_geocode_csv
 from spendlens.sources.key_reads import plan_keys, read_frames
+from spendlens.sources.malformed import read_registry_strict
 from spendlens.sources.places import PLACE_COLUMNS, prepare_places, read_city_places
 from spendlens.sources.registry import parse_registry_lines, read_registry
 from spendlens.sources.shards import union_shards
@@ -546,6 +547,17 @@ def _lines_file(spark, d) -> str:
     return path
 
 
+@register("torn_registry", W("""SELECT recipient_uei, CASE WHEN ordinal % 50 = 1 THEN 'too_many_fields' ELSE 'too_few_fields' END AS reason
+FROM registry WHERE ordinal % 50 IN (1, 2)""", ["registry"]))
+def _torn(spark, d):
+    """The registry's file with lines cut off and lines with a field too many: the malformed ones, caught in the one read."""
+    path = f"{shared_folder(spark)}/torn-{uuid.uuid4().hex}"
+    torn = "CASE ordinal % 50 WHEN 1 THEN concat(line, '|x') WHEN 2 THEN substring_index(line, '|', 20) ELSE line END AS line"
+    syn.registry_lines(spark, d, order="ordinal").selectExpr(torn).write.text(path)
+    _, report = read_registry_strict(spark, path, f"{path}-checked", max_malformed=None)
+    return report.quarantine(spark).selectExpr("substring_index(line, '|', 1) AS recipient_uei", "explode(violations) AS reason")
+
+
 @register("crosswalk_file", W("SELECT geoid_place, name_place, geoid_zcta FROM crosswalk", ["crosswalk"]))
 def _crosswalk_file(spark, d):
     headers = {v: k for k, v in CROSSWALK_COLUMNS.items()}

@@ -39,6 +39,7 @@ from spendlens.sources.crosswalk import read_crosswalk
 from spendlens.sources.geocode_cache import GeocodeCache, read_geocodes, with_provider
 from spendlens.sources.geojson import places_without_edges, read_geojson_dir, to_edges
 from spendlens.sources.key_reads import plan_keys, read_databases
+from spendlens.sources.malformed import read_crosswalk_strict, read_places_strict, read_registry_strict
 from spendlens.sources.registry import read_registry
 from spendlens.sources.shards import read_parquet_shards
 from spendlens.sources.snapshots import newest_snapshot, write_snapshot
@@ -58,11 +59,15 @@ class Paths:
     database_properties: Mapping[str, str] = field(default_factory=dict)   # driver, user, password, fetchsize ...
 
 
-def load_inputs(spark: SparkSession, paths: Paths, params: Params | None = None) -> tuple[Inputs, dict]:
+def load_inputs(spark: SparkSession, paths: Paths, params: Params | None = None, checked_dir: str | None = None,
+                max_malformed: int | None = 0, registry_fields: int = 142) -> tuple[Inputs, dict]:
     """Read every source; returns the inputs and the code lookup.
 
     Yearly databases are asked for the coarse recipients only (``key_reads``), which are known from the
     registry, the crosswalk and the places; ``params`` then names their structure and country.
+
+    With ``checked_dir`` these three files are read strictly (``malformed``): rows that do not fit are kept there with
+    their text, more than ``max_malformed`` of a file (None: any number) stop the job.
     """
     from spendlens.sources.places import read_city_places
     geoms = read_geojson_dir(spark, paths.boundaries)
@@ -70,10 +75,15 @@ def load_inputs(spark: SparkSession, paths: Paths, params: Params | None = None)
     bl = (spark.createDataFrame([(u,) for u in paths.blacklist], "recipient_uei string")
           if paths.blacklist else None)
     hits = read_geocodes(spark, paths.geocodes)
-    inp = Inputs(registry=read_registry(spark, paths.registry),
-                 crosswalk=read_crosswalk(spark, paths.crosswalk),
-                 places_raw=read_city_places(spark, paths.places),
-                 boundaries=geoms, hits=hits, transactions=None, blacklist=bl, edges=to_edges(geoms))
+    reports = {}
+    if checked_dir:
+        registry, reports["registry"] = read_registry_strict(spark, paths.registry, f"{checked_dir}/registry", registry_fields, max_malformed=max_malformed)
+        crosswalk, reports["crosswalk"] = read_crosswalk_strict(spark, paths.crosswalk, f"{checked_dir}/crosswalk", max_malformed=max_malformed)
+        places, reports["places"] = read_places_strict(spark, paths.places, f"{checked_dir}/places", max_malformed=max_malformed)
+    else:
+        registry, crosswalk = read_registry(spark, paths.registry), read_crosswalk(spark, paths.crosswalk)
+        places = read_city_places(spark, paths.places)
+    inp = Inputs(registry=registry, crosswalk=crosswalk, places_raw=places, malformed=reports, boundaries=geoms, hits=hits, transactions=None, blacklist=bl, edges=to_edges(geoms))
     if isinstance(paths.transactions, str):
         txns = read_parquet_shards(spark, paths.transactions)
     else:
@@ -182,6 +192,7 @@ def run(spark: SparkSession, inp: Inputs, params: Params, out_dir: str | None =
     }
     if "pop_city" in inp.transactions.columns:
         out["nongov_totals"] = chain.nongov_totals()
+    out |= {f"malformed_{name}": r.quarantine(spark) for name, r in inp.malformed.items()}
     if reports:
         out["checks"] = spark.createDataFrame([(name, r.rows, r.quarantined, rule, n) for name, r in reports.items() for rule, n in r.counts.items()],
                                               "source string, rows bigint, quarantined bigint, rule string, violations bigint")

@@ -28,9 +28,14 @@ def read_city_places(spark: SparkSession, path: str, columns: dict[str, str] | N
     columns = columns or PLACE_COLUMNS
     raw = spark.read.option("header", True).option("inferSchema", False).option("escape", "\"").csv(path)
     df = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()])
-    if "pop_21" in df.columns:
-        df = df.withColumn("pop_21", F.expr("try_cast(regexp_replace(pop_21, '[, ]', '') AS BIGINT)"))
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    return typed_places(df).withColumn("ordinal", F.monotonically_increasing_id())
+
+
+def typed_places(df: DataFrame) -> DataFrame:
+    """The population as a number, thousands separators taken out."""
+    if "pop_21" not in df.columns:
+        return df
+    return df.withColumn("pop_21", F.expr("try_cast(regexp_replace(pop_21, '[, ]', '') AS BIGINT)"))
 
 
 def prepare_places(raw: DataFrame, list_col: str = "geoid_list", sep: str = ", ") -> DataFrame:

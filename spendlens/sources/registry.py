@@ -6,6 +6,8 @@ named. Everything is read as text: UEIs, ZIPs and codes keep leading zeros.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +41,12 @@ def read_registry(spark: SparkSession, path: str, n_columns: int = 142, sep: str
     return with_file_ordinal(df)
 
 
-def parse_registry_lines(df: DataFrame, line: str = "line", sep: str = "|", columns: dict[int, str] | None = None) -> DataFrame:
-    """The named positions of extract lines held in a column; an empty field is NULL, as in the file reader."""
+def parse_registry_lines(df: DataFrame, line: str = "line", sep: str = "|", columns: dict[int, str] | None = None,
+                         keep: Sequence[str] = ()) -> DataFrame:
+    """The named positions of extract lines held in a column (and the columns ``keep``); an empty field is NULL, as in the file reader."""
     cells = F.split(F.col(line), "\\Q" + sep + "\\E", -1)
     return df.select(*[F.when(F.get(cells, pos - 1) != "", F.get(cells, pos - 1)).alias(name)
-                       for pos, name in sorted((columns or REGISTRY_COLUMNS).items())])
+                       for pos, name in sorted((columns or REGISTRY_COLUMNS).items())], *keep)
 
 
 def with_file_ordinal(df: DataFrame) -> DataFrame:
