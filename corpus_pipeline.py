@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = pii.replace_private(docs).drop("private")
+    out = pii.replace_private(docs, into=None)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
