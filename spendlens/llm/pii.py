@@ -273,15 +273,21 @@ class NoFreeSurrogate(RuntimeError):
     """Every surrogate of some entities is taken; the message names their types."""
 
 
-def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The distinct (type, value) of the corpus, of names the words."""
+def held_entities(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(h, kind, value): the distinct entities, of names the words, of every different text; ``h`` is the text's hash."""
     ship(docs.sparkSession)
 
     @F.pandas_udf("array<struct<kind:string,value:string>>")
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series([sorted({x for _, _, k, v in find(t) for x in parts(k, v)}) if isinstance(t, str) else [] for t in texts])
 
-    return docs.select(F.explode(found(text)).alias("e")).select("e.*").distinct()
+    t = F.col(f"`{text}`")
+    return docs.select(F.xxhash64(t).alias("h"), F.explode(found(t)).alias("e")).select("h", "e.*").distinct()
+
+
+def entities(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The distinct (type, value) of the corpus, of names the words."""
+    return held_entities(docs, text).select("kind", "value").distinct()
 
 
 def exceptions(distinct: DataFrame, key: bytes) -> DataFrame | None:
@@ -312,7 +318,8 @@ def exceptions(distinct: DataFrame, key: bytes) -> DataFrame | None:
 def replace_private(docs: DataFrame, text: str = "text", key: bytes | None = None, into: str | None = "private") -> DataFrame:
     """``docs`` with the text replaced, plus the struct ``into`` (None: without): n (entities), kinds, spans in the old text."""
     key = key or application_key(docs.sparkSession)
-    odd = exceptions(entities(docs, text), key)
+    held = written(held_entities(docs, text), "pii-held")   # read by the collision check and for the texts with exceptions
+    odd = exceptions(held.select("kind", "value").distinct(), key)
     schema = "text string, n long, kinds array<string>, spans array<struct<start:int,end:int>>"
 
     def replaced(texts: pd.Series, attempts) -> pd.DataFrame:
@@ -341,16 +348,11 @@ def replace_private(docs: DataFrame, text: str = "text", key: bytes | None = Non
 
         out = rows.withColumn("found", redraw("text"))
     else:
-        @F.pandas_udf("array<struct<kind:string,value:string>>")
-        def found(texts: pd.Series) -> pd.Series:
-            return pd.Series([sorted({x for _, _, k, v in find(t) for x in parts(k, v)}) if isinstance(t, str) else [] for t in texts])
-
         @F.pandas_udf(schema)
         def redraw_but(texts: pd.Series, attempts: pd.Series) -> pd.DataFrame:
             return replaced(texts, attempts)
 
         # the exceptions, by the hash of the text they stand in: only (hash, exceptions) meets the documents
-        held = rows.select(F.xxhash64("text").alias("h"), F.explode(found("text")).alias("e")).select("h", "e.*").distinct()
         odd_texts = held.join(odd, ["kind", "value"]).groupBy("h").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("odd"))
         odd_texts = written(odd_texts, "pii-odd-texts")
         out = rows.withColumn("h", F.xxhash64("text")).join(odd_texts, "h", "left").withColumn("found", redraw_but("text", "odd"))
