@@ -2,7 +2,7 @@
 
 Every document is tokenised once and ended with ``END``; longer ones are cut at ``SEQUENCE`` ids. The
 pieces, with their ids, are written to the shared folder. The histogram of piece lengths (one row for
-each class of ``UNIT`` ids, so at most ``SEQUENCE / UNIT`` rows) comes to the driver, where a linear
+each length up to ``SHORT`` and for each ``UNIT`` ids beyond, so at most ``SHORT + SEQUENCE / UNIT`` rows) comes to the driver, where a linear
 program over patterns of classes is solved: a knapsack by dynamic programming prices new patterns
 until none improves. Patterns are rounded down, the rest is packed first-fit decreasing. The pieces
 of a class are ranked (rank inside a salt plus the salt's offset, so no class meets in one task), the
@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from .common import nullable, ship, table, written
 
-SEQUENCE, UNIT, END, SALTS = 2048, 8, 1, 256
+SEQUENCE, UNIT, SHORT, END, SALTS = 2048, 8, 64, 1, 256   # beyond SHORT a class is UNIT ids wide, which costs under 7 ids in 64
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 
@@ -183,15 +183,15 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.ndar
 
 
 def pack(pieces: DataFrame, sequence: int = SEQUENCE, unit: int = UNIT) -> DataFrame:
-    """``pieces`` without their ids, with ``sequence_id`` and ``offset``; ``ids_crc32`` is taken from the ids."""
-    rows = pieces.select("piece", "doc_id", "start", "length", "doc_tokens", F.crc32("ids").alias("ids_crc32"),
-                         F.ceil(F.col("length") / F.lit(unit)).cast("int").alias("width"))
+    """``sequence`` is a multiple of ``unit``. ``pieces`` without their ids, with ``sequence_id`` and ``offset``; ``ids_crc32`` is taken from the ids."""
+    width = F.when(F.col("length") <= SHORT, F.col("length")).otherwise(F.ceil(F.col("length") / F.lit(unit)) * unit).cast("int").alias("width")
+    rows = pieces.select("piece", "doc_id", "start", "length", "doc_tokens", F.crc32("ids").alias("ids_crc32"), width)
     # the high bits of ``piece`` are the number of the task that wrote it
     rows = rows.withColumn("salt", F.pmod(F.xxhash64(F.shiftright("piece", 12)), F.lit(SALTS)).cast("int"))
-    per_salt = pieces.select(F.ceil(F.col("length") / F.lit(unit)).cast("int").alias("width"),
+    per_salt = pieces.select(width,
                              F.pmod(F.xxhash64(F.shiftright("piece", 12)), F.lit(SALTS)).cast("int").alias("salt")).groupBy("width", "salt").count()
     histogram = {r["width"]: r["n"] for r in per_salt.groupBy("width").agg(F.sum("count").alias("n")).collect()}  # a row for each class
-    dealt = slots(plan(histogram, sequence // unit))
+    dealt = slots(plan(histogram, sequence))
     before = Window.partitionBy("width").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     first = per_salt.select("width", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     ranked = (rows.withColumn("at", F.row_number().over(Window.partitionBy("width", "salt").orderBy("piece")) - 1)

@@ -47,6 +47,15 @@ def test_odd_texts(spark):
     assert p.placements(docs.limit(0)).count() == 0
 
 
+def test_short_documents_fill_their_sequences(spark):
+    docs = make_docs(spark, [None if k % 2 else "" for k in range(5000)])         # one id each
+    _, sequences = check(p.placements(docs).collect(), dict(enumerate([""] * 5000)))
+    assert sequences == 3
+    texts = ["a b"[:1 + k % 3] for k in range(3000)] + ["many words in a row " * 90] * 5
+    tokens, sequences = check(p.placements(make_docs(spark, texts)).collect(), dict(enumerate(texts)))
+    assert sequences <= tokens / p.SEQUENCE * 1.02 + 1
+
+
 def test_sequences_hold_the_ids(spark):
     docs = make_docs(spark, [f"some words {k} " * (k + 1) for k in range(40)])
     pieces = p.tokenized(docs)
