@@ -1,7 +1,9 @@
 """Chat formatting under a token budget. DataFrame functions only.
 
 The turns of a conversation, in order, are cut into windows at turn borders: prefix sums of the turns'
-tokens decide how many new turns fit beside the system turn and the repeated history. Every window
+tokens decide how many new turns fit beside the system turn and the repeated history. A turn's tokens are a column of the
+input where it has one, and else bounded from above by the bytes written for it: no byte-level vocabulary makes more tokens
+than bytes, in any script, so a window of several turns never exceeds the budget. Every window
 starts with the conversation's system turn, repeats at most ``history`` turns (and ``history_tokens``
 tokens) before its first new turn, then holds the new turns. Only assistant turns that are new in the
 window carry loss, so each target is trained on once.
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-BUDGET, HISTORY, HISTORY_TOKENS = 512, 2, 128
+BUDGET, HISTORY, HISTORY_TOKENS = 2048, 2, 512
+FRAME = 12  # bytes of <|+|><|end|>, the template around a turn
 PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -43,9 +46,10 @@ def unescape(col) -> F.Column:
     return col
 
 
-def token_count(col) -> F.Column:
-    """A rough count of tokens: a word is one for each four characters it begins, as is the turn's frame."""
-    return F.ceil(F.length(col) / F.lit(4)).cast("int") + F.lit(4)
+def token_count(text, role, tokens=None) -> F.Column:
+    """A bound on the tokens of a framed turn: its own count if the input has one, else its bytes; the frame by its bytes."""
+    own = F.octet_length(text) if tokens is None else F.coalesce(tokens.cast("int"), F.octet_length(text))
+    return own + F.octet_length(role) + F.lit(FRAME)
 
 
 def _framed(t, repeated: bool) -> F.Column:
@@ -53,12 +57,13 @@ def _framed(t, repeated: bool) -> F.Column:
 
 
 def format_chats(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-                 budget: int = BUDGET, history: int = HISTORY, history_tokens: int = HISTORY_TOKENS) -> DataFrame:
-    """One row for each window: ``conv, window, formatted, loss_spans (start and length in code points), tokens``."""
+                 budget: int = BUDGET, history: int = HISTORY, history_tokens: int = HISTORY_TOKENS, tokens: str | None = None) -> DataFrame:
+    """One row for each window: ``conv, window, formatted, loss_spans (start and length in code points), tokens``.
+    ``tokens`` names a column with the tokens of each text."""
     t = df.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
                   escape_role(F.coalesce(F.col(role), F.lit(""))).alias("role"),
-                  escape(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    t = t.withColumn("tokens", token_count(F.col("text")))
+                  escape(F.coalesce(F.col(text), F.lit(""))).alias("text"), *([F.col(tokens).alias("given")] if tokens else []))
+    t = t.withColumn("tokens", token_count(F.col("text"), F.col("role"), F.col("given") if tokens else None))
     convs = t.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "tokens"))).alias("t"))
     # the system turn is the first turn, if its role says so; it is new once and repeated after that
     convs = convs.select("conv", "t", (F.col("t")[0]["role"] == "system").alias("sys"))

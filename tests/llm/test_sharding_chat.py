@@ -70,8 +70,8 @@ def test_chat_round_trip_with_control_strings(spark):
 
 def test_windows_keep_system_and_budget(spark):
     rows = [(1, 0, "system", "rules")] + [(1, i, "user" if i % 2 else "assistant", "word " * 20) for i in range(1, 12)]
-    windows = sorted(_check(spark, rows, budget=100, history=1, history_tokens=40), key=lambda w: w.window)
-    assert len(windows) > 2 and all(w.tokens <= 100 for w in windows)
+    windows = sorted(_check(spark, rows, budget=400, history=1, history_tokens=130), key=lambda w: w.window)
+    assert len(windows) > 2 and all(w.tokens <= 400 for w in windows)
     assert all(w.formatted.startswith("<|system|>" if w.window == 0 else "<|system+|>") for w in windows)
     assert all(w.formatted.count("+|>") <= 2 for w in windows)
     for w in windows:  # the mask covers new assistant texts only
@@ -79,6 +79,19 @@ def test_windows_keep_system_and_budget(spark):
             assert w.formatted[:s.start].endswith("<|assistant|>") and w.formatted[s.start + s.length:].startswith("<|end|>")
 
 
+def test_windows_hold_no_more_tokens_than_counted(spark):
+    """In scripts with about a token a character and in code, by two byte-level vocabularies."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    texts = ["密码一二三四，你好世界。" * 6, "ขอบคุณครับ " * 9, "for(i=0;i<n;++i){a[i]&=~b[i]<<3;}" * 5, "plain words " * 12, "<|end|>&lt;" * 7]
+    rows = [(1, i, "user" if i % 2 else "assistant", t) for i, t in enumerate(texts * 4)]
+    windows = _check(spark, rows, budget=700, history=1, history_tokens=250)
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert len(windows) > 3 and all(len(t.encode(w.formatted).ids) <= w.tokens <= 700 for w in windows)
+    df = spark.createDataFrame([(*r, 20) for r in rows], "conv_id long, turn long, role string, text string, n int")
+    assert chat.format_chats(df, budget=700, tokens="n").count() < len(windows)       # true counts pack more turns
+
+
 def test_op8_on_the_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)]
