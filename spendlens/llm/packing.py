@@ -3,7 +3,7 @@
 Every document is tokenised once and ended with ``END``; longer ones are cut at ``SEQUENCE`` ids. The
 pieces, with their ids, are written to the shared folder. The histogram of piece lengths (one row for
 each length up to ``SHORT`` and for each ``UNIT`` ids beyond, so at most ``SHORT + SEQUENCE / UNIT`` rows) comes to the driver, where a linear
-program over patterns of classes is solved: a knapsack by dynamic programming prices new patterns
+program over patterns of classes is solved, one for short and one for longer pieces: a knapsack by dynamic programming prices new patterns
 until none improves. Patterns are rounded down, the rest is packed first-fit decreasing. The pieces
 of a class are ranked (rank inside a salt plus the salt's offset, so no class meets in one task), the
 ranks are dealt to the patterns' slots, and prefix sums inside a sequence give the offsets.
@@ -167,6 +167,13 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     return out
 
 
+def plans(histogram: dict[int, int], sequence: int, unit: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns of the short classes, exact to the id, and of the others, whose program counts in units: each is small."""
+    short = {w: n for w, n in histogram.items() if w <= SHORT}
+    long_ = plan({w // unit: n for w, n in histogram.items() if w > SHORT}, sequence // unit)
+    return [({w * unit: c for w, c in p.items()}, times) for p, times in long_] + plan(short, sequence)
+
+
 def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each class the first rank of each run of slots, and the sequence that takes that rank; the next rank takes the next one."""
     runs: dict[int, list[tuple[int, int]]] = {}
@@ -191,7 +198,7 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE, unit: int = UNIT) -> DataF
     per_salt = pieces.select(width,
                              F.pmod(F.xxhash64(F.shiftright("piece", 12)), F.lit(SALTS)).cast("int").alias("salt")).groupBy("width", "salt").count()
     histogram = {r["width"]: r["n"] for r in per_salt.groupBy("width").agg(F.sum("count").alias("n")).collect()}  # a row for each class
-    dealt = slots(plan(histogram, sequence))
+    dealt = slots(plans(histogram, sequence, unit))
     before = Window.partitionBy("width").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     first = per_salt.select("width", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     ranked = (rows.withColumn("at", F.row_number().over(Window.partitionBy("width", "salt").orderBy("piece")) - 1)
