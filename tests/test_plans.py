@@ -124,8 +124,7 @@ def test_no_hint_for_a_large_spatial_index(spark):
 
 
 def test_newest_snapshot_is_a_literal_partition_filter(spark, tmp_dir):
-    from spendlens.sources.sinks import write_snapshot
-    from spendlens.sources.snapshots import latest_snapshot
+    from spendlens.sources.snapshots import latest_snapshot, write_snapshot
     for day, n in (("2024-01-01", 3), ("2024-02-01", 5)):
         write_snapshot(spark.range(n), f"{tmp_dir}/snap", day)
     df = latest_snapshot(spark.read.parquet(f"{tmp_dir}/snap"))
