@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans depend on. Timestamps and dates must not move with the
@@ -64,7 +65,7 @@ def tune_session(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_SQL_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # a locked conf on a managed cluster stays as it is
+        except AnalysisException:  # a locked conf on a managed cluster stays as it is
             pass
     return spark
 
