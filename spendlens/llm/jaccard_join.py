@@ -12,16 +12,15 @@ frequent words (zeros counted first): of s + 1 or more common words the rarest i
 of neither set, so no similar pair is lost, while words made of boilerplate alone no longer bring strangers
 together.
 
-How frequent a word is, is told by a table of ``SLOTS`` counters over the words of all texts: it is only an order, so
-counters that several words share lose no pair, and the words are left out before anything is shuffled.
+The most frequent words of all are told by a table of ``SLOTS`` counters over the words of all texts and left out before
+anything is shuffled; the others are ranked by exact counts. That is one order of all words, so no pair is lost.
 
-Sets that share a kept key are candidates. Every set first meets, beside others of its kind, the least set of the
-group with which it shares most keys, in tasks of at most ``STAR`` sets (a hot group is dealt to many tasks), where
-sizes, then bits, then the shingles themselves decide. Links found so far make components; a key all of whose sets lie in
-one component is settled. The sets of the other keys are linked to the least of them; the connected components of
-these links are families. A family's sets meet in blocks of at most ``BLOCK_BYTES``, each pair of blocks in one task. A
-pair that verified links already connect needs no test, so the links that leave a task are a spanning forest, not all
-pairs. Equal sets are one node from the start.
+Sets that share a kept key are candidates; keys with the same sets are one group. A group's sets meet as sketches of
+some bits for each difference allowed (narrower ones are folds of wider ones), and sizes and Hamming distances leave a spanning forest
+of the pairs that may be similar; a group beyond ``GROUP`` sets meets in blocks. The connected components of these pairs are families: only their
+texts are read once more. A family's sets meet in blocks of at most ``BLOCK_BYTES``, each pair of blocks in one task, where the
+shingles themselves decide. A pair that verified links already connect needs no test, so the links that leave a task are a
+spanning forest, not all pairs. Equal sets are one node from the start.
 
 Edge cases: a text without words has an empty set, is linked with nothing and is its own component; with
 fewer than ``n`` words the whole sequence is one shingle; null ids take part, and a component's id is its
@@ -46,7 +45,7 @@ from .components import components
 
 N, PERCENT = 4, 85
 BLOCK_BYTES = 32 << 20
-STAR = 512
+GROUP = 4096
 SLICES, SLICE = 64, 1 << 16
 SLOTS = SLICES * SLICE
 MAX_BROADCAST = 1_000_000
@@ -121,21 +120,35 @@ def slots_of(k: np.ndarray) -> np.ndarray:
     return (k & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def kept_keys(s: np.ndarray, percent: int, often: np.ndarray) -> np.ndarray:
-    """The set's keys without the most frequent ones that may be left out; ``often`` orders keys, equal ones by value."""
-    out = [np.zeros(0, np.uint64)]
-    for _, leave, k in keys(s, percent):
-        out.append(k[np.lexsort((k, often[slots_of(k)]))][:len(k) - leave if leave else None])
-    return np.concatenate(out)
+def kept_keys(s: np.ndarray, percent: int, often: np.ndarray, hot: int) -> list[tuple[int, int, np.ndarray]]:
+    """The set's keys (as ``keys``) without hot ones, as far as they may be left out: the most frequent first, of equal ones by value."""
+    out = []
+    for table_, leave, k in keys(s, percent):
+        counts = often[slots_of(k)].astype(np.int64)
+        now = min(leave, int((counts > hot).sum()))
+        out.append((table_, leave - now, k[np.lexsort((k, -counts))][now:]))
+    return out
+
+
+def bit_words(size: int, percent: int) -> int:
+    """Words of the sketch a set is compared by: a power of two, 8 bits or more for each difference allowed."""
+    return 1 << max(2, (most_different(size, size, percent) // 8).bit_length())
+
 
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of fewer words: neighbours are XORed until ``words`` are left."""
+    while len(bits) > words:
+        bits = bits[::2] ^ bits[1::2]
+    return bits
 
-def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, often) -> Iterator[pd.DataFrame]:
-    hashes, often = WordHashes(), often.value
+
+def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) -> Iterator[pd.DataFrame]:
+    hashes, (often, hot) = WordHashes(), table_.value
     out, held, seen = [], 0, set()
 
     def frame() -> pd.DataFrame:
-        node, key = (np.concatenate(x) for x in zip(*out))
-        return pd.DataFrame({"node": node, "key": key})
+        node, key, tag = (np.concatenate(x) for x in zip(*out))
+        return pd.DataFrame({"node": node, "key": key, "tag": tag})
 
     for b in batches:
         for text in b["text"]:
@@ -146,9 +159,9 @@ def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, often) -> I
             if len(seen) > 1_000_000:
                 seen.clear()
             seen.add(node)
-            k = kept_keys(s, percent, often)
-            out.append((np.full(len(k), node), k.view(np.int64)))
-            held += len(k)
+            for which, leave, k in kept_keys(s, percent, often, hot):
+                out.append((np.full(len(k), node), k.view(np.int64), np.full(len(k), leave * 4 + which, np.int32)))
+                held += len(k)
             if held > 500_000:
                 yield frame()
                 out, held = [], 0
@@ -168,29 +181,80 @@ def _node_rows(batches: Iterator[pd.DataFrame], n: int, percent: int) -> Iterato
         # never by way of floats, which would round the hashes of a batch that holds a null
         node = pd.arrays.IntegerArray(np.array([node_of(s) if len(s) else 0 for s in sets], np.int64), empty)
         none = pd.arrays.IntegerArray(np.zeros(len(b), np.int32), np.ones(len(b), bool))
-        yield pd.DataFrame({"id": b["id"], "n_shingles": [len(s) for s in sets], "node": node, "slice": none, "counts": None})
+        bits = [sketch(s, bit_words(len(s), percent)).astype("<u8").tobytes() if len(s) else None for s in sets]
+        yield pd.DataFrame({"id": b["id"], "n_shingles": [len(s) for s in sets], "node": node, "slice": none, "bits": bits})
     if counts.any():
         null = pd.arrays.IntegerArray(np.zeros(SLICES, np.int64), np.ones(SLICES, bool))
         packed = [np.minimum(c, 2**32 - 1).astype("<u4").tobytes() for c in counts.reshape(SLICES, SLICE)]
-        yield pd.DataFrame({"id": null, "n_shingles": null, "node": null, "slice": np.arange(SLICES, dtype=np.int32), "counts": packed})
+        yield pd.DataFrame({"id": null, "n_shingles": null, "node": null, "slice": np.arange(SLICES, dtype=np.int32), "bits": packed})
 
 
 def _slice_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The sum of each slice, as eighths of a binary order of magnitude."""
     sums: dict[int, np.ndarray] = {}
     for b in batches:
-        for k, c in zip(b["slice"], b["counts"]):
+        for k, c in zip(b["slice"], b["bits"]):
             sums[k] = sums.get(k, np.zeros(SLICE, np.int64)) + np.frombuffer(c, "<u4")
     code = [np.minimum(255, 4 * np.log2(1 + v)).astype(np.uint8).tobytes() for v in sums.values()]
     yield pd.DataFrame({"slice": np.array(list(sums), np.int32), "code": code})
 
 
-def frequency(counts: DataFrame) -> np.ndarray:
-    """How frequent the keys of each counter are: SLOTS bytes (4 MiB), whatever the size of the input."""
+def frequency(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """How frequent the keys of each counter are (SLOTS bytes, 4 MiB, whatever the size of the input) and beyond which such number a key is hot."""
     often = np.zeros((SLICES, SLICE), np.uint8)
     for r in counts.repartition("slice").mapInPandas(_slice_sums, "slice int, code binary").collect():
         often[r["slice"]] = np.frombuffer(r["code"], np.uint8)
-    return often.reshape(-1)
+    mean = float((2.0 ** (often / 4.0) - 1).mean())
+    return often.reshape(-1), int(4 * np.log2(1 + 32 + 8 * mean))
+
+
+def near_forest(nodes: np.ndarray, sizes: np.ndarray, bits: list[bytes], sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Pairs that connect all pairs whose sizes and sketches allow them to be similar; with ``sides``, of those between two sides."""
+    order = np.argsort(sizes, kind="stable")
+    nodes, sizes = nodes[order], sizes[order]
+    found = [np.frombuffer(bits[k], "<u8") for k in order]
+    words = min(map(len, found))
+    found = np.stack([fold(x, words) for x in found])
+    side = sides[order] if sides is not None else None
+    group, out = np.arange(len(order)), []
+    for i in range(1, len(order)):
+        rows = np.flatnonzero((group[:i] != group[i]) & (100 * sizes[:i] >= percent * sizes[i]))
+        if side is not None:
+            rows = rows[side[rows] != side[i]]
+        if len(rows) == 0:
+            continue
+        far = np.bitwise_count(found[rows] ^ found[i]).sum(axis=1)
+        for j in rows[far * (100 + percent) <= (100 - percent) * (sizes[rows] + sizes[i])]:
+            if group[j] != group[i]:
+                out.append((int(nodes[i]), int(nodes[j])))
+                group[group == group[j]] = group[i]
+    return out
+
+
+def _near_rows(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """``near_forest`` of each run of equal (sig, i, j); rows come sorted, a run may span batches."""
+    held = None
+
+    def pairs(b: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        node, size, bits = b["node"].to_numpy(), b["size"].to_numpy(), b["bits"].tolist()
+        i, j, block = b["i"].to_numpy(), b["j"].to_numpy(), b["block"].to_numpy()
+        out = []
+        for x, y in zip(starts, [*starts[1:], len(b)]):
+            if y - x > 1:
+                out += near_forest(node[x:y], size[x:y], bits[x:y], None if i[x] == j[x] else block[x:y] == j[x], percent)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    for b in batches:
+        if held is not None:
+            b = pd.concat([held, b], ignore_index=True)
+        at = b[["sig", "i", "j"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(axis=1)]) if len(b) else np.zeros(0, int)
+        if len(starts) > 1:
+            yield pairs(b.iloc[:starts[-1]], starts[:-1])
+            b = b.iloc[starts[-1]:]
+        held = b
+    if held is not None and len(held):
+        yield pairs(held, np.zeros(1, int))
 
 
 def _set_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
@@ -198,17 +262,17 @@ def _set_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]
     for b in batches:
         sets = [shingle_set(hashes, t, n) for t in b["text"]]
         right = [len(s) > 0 and node_of(s) == k for s, k in zip(sets, b["node"])]
-        yield pd.DataFrame({"node": b["node"], "shingles": [s.astype("<u8").tobytes() for s in sets]})[right]
+        yield pd.DataFrame({"family": b["family"], "node": b["node"], "blocks": b["blocks"], "shingles": [s.astype("<u8").tobytes() for s in sets]})[right]
 
 
-def linked(nodes: list[int], sets: list[np.ndarray], sides: list[int] | None, percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the similar pairs; with ``sides``, of those between side 0 and side 1 only; sets of one label are connected already."""
+def linked(nodes: list[int], sets: list[np.ndarray], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the similar pairs; with ``sides``, of those between side 0 and side 1 only."""
     order = sorted(range(len(sets)), key=lambda k: len(sets[k]))
     sizes = np.array([len(sets[k]) for k in order])
     words = max(4, most_different(int(sizes[-1]), int(sizes[-1]), percent) // 8 + 1)
     bits = np.stack([sketch(sets[k], words) for k in order])
     side = np.array([sides[k] for k in order]) if sides else None
-    group = np.unique([labels[k] for k in order], return_inverse=True)[1] if labels else np.arange(len(order))
+    group = np.arange(len(order))
     out = []
     first = 0
     for i in range(1, len(order)):
@@ -232,65 +296,56 @@ def linked(nodes: list[int], sets: list[np.ndarray], sides: list[int] | None, pe
     return out
 
 
-def links(docs: DataFrame, rows: DataFrame, often: np.ndarray, key: str, text: str, n: int = N, percent: int = PERCENT) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, often: tuple[np.ndarray, int], key: str, text: str, n: int = N, percent: int = PERCENT) -> DataFrame:
     """(a, b): verified links between nodes that connect exactly what similar pairs connect."""
     table_ = docs.sparkSession.sparkContext.broadcast(often)
-    found = docs.select(F.col(text).alias("text")).mapInPandas(lambda it: _key_rows(it, n, percent, table_), "node long, key long")
+    found = docs.select(F.col(text).alias("text")).mapInPandas(lambda it: _key_rows(it, n, percent, table_), "node long, key long, tag int")
+    # keys that several sets hold, and how many; copies count each, only the order matters
     of_key = Window.partitionBy("key")
-    shared = found.withColumn("least", F.min("node").over(of_key)).withColumn("most", F.max("node").over(of_key)).where("least < most").drop("most")
-    shared = written(shared, "jaccard-shared")
-    # the least id of each node that shares a key, to fetch its text
-    least_id = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-    members = written(shared.select("node").distinct().join(least_id, "node"), "jaccard-members")
-    members = F.broadcast(members) if members.count() <= MAX_BROADCAST else members
-    sets = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(members, F.col("doc").eqNullSafe(F.col("id"))).select("node", "text")
-    sets = written(sets.mapInPandas(lambda it: _set_rows(it, n), "node long, shingles binary"), "jaccard-sets")
-
-    # each node beside the least node with which it shares most keys
-    stars = shared.where("node <> least").groupBy("node", "least").agg(F.count("*").alias("keys"))
-    stars = stars.groupBy("node").agg(F.max(F.struct("keys", "least"))["least"].alias("star"))
-    sizes = stars.groupBy("star").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
-    dealt = stars.join(sizes, "star").select("star", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node")
-    dealt = dealt.unionByName(sizes.select("star", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("star").alias("node")))
-
-    def verify_star(star: pd.DataFrame) -> pd.DataFrame:
-        star = star.drop_duplicates("node")
-        return pd.DataFrame(linked(star["node"].tolist(), [np.frombuffer(x, "<u8") for x in star["shingles"]], None, percent), columns=["a", "b"], dtype="int64")
-
-    near = written(dealt.join(sets, "node").groupBy("star", "part").applyInPandas(verify_star, "a long, b long"), "jaccard-near")
-    joined = components(near, "a", "b")
-
-    # keys whose nodes are not all connected: their nodes meet once more, whole families in blocks
-    named = shared.select("node", "key").join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    open_ = named.withColumn("low", F.min("label").over(of_key)).withColumn("high", F.max("label").over(of_key)).withColumn("least", F.min("node").over(of_key)).where("low < high")
-    open_ = written(open_.select("node", "label", "least").distinct(), "jaccard-open")
-    families = components(open_.where("node <> least").select("node", "least"), "node", "least").withColumnRenamed("component", "family")
-    members = families.join(open_.select("node", "label").distinct(), "node").join(sets, "node")
-    blocks = members.groupBy("family").agg(F.ceil(F.sum(F.length("shingles")) / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))
+    shared = found.withColumn("often", F.count("*").over(of_key)).withColumn("least", F.min("node").over(of_key)).withColumn("most", F.max("node").over(of_key))
+    rank = F.dense_rank().over(Window.partitionBy("node", "tag").orderBy(F.desc("often"), "key"))
+    rare = shared.where("least < most").select("node", "key", "tag", "often").withColumn("rank", rank).where(F.col("rank") > F.shiftright("tag", 2))
+    rare = rare.select("node", "key").distinct()
+    groups = rare.withColumn("sig", F.xxhash64(F.count("*").over(of_key), F.bit_xor(F.xxhash64("node")).over(of_key), F.min("node").over(of_key)))
+    groups = written(groups.select("sig", "node").distinct(), "jaccard-groups")
+    blocks = groups.groupBy("sig").agg(F.count("*").alias("held"), F.ceil(F.count("*") / GROUP).cast("int").alias("blocks")).where("held > 1").drop("held")
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     mates = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         F.least(block, o).alias("i"), F.greatest(block, o).alias("j")))
-    dealt = members.join(blocks, "family").select("family", "node", "label", "shingles", block.alias("block"), F.explode(mates).alias("m"))
-    dealt = dealt.select("family", "m.i", "m.j", "block", "node", "label", "shingles")
+    dealt = groups.join(blocks, "sig").select("sig", "node", block.alias("block"), F.explode(mates).alias("m"))
+    dealt = dealt.join(nodes.select("node", "size", "bits"), "node").select("sig", "m.i", "m.j", "block", "node", "size", "bits")
+    near = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInPandas(lambda it: _near_rows(it, percent), "a long, b long")
+    families = components(near, "a", "b").withColumnRenamed("component", "family")
+
+    # the texts of the families' sets, in blocks
+    members = families.join(nodes.select("node", "id", "size"), "node")
+    sizes = members.groupBy("family").agg(F.ceil(F.sum("size") * 8 / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))
+    members = written(members.join(sizes, "family").select("node", "family", "blocks", "id"), "jaccard-members")
+    few = members.count() <= MAX_BROADCAST
+    candidates = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(
+        F.broadcast(members) if few else members, F.col("doc").eqNullSafe(F.col("id"))).select("family", "node", "blocks", "text")
+    sets = candidates.mapInPandas(lambda it: _set_rows(it, n), "family long, node long, blocks int, shingles binary")
+    dealt = sets.select("family", "node", "shingles", block.alias("block"), F.explode(mates).alias("m")).select("family", "m.i", "m.j", "block", "node", "shingles")
 
     def verify(block_pair: pd.DataFrame) -> pd.DataFrame:
         block_pair = block_pair.drop_duplicates("node")
         sets = [np.frombuffer(x, "<u8") for x in block_pair["shingles"]]
         i, j = block_pair["i"].iloc[0], block_pair["j"].iloc[0]
         sides = None if i == j else [int(x == j) for x in block_pair["block"]]
-        return pd.DataFrame(linked(block_pair["node"].tolist(), sets, sides, percent, block_pair["label"].tolist()), columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(linked(block_pair["node"].tolist(), sets, sides, percent), columns=["a", "b"], dtype="int64")
 
-    return near.unionByName(written(dealt.groupBy("family", "i", "j").applyInPandas(verify, "a long, b long"), "jaccard-links"))
+    return written(dealt.groupBy("family", "i", "j").applyInPandas(verify, "a long, b long"), "jaccard-links")
 
 
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id): the size of each row's set and its class."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(
-        lambda it: _node_rows(it, n, percent), "id long, n_shingles long, node long, slice int, counts binary")
+        lambda it: _node_rows(it, n, percent), "id long, n_shingles long, node long, slice int, bits binary")
     rows = written(rows, "jaccard-nodes")
-    often = frequency(rows.where("slice is not null").select("slice", "counts"))
-    rows = rows.where("slice is null").select("id", "n_shingles", "node")
+    often = frequency(rows.where("slice is not null").select("slice", "bits"))
+    rows = rows.where("slice is null").select("id", "n_shingles", "node", "bits")
     pairs = links(docs, rows, often, key, text, n, percent)
     named = components(pairs, "a", "b")
     # of each different set the least id, then of each component
