@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import mix, shingle_hashes, ship, table, words_of, written, WordHashes
+from .common import mix, nullable, shingle_hashes, ship, table, words_of, written, WordHashes
 from .components import components
 
 N, PERCENT = 4, 85
@@ -205,7 +205,7 @@ def frequency(counts: DataFrame) -> tuple[np.ndarray, int]:
     for r in counts.repartition("slice").mapInPandas(_slice_sums, "slice int, code binary").collect():
         often[r["slice"]] = np.frombuffer(r["code"], np.uint8)
     mean = float((2.0 ** (often / 4.0) - 1).mean())
-    return often.reshape(-1), int(4 * np.log2(1 + 32 + 8 * mean))
+    return often.reshape(-1), int(4 * np.log2(1 + 8 + 2 * mean))
 
 
 def near_forest(nodes: np.ndarray, sizes: np.ndarray, bits: list[bytes], sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
@@ -338,8 +338,8 @@ def links(docs: DataFrame, rows: DataFrame, often: tuple[np.ndarray, int], key:
     return written(dealt.groupBy("family", "i", "j").applyInPandas(verify, "a long, b long"), "jaccard-links")
 
 
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id): the size of each row's set and its class."""
+def classified(docs: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
+    """(id, n_shingles, node, component_id) of each row; the node is null where the set is empty."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(
         lambda it: _node_rows(it, n, percent), "id long, n_shingles long, node long, slice int, bits binary")
@@ -352,21 +352,46 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     least = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     least = least.join(named, "node", "left")
     of_component = least.where("component is not null").groupBy("component").agg(F.min("least").alias("component_least"))
-    least = least.join(of_component, "component", "left").select("node", F.coalesce("component_least", "least").alias("component_id"))
-    out = rows.join(least, "node", "left")
+    least = least.join(of_component, "component", "left").select(
+        "node", F.coalesce("component", "node").alias("component"), F.coalesce("component_least", "least").alias("component_id"))
+    return rows.select("id", "n_shingles", "node").join(least, "node", "left")
+
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id): the size of each row's set and its class."""
+    out = classified(docs, key, text, n, percent)
     return out.select(F.col("id").alias(key), "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _node_column(n: int):
+    @F.pandas_udf("long")
+    def node(texts: pd.Series) -> pd.Series:
+        hashes = WordHashes()
+        sets = [shingle_set(hashes, t, n) for t in texts]
+        return pd.Series(nullable([node_of(s) if len(s) else None for s in sets]))
+    return node
+
+
 def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component of sets of ``n`` words, similar from ``percent`` hundredths on: the one of the least id (nulls last; of equal ids any one). All columns
-    unchanged; rows without words are kept. The rows are numbered and written first, so repeated rows and ids are told apart."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = written(docs.select(F.monotonically_increasing_id().alias("n"), whole), "jaccard-rows")
-    classes = similar_components(rows.select("n", F.col("row")[text].alias("text")), "n", "text", n, percent).where("n_shingles > 0")
-    classes = classes.join(rows.select("n", F.col("row")[key].alias("id")), "n")
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n"))["n"].alias("n")
-    losers = written(classes.join(classes.groupBy("component_id").agg(best).select("n"), "n", "left_anti").select("n"), "jaccard-losers")
-    return rows.join(F.broadcast(losers) if losers.count() <= MAX_BROADCAST else losers, "n", "left_anti").select("row.*")
+    unchanged; rows without words are kept. Only rows whose id some lost row has are looked at again; the texts of the others are neither written nor moved."""
+    classes = classified(docs, key, text, n, percent).where("node is not null").groupBy("component", "id", "node").agg(F.count("*").alias("rows"))
+    best = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("best"))
+    best = best.select(F.col("component").alias("c"), "best.id", "best.node").select("c", F.col("id").alias("best_id"), F.col("node").alias("best_node"))
+    stays = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("node") == F.col("best_node"))
+    touched = written(classes.join(best, F.col("component") == F.col("c")).withColumn("stays", stays).where("not stays or rows > 1")
+                      .select("id", "node", "stays"), "jaccard-touched")
+    losers, ids = touched.where("not stays").select("id", "node"), touched.select("id").distinct()
+    if touched.count() <= MAX_BROADCAST:
+        losers, ids = F.broadcast(losers), F.broadcast(ids)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").cast("long").alias("doc"))
+    same = F.col("doc").eqNullSafe(F.col("id"))
+    unlike = rows.join(ids, same, "left_anti").select("row")
+    again = rows.join(ids, same, "left_semi").withColumn("kind", _node_column(n)(F.col("row")[text]))
+    again = again.join(losers, same & F.col("kind").eqNullSafe(F.col("node")), "left_anti")
+    empty = again.where("kind is null").select("row")
+    one = again.where("kind is not null").groupBy("doc", "kind").agg(F.first("row").alias("row")).select("row")
+    return unlike.unionByName(empty).unionByName(one).select("row.*")
 
 
 def op4_jaccard(spark, sf_dir: str) -> DataFrame:
