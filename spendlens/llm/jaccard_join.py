@@ -46,7 +46,7 @@ from .components import components
 N, PERCENT = 4, 85
 BLOCK_BYTES = 32 << 20
 GROUP = 4096
-SLICES, SLICE = 64, 1 << 16
+SLICES, SLICE = 32, 1 << 16
 SLOTS = SLICES * SLICE
 MAX_BROADCAST = 1_000_000
 
@@ -171,22 +171,24 @@ def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) ->
 
 def _node_rows(batches: Iterator[pd.DataFrame], n: int, percent: int) -> Iterator[pd.DataFrame]:
     """One row for each text, then the task's counters of keys, a row for each slice."""
-    hashes, counts = WordHashes(), np.zeros(SLOTS, np.int64)
+    hashes, counts = WordHashes(), np.zeros(SLOTS, np.uint32)
     for b in batches:
-        sets = [shingle_set(hashes, t, n) for t in b["text"]]
-        for s in sets:
+        size, node, bits = [], [], []
+        for t in b["text"]:  # one set at a time, so a batch of long texts stays small
+            s = shingle_set(hashes, t, n)
             for _, _, k in keys(s, percent):
-                np.add.at(counts, slots_of(k), 1)
-        empty = np.array([len(s) == 0 for s in sets], bool)
+                at, more = np.unique(slots_of(k), return_counts=True)
+                counts[at] += np.minimum(more, 2**32 - 1 - counts[at]).astype(np.uint32)
+            size.append(len(s))
+            node.append(node_of(s) if len(s) else None)
+            bits.append(sketch(s, bit_words(len(s), percent)).astype("<u8").tobytes() if len(s) else None)
         # never by way of floats, which would round the hashes of a batch that holds a null
-        node = pd.arrays.IntegerArray(np.array([node_of(s) if len(s) else 0 for s in sets], np.int64), empty)
         none = pd.arrays.IntegerArray(np.zeros(len(b), np.int32), np.ones(len(b), bool))
-        bits = [sketch(s, bit_words(len(s), percent)).astype("<u8").tobytes() if len(s) else None for s in sets]
-        yield pd.DataFrame({"id": b["id"], "n_shingles": [len(s) for s in sets], "node": node, "slice": none, "bits": bits})
-    if counts.any():
-        null = pd.arrays.IntegerArray(np.zeros(SLICES, np.int64), np.ones(SLICES, bool))
-        packed = [np.minimum(c, 2**32 - 1).astype("<u4").tobytes() for c in counts.reshape(SLICES, SLICE)]
-        yield pd.DataFrame({"id": null, "n_shingles": null, "node": null, "slice": np.arange(SLICES, dtype=np.int32), "bits": packed})
+        yield pd.DataFrame({"id": b["id"], "n_shingles": size, "node": nullable(node), "slice": none, "bits": bits})
+    null = nullable([None])
+    for k in range(SLICES if counts.any() else 0):
+        packed = counts[k * SLICE:(k + 1) * SLICE].astype("<u4").tobytes()
+        yield pd.DataFrame({"id": null, "n_shingles": null, "node": null, "slice": np.array([k], np.int32), "bits": [packed]})
 
 
 def _slice_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
