@@ -22,7 +22,18 @@ from spendlens.llm import decontaminate, jaccard_join, langid, packing, pii
 from spendlens.llm.common import table, written
 
 
+TEXTS_PER_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts travel to Python workers in batches of ``TEXTS_PER_BATCH`` rows at most, so a batch of long texts stays small there and in Arrow's buffers; a smaller setting is kept."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "0")) <= TEXTS_PER_BATCH:
+        spark.conf.set(name, str(TEXTS_PER_BATCH))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return langid.keep_identified(docs)
 
 
@@ -30,6 +41,7 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_join.keep_representatives(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
@@ -38,11 +50,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     out = pii.replace_private(docs, into=None)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.placements(docs)
 
 
