@@ -12,8 +12,8 @@ frequent words (zeros counted first): of s + 1 or more common words the rarest i
 of neither set, so no similar pair is lost, while words made of boilerplate alone no longer bring strangers
 together.
 
-The most frequent words of all are told by a table of ``SLOTS`` counters over the words of all texts and left out before
-anything is shuffled; the others are ranked by exact counts. That is one order of all words, so no pair is lost.
+How frequent a word is tells a table of ``SLOTS`` counters over the words of all texts; words that share a counter are in order of
+their value. That is one order of all words, so no pair is lost, and the words left out are never shuffled.
 
 Sets that share a kept key are candidates; keys with the same sets are one group. A group's sets meet as sketches of
 some bits for each difference allowed (narrower ones are folds of wider ones), and sizes and Hamming distances leave a spanning forest
@@ -120,14 +120,9 @@ def slots_of(k: np.ndarray) -> np.ndarray:
     return (k & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def kept_keys(s: np.ndarray, percent: int, often: np.ndarray, hot: int) -> list[tuple[int, int, np.ndarray]]:
-    """The set's keys (as ``keys``) without hot ones, as far as they may be left out: the most frequent first, of equal ones by value."""
-    out = []
-    for table_, leave, k in keys(s, percent):
-        counts = often[slots_of(k)].astype(np.int64)
-        now = min(leave, int((counts > hot).sum()))
-        out.append((table_, leave - now, k[np.lexsort((k, -counts))][now:]))
-    return out
+def kept_keys(s: np.ndarray, percent: int, often: np.ndarray) -> list[np.ndarray]:
+    """The set's keys (as ``keys``) without those that may be left out: the ones of the fullest counters, of equal ones the least."""
+    return [k[np.lexsort((k, -often[slots_of(k)].astype(np.int64)))][leave:] for _, leave, k in keys(s, percent)]
 
 
 def bit_words(size: int, percent: int) -> int:
@@ -143,12 +138,12 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) -> Iterator[pd.DataFrame]:
-    hashes, (often, hot) = WordHashes(), table_.value
+    hashes, often = WordHashes(), table_.value
     out, held, seen = [], 0, set()
 
     def frame() -> pd.DataFrame:
-        node, key, tag = (np.concatenate(x) for x in zip(*out))
-        return pd.DataFrame({"node": node, "key": key, "tag": tag})
+        node, key = (np.concatenate(x) for x in zip(*out))
+        return pd.DataFrame({"node": node, "key": key})
 
     for b in batches:
         for text in b["text"]:
@@ -159,8 +154,8 @@ def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) ->
             if len(seen) > 1_000_000:
                 seen.clear()
             seen.add(node)
-            for which, leave, k in kept_keys(s, percent, often, hot):
-                out.append((np.full(len(k), node), k.view(np.int64), np.full(len(k), leave * 4 + which, np.int32)))
+            for k in kept_keys(s, percent, often):
+                out.append((np.full(len(k), node), k.view(np.int64)))
                 held += len(k)
             if held > 500_000:
                 yield frame()
@@ -201,13 +196,12 @@ def _slice_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"slice": np.array(list(sums), np.int32), "code": code})
 
 
-def frequency(counts: DataFrame) -> tuple[np.ndarray, int]:
-    """How frequent the keys of each counter are (SLOTS bytes, 4 MiB, whatever the size of the input) and beyond which such number a key is hot."""
+def frequency(counts: DataFrame) -> np.ndarray:
+    """How frequent the keys of each counter are (SLOTS bytes, 2 MiB, whatever the size of the input)."""
     often = np.zeros((SLICES, SLICE), np.uint8)
     for r in counts.repartition("slice").mapInPandas(_slice_sums, "slice int, code binary").collect():
         often[r["slice"]] = np.frombuffer(r["code"], np.uint8)
-    mean = float((2.0 ** (often / 4.0) - 1).mean())
-    return often.reshape(-1), int(4 * np.log2(1 + 8 + 2 * mean))
+    return often.reshape(-1)
 
 
 def near_forest(nodes: np.ndarray, sizes: np.ndarray, bits: list[bytes], sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
@@ -298,17 +292,15 @@ def linked(nodes: list[int], sets: list[np.ndarray], sides: list[int] | None, pe
     return out
 
 
-def links(docs: DataFrame, rows: DataFrame, often: tuple[np.ndarray, int], key: str, text: str, n: int = N, percent: int = PERCENT) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, often: np.ndarray, key: str, text: str, n: int = N, percent: int = PERCENT) -> DataFrame:
     """(a, b): verified links between nodes that connect exactly what similar pairs connect."""
     table_ = docs.sparkSession.sparkContext.broadcast(often)
-    found = docs.select(F.col(text).alias("text")).mapInPandas(lambda it: _key_rows(it, n, percent, table_), "node long, key long, tag int")
-    # keys that several sets hold, and how many; copies count each, only the order matters
+    found = docs.select(F.col(text).alias("text")).mapInPandas(lambda it: _key_rows(it, n, percent, table_), "node long, key long")
+    # of keys that several sets hold, those with the same sets are one group
     of_key = Window.partitionBy("key")
-    shared = found.withColumn("often", F.count("*").over(of_key)).withColumn("least", F.min("node").over(of_key)).withColumn("most", F.max("node").over(of_key))
-    rank = F.dense_rank().over(Window.partitionBy("node", "tag").orderBy(F.desc("often"), "key"))
-    rare = shared.where("least < most").select("node", "key", "tag", "often").withColumn("rank", rank).where(F.col("rank") > F.shiftright("tag", 2))
-    rare = rare.select("node", "key").distinct()
-    groups = rare.withColumn("sig", F.xxhash64(F.count("*").over(of_key), F.bit_xor(F.xxhash64("node")).over(of_key), F.min("node").over(of_key)))
+    shared = found.withColumn("least", F.min("node").over(of_key)).withColumn("most", F.max("node").over(of_key)).withColumn(
+        "sig", F.xxhash64(F.count("*").over(of_key), F.bit_xor(F.xxhash64("node")).over(of_key), F.min("node").over(of_key)))
+    groups = shared.where("least < most")
     groups = written(groups.select("sig", "node").distinct(), "jaccard-groups")
     blocks = groups.groupBy("sig").agg(F.count("*").alias("held"), F.ceil(F.count("*") / GROUP).cast("int").alias("blocks")).where("held > 1").drop("held")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))

@@ -103,6 +103,23 @@ def test_similar_sets_share_a_key():
                 assert any(len(k & m) > max(g, h) for g, k in x for h, m in y), (n, drop)
 
 
+def test_left_out_keys_are_not_shuffled():
+    """Of P = D + 1 + s keys D + 1 stay, whatever the counters say, and pairs at the threshold still share one of them."""
+    rng = np.random.default_rng(3)
+    often = rng.integers(0, 30, j.SLOTS).astype(np.uint8)
+    for n in [*range(7, 60), 100, 333, 1000, 5000]:
+        for percent in (80, 85):
+            a = np.unique(rng.integers(0, 2**64 - 1, n, dtype=np.uint64))
+            kept = j.kept_keys(a, percent, often)
+            for (which, leave, k), stays in zip(j.keys(a, percent), kept):
+                words, spare = j.words_in(j.band_of(len(a), percent) - (which % 2 == 0), percent)
+                assert len(stays) == len(k) - leave and (which > 1 or len(stays) <= words - spare)
+            b = a[np.sort(rng.permutation(len(a))[int(rng.integers(0, 1 + len(a) * (100 - percent) // 100)):])]
+            if len(b) and 100 * len(b) >= percent * len(a) and len(b) < len(a):
+                mine, others = (set(np.concatenate(x).tolist()) for x in (kept, j.kept_keys(b, percent, often)))
+                assert mine & others, (n, percent)
+
+
 def test_node_tells_sets_apart():
     h = WordHashes()
     assert j.node_of(j.shingle_set(h, "a b c d e")) == j.node_of(j.shingle_set(h, "A  b c\nd E"))
