@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendlens.operators import deobligations as deob
+from spendlens.sources import colocated
 from spendlens.sources.colocated import CoLocated
 
 TXN = "id int, recipient_uei string, award_key string, city_label string, fy int, amount decimal(18,2)"
@@ -97,3 +98,12 @@ def test_opened_again_and_only_when_whole(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/half/buckets")
     with pytest.raises(Exception, match="layout.json"):
         CoLocated.open(spark, f"{tmp_dir}/half")
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 100)
+    for n in (500, 2000, 4000):
+        a = CoLocated.write(txns(spark, n), f"{tmp_dir}/t{n}", "id")
+        assert a.n_buckets == max(8, n // 100) and CoLocated.open(spark, f"{tmp_dir}/t{n}").n_buckets == a.n_buckets
+        assert max(r["count"] for r in a.bucketed.groupBy(F.input_file_name()).count().collect()) < 200
+        assert rows_of(a.read()) == rows_of(txns(spark, n))
