@@ -19,17 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.llm import decontaminate, jaccard_join, langid, packing, pii
-from spendlens.llm.common import table, written
-
-
-TEXTS_PER_BATCH = 1000
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Texts travel to Python workers in batches of ``TEXTS_PER_BATCH`` rows at most, so a batch of long texts stays small there and in Arrow's buffers; a smaller setting is kept."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name, "0")) <= TEXTS_PER_BATCH:
-        spark.conf.set(name, str(TEXTS_PER_BATCH))
+from spendlens.llm.common import small_batches, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
