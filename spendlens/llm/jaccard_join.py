@@ -157,7 +157,7 @@ def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) ->
             for k in kept_keys(s, percent, often):
                 out.append((np.full(len(k), node), k.view(np.int64)))
                 held += len(k)
-            if held > 500_000:
+            if held > 200_000:
                 yield frame()
                 out, held = [], 0
     if out:
@@ -187,20 +187,20 @@ def _node_rows(batches: Iterator[pd.DataFrame], n: int, percent: int) -> Iterato
 
 
 def _slice_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The sum of each slice, as eighths of a binary order of magnitude."""
+    """The sum of each slice, as 64ths of a binary order of magnitude."""
     sums: dict[int, np.ndarray] = {}
     for b in batches:
         for k, c in zip(b["slice"], b["bits"]):
             sums[k] = sums.get(k, np.zeros(SLICE, np.int64)) + np.frombuffer(c, "<u4")
-    code = [np.minimum(255, 4 * np.log2(1 + v)).astype(np.uint8).tobytes() for v in sums.values()]
+    code = [(64 * np.log2(1 + v)).astype("<u2").tobytes() for v in sums.values()]
     yield pd.DataFrame({"slice": np.array(list(sums), np.int32), "code": code})
 
 
 def frequency(counts: DataFrame) -> np.ndarray:
-    """How frequent the keys of each counter are (SLOTS bytes, 2 MiB, whatever the size of the input)."""
-    often = np.zeros((SLICES, SLICE), np.uint8)
+    """How frequent the keys of each counter are (2 * SLOTS bytes, 4 MiB, whatever the size of the input)."""
+    often = np.zeros((SLICES, SLICE), np.uint16)
     for r in counts.repartition("slice").mapInPandas(_slice_sums, "slice int, code binary").collect():
-        often[r["slice"]] = np.frombuffer(r["code"], np.uint8)
+        often[r["slice"]] = np.frombuffer(r["code"], "<u2")
     return often.reshape(-1)
 
 
