@@ -2,21 +2,21 @@
 
 A document's set holds its distinct ``n``-word shingles. Two sets of sizes a <= b with a Jaccard
 similarity of at least ``PERCENT`` hundredths differ in at most (100 - PERCENT) (a + b) / (100 + PERCENT)
-shingles and lie in one size band or in neighbouring ones. For each band a sketch of parity words is
-kept: a shingle toggles one bit of one of P words. One different shingle changes at most one word, so the
-number of different bits, and of different words, is a lower bound of the symmetric difference. With D the greatest
-difference allowed in a band and P = D + 1 + s words, similar sets agree in at least s + 1 words
-(pigeonhole). Words are joined by value; a word of zero says little, so it is no key, and a sketch with
-more than s zero words also gets a key for each choice of s + 1 of them. A set then leaves out its s most
-frequent words (zeros counted first): of s + 1 or more common words the rarest is among the s most frequent
-of neither set, so no similar pair is lost, while words made of boilerplate alone no longer bring strangers
-together.
-
-How frequent a word is tells a table of ``SLOTS`` counters over the words of all texts; words that share a counter are in order of
+shingles and lie in one size band or in neighbouring ones. For each band a set's shingles are dealt to P words; a word is the
+XOR of its shingles' hashes, so one different shingle changes at most one word. With D the greatest
+difference allowed in a band and P = D + ``SHARED`` + s words, similar sets agree in at least s + ``SHARED`` words
+(pigeonhole). Words are joined by value. A set leaves out its s words that say least: words without shingles, which are no keys,
+then the most frequent ones, where few shingles count as frequent. Of the common words the ``SHARED`` that say most are left out by neither
+set, so no similar pair is lost, while words made of boilerplate alone do not bring strangers
+together. A set with more than s empty words also gets keys that decide alone: its words once more and each choice of s + ``SHARED`` empty ones.
+A set that is far from its band's greatest size leaves out more, by the difference that its own size allows.
+
+How frequent a word is tells a table of ``SLOTS`` counters over the words of all texts; words that say equally much are in order of
 their value. That is one order of all words, so no pair is lost, and the words left out are never shuffled.
 
-Sets that share a kept key are candidates; keys with the same sets are one group. A group's sets meet as sketches of
-some bits for each difference allowed (narrower ones are folds of wider ones), and sizes and Hamming distances leave a spanning forest
+Keys with the same sets are one group. Two sets of groups of at most ``SMALL`` sets are candidates if they share ``SHARED`` keys, those of a larger group at once.
+Candidates meet as sketches of parity words, where a shingle toggles one bit: the number of different bits is a lower bound of the difference. There are
+some bits for each difference allowed (narrower sketches are folds of wider ones), and sizes and Hamming distances leave a spanning forest
 of the pairs that may be similar; a group beyond ``GROUP`` sets meets in blocks. The connected components of these pairs are families: only their
 texts are read once more. A family's sets meet in blocks of at most ``BLOCK_BYTES``, each pair of blocks in one task, where the
 shingles themselves decide. A pair that verified links already connect needs no test, so the links that leave a task are a
@@ -29,7 +29,7 @@ least id that is not null; rows with one id stay separate rows; other columns ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -40,25 +40,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import mix, nullable, shingle_hashes, ship, table, words_of, written, WordHashes
+from .common import chunks, mix, nullable, ship, table, text_shingles, written, WordHashes
 from .components import components
 
 N, PERCENT = 4, 85
 BLOCK_BYTES = 32 << 20
-GROUP = 4096
+GROUP, SMALL, SHARED = 4096, 8, 3
+KEY_BITS, MOST_OFTEN, LACKING = 53, 2047, 48
+ALONE = np.uint64(1 << KEY_BITS)
 SLICES, SLICE = 32, 1 << 16
 SLOTS = SLICES * SLICE
 MAX_BROADCAST = 1_000_000
 
 
 def shingle_set(hashes: WordHashes, text: str | None, n: int = N) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles."""
-    return np.unique(shingle_hashes(hashes(words_of(text)), n))
+    """Sorted 64-bit hashes of the distinct shingles; ``hashes`` is not needed any more."""
+    return sets_of([text], n)[0]
+
+
+def sets_of(texts: Iterable[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the sets of the texts, each sorted, laid end to end; their sizes)."""
+    s, counts = text_shingles(texts, n)
+    ends = np.cumsum(counts)
+    for i, j in zip((ends - counts).tolist(), ends.tolist()):
+        s[i:j].sort()
+    new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, bool)
+    new[(ends - counts)[counts > 0]] = True
+    held = np.r_[0, np.cumsum(new)]
+    return s[new], held[ends] - held[ends - counts]
 
 
 def node_of(s: np.ndarray) -> int:
-    """Equal sets, equal nodes; a signed 64-bit number."""
-    return xxhash.xxh64_intdigest(s.astype("<u8").tobytes(), 7) - (1 << 63)
+    """Equal sets, equal nodes; an even signed 64-bit number."""
+    return (xxhash.xxh64_intdigest(s.astype("<u8").tobytes(), 7) & ~1) - (1 << 63)
+
+
+def nodes_of(s: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``node_of`` of sets laid end to end."""
+    ends = np.cumsum(sizes)
+    return np.array([node_of(s[i:j]) for i, j in zip((ends - sizes).tolist(), ends.tolist())], np.int64)
 
 
 @lru_cache(maxsize=None)
@@ -85,33 +105,76 @@ def words_in(band: int, percent: int) -> tuple[int, int]:
     d = most_different(top, top * 100 // percent, percent)
     if d == 0:
         return 0, 0
-    spare = 2 + d // 2
-    return d + 1 + spare, spare
+    return d + SHARED + d // 2, d // 2
 
 
-def sketch(s: np.ndarray, words: int) -> np.ndarray:
-    """Parity words: a shingle's high bits choose the word, its low bits the bit. ``s`` is sorted, so each word's shingles are adjacent."""
-    at = ((s >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    out = np.zeros(words, np.uint64)
-    out[at[starts].astype(np.int64)] = np.bitwise_xor.reduceat(np.uint64(1) << (s & np.uint64(63)), starts)
+@lru_cache(maxsize=None)
+def plan(size: int, table_: int, percent: int) -> tuple[int, int, int, int]:
+    """(band of the table, P, words of which a set of ``size`` may leave out its most frequent, zeros of which a choice is a key); P is 0 where the table has no keys."""
+    band = band_of(size, percent) - 1 + table_ if size else -1
+    words, spare = words_in(band, percent) if band >= 0 else (0, 0)
+    if not words:
+        return band, 0, 0, 0
+    other = size * 100 // percent if table_ else band_start(band + 1, percent) - 1
+    return band, words, words - SHARED - most_different(size, other, percent), SHARED + spare
+
+
+def dealt_shingles(s: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word, first shingle) of the words that hold shingles, for sets laid end to end, ``words`` of each; the words are numbered through.
+    A shingle's high bits choose the word, so in a sorted set each word's shingles are adjacent."""
+    each = np.repeat(words, sizes)
+    at = (((s >> np.uint64(32)) * each.astype(np.uint64)) >> np.uint64(32)).astype(np.int64) + np.repeat(np.cumsum(words) - words, sizes)
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(s) else np.zeros(0, np.int64)
+    return at[starts], starts
+
+
+def sketches(s: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The parity words of many sets laid end to end: a shingle's low bits choose the bit of its word that it toggles."""
+    out = np.zeros(int(words.sum()), np.uint64)
+    at, starts = dealt_shingles(s, sizes, words)
+    if len(s):
+        out[at] = np.bitwise_xor.reduceat(np.uint64(1) << (s & np.uint64(63)), starts)
     return out
 
 
+def sketch(s: np.ndarray, words: int) -> np.ndarray:
+    """``sketches`` of one set."""
+    return sketches(s, np.array([len(s)]), np.array([words]))
+
+
+def table_keys(s: np.ndarray, sizes: np.ndarray, table_: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Of sets laid end to end: (keys of a table; how many each set has; how many of the most frequent it leaves out; for sets whose zeros are
+    more than those they may leave out, its number and the keys that decide alone)."""
+    of = np.array([plan(k, table_, percent) for k in sizes.tolist()], np.int64).reshape(-1, 4)
+    band, words, spare, chosen = of.T
+    s = s[np.repeat(words > 0, sizes)]
+    at, starts = dealt_shingles(s, np.where(words > 0, sizes, 0), words)
+    held = np.diff(np.r_[starts, len(s)])
+    behind = np.cumsum(words)
+    which = np.searchsorted(behind, at, "right")
+    w = np.bitwise_xor.reduceat(s, starts) if len(s) else s
+    place = at - (behind - words)[which]
+    k = mix(mix(w) + mix(place.astype(np.uint64) + (band[which].astype(np.uint64) << np.uint64(32)))) >> np.uint64(64 - KEY_BITS + 3)
+    k |= np.minimum(held, 7).astype(np.uint64) << np.uint64(KEY_BITS - 3)
+    counts = np.bincount(which, minlength=len(sizes))
+    zeros = words - counts
+    alone, ends = [], np.cumsum(counts)
+    for i in np.flatnonzero(zeros > spare).tolist():
+        none = np.setdiff1d(np.arange(words[i]), place[ends[i] - counts[i]:ends[i]])
+        choices = [xxhash.xxh64_intdigest(np.array(c).astype("<u8").tobytes(), int(band[i])) >> 64 - KEY_BITS
+                   for c in (combinations(none, int(chosen[i])) if len(none) >= chosen[i] else ())]
+        alone.append((i, np.r_[k[ends[i] - counts[i]:ends[i]], np.array(choices, np.uint64)] | ALONE))
+    return k, counts, np.maximum(0, spare - zeros), alone
+
+
 def keys(s: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, np.ndarray]]:
     """(table: 1 of the set's own band or 0 of the one below, how many of the most frequent keys to leave out, keys)."""
     out = []
-    own = band_of(len(s), percent) if len(s) else -1
-    for table_, band in ((1, own), (0, own - 1)):
-        words, spare = words_in(band, percent) if band >= 0 else (0, 0)
-        if not words:
-            continue
-        w = sketch(s, words)
-        full, zeros = np.flatnonzero(w), np.flatnonzero(w == 0)
-        out.append((table_, max(0, spare - len(zeros)), mix(mix(w[full]) + mix(full.astype(np.uint64) + np.uint64(band << 32)))))
-        if len(zeros) > spare:  # a table of their own: none of them may be left out
-            out.append((2 + table_, 0, np.array([xxhash.xxh64_intdigest(np.array(c).astype("<u8").tobytes(), band)
-                                                 for c in combinations(zeros, spare + 1)], np.uint64)))
+    for table_ in (1, 0):
+        k, _, leave, alone = table_keys(s, np.array([len(s)]), table_, percent)
+        if len(k):
+            out.append((table_, int(leave[0]), k))
+        out += [(2 + table_, 0, x) for _, x in alone]  # none of them may be left out
     return out
 
 
@@ -120,14 +183,27 @@ def slots_of(k: np.ndarray) -> np.ndarray:
     return (k & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def rarest(k: np.ndarray, counts: np.ndarray, leave: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Keys of sets laid end to end, without those that each set leaves out: the ones of the fullest counters, where each shingle that a word
+    lacks of 7 counts as ``LACKING``; of equal ones the least."""
+    full = np.minimum(often[slots_of(k)] + LACKING * (7 - (k >> np.uint64(KEY_BITS - 3)).astype(np.int64)), MOST_OFTEN)
+    order = (MOST_OFTEN - full).astype(np.uint64) << np.uint64(KEY_BITS) | k
+    ends = np.cumsum(counts)
+    for i, j in zip((ends - counts).tolist(), ends.tolist()):
+        order[i:j].sort()
+    stays = np.arange(len(k)) >= np.repeat(ends - counts + leave, counts)
+    return order[stays] & np.uint64((1 << KEY_BITS) - 1)
+
+
 def kept_keys(s: np.ndarray, percent: int, often: np.ndarray) -> list[np.ndarray]:
-    """The set's keys (as ``keys``) without those that may be left out: the ones of the fullest counters, of equal ones the least."""
-    return [k[np.lexsort((k, -often[slots_of(k)].astype(np.int64)))][leave:] for _, leave, k in keys(s, percent)]
+    """The set's keys (as ``keys``) without those that may be left out."""
+    return [rarest(k, np.array([len(k)]), np.array([leave]), often) if t < 2 else k for t, leave, k in keys(s, percent)]
 
 
+@lru_cache(maxsize=None)
 def bit_words(size: int, percent: int) -> int:
-    """Words of the sketch a set is compared by: a power of two, 8 bits or more for each difference allowed."""
-    return 1 << max(2, (most_different(size, size, percent) // 8).bit_length())
+    """Words of the sketch a set is compared by: a power of two, 4 bits or more for each difference allowed, which strangers pass by more than five deviations."""
+    return 1 << max(2, (most_different(size, size, percent) // 16).bit_length())
 
 
 def fold(bits: np.ndarray, words: int) -> np.ndarray:
@@ -138,25 +214,32 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) -> Iterator[pd.DataFrame]:
-    hashes, often = WordHashes(), table_.value
+    """Each set's keys. A node's lowest bit tells whether the key is of the table of its own band."""
+    often = table_.value
     out, held, seen = [], 0, set()
 
     def frame() -> pd.DataFrame:
         node, key = (np.concatenate(x) for x in zip(*out))
-        return pd.DataFrame({"node": node, "key": key})
+        return pd.DataFrame({"node": node, "key": key.view(np.int64)})
 
     for b in batches:
-        for text in b["text"]:
-            s = shingle_set(hashes, text, n)
-            node = node_of(s)
-            if len(s) == 0 or node in seen:  # copies in one task say the same
-                continue
+        texts = b["text"].tolist()
+        for x, y in chunks(texts):
+            s, sizes = sets_of(texts[x:y], n)
+            nodes, new = nodes_of(s, sizes), []
             if len(seen) > 1_000_000:
                 seen.clear()
-            seen.add(node)
-            for k in kept_keys(s, percent, often):
-                out.append((np.full(len(k), node), k.view(np.int64)))
-                held += len(k)
+            for node, size in zip(nodes.tolist(), sizes.tolist()):  # copies in one task say the same
+                new.append(size > 0 and node not in seen)
+                seen.add(node)
+            new = np.array(new, bool)
+            s, nodes, sizes = s[np.repeat(new, sizes)], nodes[new], sizes[new]
+            for t in (1, 0):
+                k, counts, leave, alone = table_keys(s, sizes, t, percent)
+                new = [(np.repeat(nodes | t, counts - np.minimum(leave, counts)), rarest(k, counts, leave, often)),
+                       *((np.full(len(a), nodes[i] | t), a) for i, a in alone)]
+                out += new
+                held += sum(len(k) for _, k in new)
             if held > 200_000:
                 yield frame()
                 out, held = [], 0
@@ -166,17 +249,21 @@ def _key_rows(batches: Iterator[pd.DataFrame], n: int, percent: int, table_) ->
 
 def _node_rows(batches: Iterator[pd.DataFrame], n: int, percent: int) -> Iterator[pd.DataFrame]:
     """One row for each text, then the task's counters of keys, a row for each slice."""
-    hashes, counts = WordHashes(), np.zeros(SLOTS, np.uint32)
+    counts = np.zeros(SLOTS, np.uint32)
     for b in batches:
         size, node, bits = [], [], []
-        for t in b["text"]:  # one set at a time, so a batch of long texts stays small
-            s = shingle_set(hashes, t, n)
-            for _, _, k in keys(s, percent):
-                at, more = np.unique(slots_of(k), return_counts=True)
-                counts[at] += np.minimum(more, 2**32 - 1 - counts[at]).astype(np.uint32)
-            size.append(len(s))
-            node.append(node_of(s) if len(s) else None)
-            bits.append(sketch(s, bit_words(len(s), percent)).astype("<u8").tobytes() if len(s) else None)
+        texts = b["text"].tolist()
+        for x, y in chunks(texts):
+            s, sizes = sets_of(texts[x:y], n)
+            for t in (1, 0):
+                k, _, _, alone = table_keys(s, sizes, t, percent)
+                for more in (k, *(a for _, a in alone)):
+                    np.add.at(counts, slots_of(more), np.uint32(1))
+            words = np.array([bit_words(k, percent) if k else 0 for k in sizes.tolist()], np.int64)
+            sketched, ends = sketches(s, sizes, words).astype("<u8"), np.cumsum(words).tolist()
+            size += sizes.tolist()
+            node += [v if k else None for v, k in zip(nodes_of(s, sizes).tolist(), sizes.tolist())]
+            bits += [sketched[j - w:j].tobytes() if w else None for j, w in zip(ends, words.tolist())]
         # never by way of floats, which would round the hashes of a batch that holds a null
         none = pd.arrays.IntegerArray(np.zeros(len(b), np.int32), np.ones(len(b), bool))
         yield pd.DataFrame({"id": b["id"], "n_shingles": size, "node": nullable(node), "slice": none, "bits": bits})
@@ -187,12 +274,12 @@ def _node_rows(batches: Iterator[pd.DataFrame], n: int, percent: int) -> Iterato
 
 
 def _slice_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The sum of each slice, as 64ths of a binary order of magnitude."""
+    """The sum of each slice, as 32nds of a binary order of magnitude."""
     sums: dict[int, np.ndarray] = {}
     for b in batches:
         for k, c in zip(b["slice"], b["bits"]):
             sums[k] = sums.get(k, np.zeros(SLICE, np.int64)) + np.frombuffer(c, "<u4")
-    code = [(64 * np.log2(1 + v)).astype("<u2").tobytes() for v in sums.values()]
+    code = [np.minimum(32 * np.log2(1 + v), MOST_OFTEN).astype("<u2").tobytes() for v in sums.values()]
     yield pd.DataFrame({"slice": np.array(list(sums), np.int32), "code": code})
 
 
@@ -254,9 +341,8 @@ def _near_rows(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.Dat
 
 
 def _set_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
     for b in batches:
-        sets = [shingle_set(hashes, t, n) for t in b["text"]]
+        sets = [sets_of([t], n)[0] for t in b["text"]]
         right = [len(s) > 0 and node_of(s) == k for s, k in zip(sets, b["node"])]
         yield pd.DataFrame({"family": b["family"], "node": b["node"], "blocks": b["blocks"], "shingles": [s.astype("<u8").tobytes() for s in sets]})[right]
 
@@ -296,18 +382,28 @@ def links(docs: DataFrame, rows: DataFrame, often: np.ndarray, key: str, text: s
     """(a, b): verified links between nodes that connect exactly what similar pairs connect."""
     table_ = docs.sparkSession.sparkContext.broadcast(often)
     found = docs.select(F.col(text).alias("text")).mapInPandas(lambda it: _key_rows(it, n, percent, table_), "node long, key long")
-    # of keys that several sets hold, those with the same sets are one group
-    of_key = Window.partitionBy("key")
-    shared = found.withColumn("least", F.min("node").over(of_key)).withColumn("most", F.max("node").over(of_key)).withColumn(
-        "sig", F.xxhash64(F.count("*").over(of_key), F.bit_xor(F.xxhash64("node")).over(of_key), F.min("node").over(of_key)))
-    groups = shared.where("least < most")
-    groups = written(groups.select("sig", "node").distinct(), "jaccard-groups")
-    blocks = groups.groupBy("sig").agg(F.count("*").alias("held"), F.ceil(F.count("*") / GROUP).cast("int").alias("blocks")).where("held > 1").drop("held")
+    # of keys that several sets hold, one of them in the table of its own band, those with the same sets are one group
+    of_key, own = Window.partitionBy("key"), F.col("node").bitwiseAND(F.lit(1))
+    node = F.col("node") - own
+    shared = found.select(
+        node.alias("node"), own.alias("own"), "key", F.min(node).over(of_key).alias("least"), F.max(node).over(of_key).alias("most"), F.max(own).over(of_key).alias("any"),
+        F.xxhash64(F.count("*").over(of_key), F.bit_xor(F.xxhash64("node")).over(of_key), F.min("node").over(of_key)).alias("sig"))
+    groups = shared.where("least < most and any = 1").groupBy("sig", "node", "own").agg(
+        F.sum(F.when(F.col("key") >= F.lit(int(ALONE)), SHARED).otherwise(1)).alias("said"))
+    groups = written(groups, "jaccard-groups").withColumn("held", F.count("*").over(Window.partitionBy("sig")))
+    # sets of small groups are compared if they share keys enough, all of a larger one are
+    later = lambda v: F.filter("sets", lambda u: (u["node"] > v["node"]) & (u["own"] + v["own"] > 0))
+    few_sets = groups.where(F.col("held") <= SMALL).groupBy("sig").agg(F.collect_list(F.struct("node", "own", "said")).alias("sets"))
+    pairs = few_sets.select(F.explode(F.flatten(F.transform("sets", lambda v: F.transform(later(v), lambda u: F.struct(
+        v["node"].alias("a"), u["node"].alias("b"), F.least(v["said"], u["said"]).alias("said")))))).alias("p")).select("p.*")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("said").alias("said")).where(F.col("said") >= SHARED)
+    alone = pairs.select(F.xxhash64("a", "b").alias("sig"), F.explode(F.array("a", "b")).alias("node"), F.lit(1).alias("blocks"))
+    large = groups.where(F.col("held") > SMALL).select("sig", "node", F.ceil(F.col("held") / GROUP).cast("int").alias("blocks")).distinct()
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     mates = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         F.least(block, o).alias("i"), F.greatest(block, o).alias("j")))
-    dealt = groups.join(blocks, "sig").select("sig", "node", block.alias("block"), F.explode(mates).alias("m"))
+    dealt = alone.unionByName(large).select("sig", "node", block.alias("block"), F.explode(mates).alias("m"))
     dealt = dealt.join(nodes.select("node", "size", "bits"), "node").select("sig", "m.i", "m.j", "block", "node", "size", "bits")
     near = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInPandas(lambda it: _near_rows(it, percent), "a long, b long")
     families = components(near, "a", "b").withColumnRenamed("component", "family")
@@ -360,8 +456,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def _node_column(n: int):
     @F.pandas_udf("long")
     def node(texts: pd.Series) -> pd.Series:
-        hashes = WordHashes()
-        sets = [shingle_set(hashes, t, n) for t in texts]
+        sets = [sets_of([t], n)[0] for t in texts]
         return pd.Series(nullable([node_of(s) if len(s) else None for s in sets]))
     return node
 

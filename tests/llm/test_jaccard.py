@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from spendlens.llm import jaccard_join as j
+from spendlens.llm import common, jaccard_join as j
 from spendlens.llm.common import WordHashes
 from spendlens.llm.components import components
 from .conftest import make_docs
@@ -143,3 +144,72 @@ def test_components_of_chains_and_stars(spark):
 
 def test_empty(spark):
     assert j.similar_components(make_docs(spark, [])).count() == 0
+
+
+def test_many_texts_at_once_say_what_each_says(monkeypatch):
+    """Words, sets, sketches and keys of texts laid end to end are those of each text alone, also if a text is cut into pieces."""
+    rng = random.Random(21)
+    texts = [None, "", " \t\n", "a", "A b", "é\x0bÉ\x0c\x85 \x1fx", *(" ".join(rng.choices(["ab", "B", "c,", "dé"], k=k)) for k in range(60)), *family(rng, 300, 3, 9), "x" * 3000 + " y"]
+    h = WordHashes()
+    for piece, size in ((1 << 17, 1 << 18), (7, 50), (1, 1)):
+        monkeypatch.setattr(common, "PIECE", piece)
+        monkeypatch.setattr(common, "CHUNK", size)
+        cuts = list(common.chunks(texts))
+        assert [k for x, y in cuts for k in range(x, y)] == list(range(len(texts)))
+        assert list(common.chunks([])) == [] and [len(v) for v in common.text_hashes([])] == [0, 0]
+        said = {}
+        for x, y in cuts:
+            words, counts = common.text_hashes(texts[x:y])
+            want = [common.words_of(t) for t in texts[x:y]]
+            assert counts.tolist() == [len(w) for w in want]
+            for w, v in zip((w for ws in want for w in ws), words.tolist()):
+                assert said.setdefault(w, v) == v
+            s, sizes = j.sets_of(texts[x:y], 4)
+            alone = [j.shingle_set(h, t) for t in texts[x:y]]
+            assert sizes.tolist() == [len(v) for v in alone] and np.array_equal(s, np.concatenate(alone))
+            for t in (1, 0):
+                k, counts, leave, decide = j.table_keys(s, sizes, t, 85)
+                one = [{a: (b, c) for a, b, c in j.keys(v)} for v in alone]
+                assert np.array_equal(k, np.concatenate([o[t][1] if t in o else k[:0] for o in one]))
+                assert {i: a.tolist() for i, a in decide} == {i: o[2 + t][1].tolist() for i, o in enumerate(one) if 2 + t in o}
+        assert len(set(said.values())) == len(said)
+
+
+def test_similar_sets_share_keys_enough():
+    """Of the keys that stay, similar sets share ``SHARED`` or one that decides alone; one of the two has it in the table of its own band."""
+    rng = np.random.default_rng(5)
+    often = rng.integers(0, 2000, j.SLOTS).astype(np.uint16)
+    for n in [*range(1, 120), 333, 1000, 5000]:
+        for percent in (80, 85):
+            for _ in range(6):
+                a = np.unique(rng.integers(0, 2**64 - 1, n, dtype=np.uint64))
+                drop = int(rng.integers(0, 1 + len(a) * (100 - percent) // 100))
+                b = a[np.sort(rng.permutation(len(a))[drop:])]
+                more = 0
+                while 100 * len(b) >= percent * (len(a) + more + 1):  # as many others as the threshold allows
+                    more += 1
+                b = np.unique(np.r_[b, rng.integers(0, 2**64 - 1, more if rng.random() < 0.5 else 0, dtype=np.uint64)])
+                both = len(np.intersect1d(a, b))
+                if not len(b) or 100 * both < percent * (len(a) + len(b) - both) or np.array_equal(a, b):
+                    continue
+                held = [[(t, k) for (t, _, _), k in zip(j.keys(v, percent), j.kept_keys(v, percent, often))] for v in (a, b)]
+                score = max((sum(j.SHARED if k >= j.ALONE else 1 for k in set(x.tolist()) & set(y.tolist())) for t, x in held[0] for u, y in held[1] if t % 2 or u % 2), default=0)
+                assert score >= j.SHARED, (n, percent)
+
+
+def test_strangers_that_share_a_key_are_not_dealt_out(spark, monkeypatch):
+    """Texts that share one phrase with another one each: their sketches are not sent for comparison, as they were."""
+    rng = random.Random(6)
+    rows = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(40)]
+    for a, b in zip(rows[::2], rows[1::2]):
+        b[:24] = a[:24]  # 21 of 57 shingles, so about one word of the sketch
+    seen = []
+    real = j._near_rows
+
+    def counted(batches, percent):
+        for b in batches:
+            yield pd.DataFrame({"a": b["node"], "b": b["node"]})
+    monkeypatch.setattr(j, "_near_rows", counted)
+    monkeypatch.setattr(j, "components", lambda df, a, b: seen.append(df.count()) or components(df, a, b))
+    j.similar_components(make_docs(spark, [" ".join(r) for r in rows])).count()
+    assert real is not counted and seen[0] <= 12
