@@ -383,12 +383,13 @@ def links(docs: DataFrame, rows: DataFrame, often: np.ndarray, key: str, text: s
     table_ = docs.sparkSession.sparkContext.broadcast(often)
     found = docs.select(F.col(text).alias("text")).mapInPandas(lambda it: _key_rows(it, n, percent, table_), "node long, key long")
     # of keys that several sets hold, one of them in the table of its own band, those with the same sets are one group
-    of_key, own = Window.partitionBy("key"), F.col("node").bitwiseAND(F.lit(1))
-    node = F.col("node") - own
-    shared = found.select(
-        node.alias("node"), own.alias("own"), "key", F.min(node).over(of_key).alias("least"), F.max(node).over(of_key).alias("most"), F.max(own).over(of_key).alias("any"),
-        F.xxhash64(F.count("*").over(of_key), F.bit_xor(F.xxhash64("node")).over(of_key), F.min("node").over(of_key)).alias("sig"))
-    groups = shared.where("least < most and any = 1").groupBy("sig", "node", "own").agg(
+    # the window's functions take bare columns, so nothing else is shuffled
+    of_key, one = Window.partitionBy("key"), F.lit(1)
+    own = F.col("node").bitwiseAND(one)
+    shared = found.select("node", "key", F.min("node").over(of_key).alias("least"), F.max("node").over(of_key).alias("most"),
+                          F.bit_or("node").over(of_key).alias("any"), F.bit_xor("node").over(of_key).alias("all"), F.count("*").over(of_key).alias("rows"))
+    shared = shared.where((F.col("least") < F.col("most") - F.col("most").bitwiseAND(one)) & (F.col("any").bitwiseAND(one) == 1))
+    groups = shared.select(F.xxhash64("rows", "all", "least").alias("sig"), (F.col("node") - own).alias("node"), own.alias("own"), "key").groupBy("sig", "node", "own").agg(
         F.sum(F.when(F.col("key") >= F.lit(int(ALONE)), SHARED).otherwise(1)).alias("said"))
     groups = written(groups, "jaccard-groups").withColumn("held", F.count("*").over(Window.partitionBy("sig")))
     # sets of small groups are compared if they share keys enough, all of a larger one are
