@@ -12,7 +12,8 @@ counts a of the phrase, l of the first part and r of the rest. Growth goes from
    language, or the threshold is 0, nothing below can change its report, ties included: it is settled. The threshold of
    the others falls to the score of a pair eight times as far down, and their texts are counted once more.
 
-Texts are counted in tasks, about CHUNK words at once, so only different phrases of a chunk are shuffled. Which words and
+Texts are counted in tasks, about CHUNK words at once, so only different phrases of a chunk are shuffled; they are put into words
+and looked up SLICE at a time, so a worker holds little beside the numbers of the chunk's words. Which words and
 pairs may be skipped is told by bit sets of a fixed size (FILTER_BITS, two bits a key): a wrong "may count" costs a row of
 shuffle, the joins that follow are exact. No table is broadcast but those bit sets.
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +35,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table, written
+from .common import ship, small_batches, table, written
 
 TOP, LEAST, SHARE = 2000, 10, 50    # reported for each language; least count; a longer candidate with this share of a phrase's count drops it
 CHUNK = 2_000_000                   # words counted at once in a task
+SLICE = 50_000                      # phrases put into words at once
 FILTER_BITS = 24                    # log2 of the bits of a bit set
 FRONTIER, WIDER = 2, 8              # the first round's threshold lies at this many times ``top``; further rounds at WIDER times more
 
@@ -53,56 +56,80 @@ class _Words(dict):
 
 def _word_numbers(text: bytes, words: _Words) -> np.ndarray:
     parts = text.lower().translate(_ENDS).replace(b"\n", b" \n ").split(b" ")
-    found = np.fromiter(map(words.__getitem__, parts), np.int64, len(parts))
-    return np.append(found[found != _EMPTY], _END)
+    found = np.fromiter(map(words.__getitem__, parts), np.int32, len(parts))
+    return np.append(found[found != _EMPTY], np.int32(_END))
 
 
-def _hits(bits: np.ndarray | None, lang: bytes, keys: list[bytes]) -> np.ndarray:
-    """Which keys may be in the bit set (all without one)."""
-    if bits is None:
-        return np.ones(len(keys), bool)
+def _digests(lang: bytes, keys: list[bytes]) -> np.ndarray:
     head, digest = lang + b"\0", xxhash.xxh64_intdigest
-    h = np.fromiter((digest(head + k, 42) for k in keys), np.uint64, len(keys))
-    out = np.ones(len(keys), bool)
+    return np.fromiter((digest(head + k, 42) for k in keys), np.uint64, len(keys))
+
+
+def _held(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the bit set (all without one)."""
+    out = np.ones(len(h), bool)
+    if bits is None:
+        return out
     for p in (h, h >> np.uint64(32)):
         p = (p & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
         out &= (bits[p >> 6] >> (p & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
     return out
 
 
+def _hits(bits: np.ndarray | None, lang: bytes, keys: list[bytes]) -> np.ndarray:
+    """Which keys may be in the bit set."""
+    return _held(bits, _digests(lang, keys))
+
+
 def _join(words: pa.Array, *numbers: np.ndarray) -> pa.Array:
     return pc.binary_join_element_wise(*[words.take(pa.array(n)) for n in numbers], pa.scalar(b" ", pa.binary()))
 
 
-def _phrases(ids: np.ndarray, words: pa.Array, lang: bytes, n: int, filters: dict) -> tuple[pa.Array, np.ndarray]:
-    """Different phrases of ``n`` words in a chunk of one language, less those the bit sets rule out, and their counts."""
+def _slices(n: int) -> Iterator[slice]:
+    return (slice(k, min(k + SLICE, n)) for k in range(0, n, SLICE))
+
+
+def _phrases(ids: np.ndarray, words: pa.Array, lang: bytes, n: int, filters: dict) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Different phrases of ``n`` words in a chunk of one language, less those the bit sets rule out, and their counts, ``SLICE`` at a time."""
     if n == 1:
         counts = np.bincount(ids, minlength=len(words))
         counts[:_FIRST] = 0
         held = np.nonzero(counts)[0]
-        return words.take(pa.array(held)), counts[held]
-    used = np.unique(ids)
-    used = used[used >= _FIRST]
+        for k in _slices(len(held)):
+            yield words.take(pa.array(held[k])), counts[held[k]]
+        return
     frequent = np.zeros(len(words), bool)
-    frequent[used[_hits(filters.get("words"), lang, words.take(pa.array(used)).to_pylist())]] = True
+    frequent[ids] = True
+    frequent[:_FIRST] = False
+    used = np.nonzero(frequent)[0]
+    for k in _slices(len(used)):
+        frequent[used[k]] = _hits(filters.get("words"), lang, words.take(pa.array(used[k])).to_pylist())
     ok = frequent[ids]
     at = np.nonzero(ok[:-1] & ok[1:])[0]                   # places of pairs
-    pairs, which, counts = np.unique(ids[at] * len(words) + ids[at + 1], return_inverse=True, return_counts=True)
-    first, second = pairs // len(words), pairs % len(words)
+    pairs = ids[at] * np.int64(len(words)) + ids[at + 1]
     if n == 2:
-        return _join(words, first, second), counts
-    keys = _join(words, first, second).to_pylist()
-    known = _hits(filters.get("pairs"), lang, keys)
-    grown = _hits(filters.get("prefixes"), lang, keys) & known
-    asked = _hits(filters.get("scored"), lang, keys) & known
-    number = np.full(len(ids), -1, np.int64)
+        pairs, counts = np.unique(pairs, return_counts=True)
+        for k in _slices(len(pairs)):
+            yield _join(words, pairs[k] // len(words), pairs[k] % len(words)), counts[k]
+        return
+    pairs, which = np.unique(pairs, return_inverse=True)
+    first, second = (pairs // len(words)).astype(np.int32), (pairs % len(words)).astype(np.int32)
+    known, grown, asked = (np.zeros(len(pairs), bool) for _ in range(3))
+    for k in _slices(len(pairs)):
+        h = _digests(lang, _join(words, first[k], second[k]).to_pylist())
+        known[k] = _held(filters.get("pairs"), h)
+        grown[k] = known[k] & _held(filters.get("prefixes"), h)
+        asked[k] = known[k] & _held(filters.get("scored"), h)
+    number = np.full(len(ids), -1, np.int32)
     number[at] = which
+    del pairs, at, which
     left, right = number[:-2], number[1:-1]
     both = np.nonzero((left >= 0) & (right >= 0))[0]
     both = both[known[left[both]] & known[right[both]] & (grown[left[both]] | asked[right[both]])]
-    triples, counts = np.unique(left[both] * len(words) + ids[both + 2], return_counts=True)
-    pair = triples // len(words)
-    return _join(words, first[pair], second[pair], triples % len(words)), counts
+    triples, counts = np.unique(left[both] * np.int64(len(words)) + ids[both + 2], return_counts=True)
+    for k in _slices(len(triples)):
+        pair = triples[k] // len(words)
+        yield _join(words, first[pair], second[pair], triples[k] % len(words)), counts[k]
 
 
 def phrase_counts(docs: DataFrame, n: int, filters: dict | None = None, chunk: int = CHUNK) -> DataFrame:
@@ -114,15 +141,13 @@ def phrase_counts(docs: DataFrame, n: int, filters: dict | None = None, chunk: i
 
         def flush() -> Iterator[pa.RecordBatch]:
             listed = pa.array(list(words), pa.binary())
-            for lang, parts in texts.items():
-                ids = np.concatenate(parts)
-                phrases, counts = _phrases(ids, listed, lang, n, sent.value)
-                if n == 1:
-                    phrases, counts = pa.concat_arrays([phrases, pa.nulls(1, pa.binary())]), np.append(counts, (ids >= _FIRST).sum())
-                for k in range(0, len(counts), 100_000):
-                    part = counts[k:k + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.binary()).cast(pa.string()),
-                                                      phrases.slice(k, len(part)).cast(pa.string()), pa.array(part.astype(np.int64))],
+            words.clear()
+            for lang in list(texts):
+                ids = np.concatenate(texts.pop(lang))
+                found = _phrases(ids, listed, lang, n, sent.value)
+                for phrases, counts in chain(found, [(pa.nulls(1, pa.binary()), (ids >= _FIRST).sum(keepdims=True))] if n == 1 else []):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.binary()), len(counts)).cast(pa.string()),
+                                                      phrases.cast(pa.string()), pa.array(counts.astype(np.int64))],
                                                      names=["lang", "phrase", "f"])
 
         for b in batches:
@@ -198,6 +223,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, share: int
                  frontier: int = FRONTIER, chunk: int = CHUNK) -> DataFrame:
     """The first ``top`` surviving phrases of each language: lang, rank, phrase, a, l, r, n, score."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     words = written(phrase_counts(docs, 1, chunk=chunk).filter(F.col("phrase").isNull() | (F.col("f") >= least)), "collocation-words")
     totals = words.filter("phrase IS NULL").selectExpr("lang", "f AS n")

@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +99,30 @@ def test_query_against_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     want = con.execute(f"SELECT lang, rank, phrase, a, l, r, n, score FROM ({C.ORACLE}) ORDER BY ALL").fetchall()
     assert want and rows_of(C.op12_collocations(spark, SF)) == sorted(want)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_phrases_of_a_chunk_come_in_slices(n):
+    """A worker holds the numbers of a chunk's words, not all its phrases, and texts reach it in small batches."""
+    ids = np.random.default_rng(n).integers(2, 2000, 300_000).astype(np.int32)
+    words = pa.array([b"", b"\n"] + [b"word%05d" % i for i in range(2000)], pa.binary())
+    grams = Counter(zip(*(ids[k:len(ids) - n + 1 + k].tolist() for k in range(n))))
+    sizes, total, rows = [], 0, 0
+    tracemalloc.start()
+    for phrases, counts in C._phrases(ids, words, b"en", n, {}):
+        sizes.append(len(phrases))
+        rows, total = rows + len(counts), total + int(counts.sum())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (rows, total) == (len(grams), len(ids) - n + 1) and max(sizes) <= C.SLICE
+    assert peak < 80 * len(ids)
+
+
+def test_texts_come_in_small_batches(spark):
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set(name, "10000")
+        C.collocations(make_docs(spark, ["a b " * 12])).count()
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, before)
