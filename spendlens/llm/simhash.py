@@ -153,8 +153,8 @@ def near(queries: DataFrame, fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     first = F.when(agree[0], 0)
     for k, x in enumerate(agree[1:], 1):
         first = first.when(x, k)
-    # a pair that meets in several tables counts in the first
-    pairs = q.join(a, (F.col("q_table") == F.col("table")) & (F.col("q_front") == F.col("front")) & (far <= radius) & (far > 0) & (first == F.col("table")))
+    # a pair that meets in several tables counts in the first; the planner sees the fingerprints but not their many probes, so it would broadcast them
+    pairs = q.hint("merge").join(a, (F.col("q_table") == F.col("table")) & (F.col("q_front") == F.col("front")) & (far <= radius) & (far > 0) & (first == F.col("table")))
     text = lambda hi, lo: F.lower(F.concat(F.lpad(F.hex(hi), 16, "0"), F.lpad(F.hex(lo), 16, "0")))
     return pairs.select(text("q_hi", "q_lo").alias("query"), text("hi", "lo").alias("fingerprint"), far.alias("distance"))
 

@@ -89,3 +89,13 @@ def test_tables_find_all_within_twelve(spark):
     df = spark.createDataFrame([(f"{x:032x}",) for x in fps], "fingerprint string")
     found = sorted((r.query, r.fingerprint, r.distance) for r in s.near(df, df, 12).collect())
     assert found == sorted((f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in fps for b in fps if a != b and (a ^ b).bit_count() <= 12)
+
+
+def test_probes_are_not_broadcast(spark):
+    """Each query makes over a hundred probes, which the planner cannot foresee: whatever the tables' sizes, they are shuffled."""
+    rng = random.Random(6)
+    df = spark.createDataFrame([(f"{rng.getrandbits(128):032x}",) for _ in range(50)], "fingerprint string")
+    found = s.near(df, df)
+    assert found.collect() == []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
